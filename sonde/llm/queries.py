@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonde.llm import exact_dedup, line_dedup, mixing, packing, quality, simhash, token_counts
+from sonde.llm import exact_dedup, line_dedup, mixing, packing, quality, secrets, simhash, suffix, token_counts, topk
 from sonde.llm.common import table
 
 
@@ -15,6 +15,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_topk(table(spark, sf_dir, "embeddings"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -25,6 +33,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -43,8 +55,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op4_exact_dedup, op5_quality_classifier, op7_source_mixing, op8_simhash_dedup, op9_line_dedup, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_topk, op3_secret_scan, op4_exact_dedup, op5_quality_classifier, op6_suffix_dedup, op7_source_mixing, op8_simhash_dedup, op9_line_dedup, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL, "op9_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op2_exact_topk": topk.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL, "op9_line_dedup": line_dedup.ORACLE_SQL}
