@@ -29,7 +29,6 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "glpat-", "sk_live_", "sk-",
 
 RUN = re.compile(r"[A-Za-z0-9_\-+/=.]{20,512}")
 ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,512})")
-WORD = re.compile(r"[A-Za-z_\-]+[0-9]*")
 CONTEXT = 48
 TREES, DEPTH, FINDINGS = 30, 8, 4000
 THRESHOLD = 0.5
@@ -75,12 +74,12 @@ def features(text: str, start: int, end: int) -> list[float]:
             covered[at : at + len(w)] = b"\1" * len(w)
             at = low.find(w, at + 1)
     left, right = text[max(0, start - CONTEXT) : start].lower(), text[end : end + CONTEXT].lower()
-    near = WORD.findall(left)[-4:]
+    near = [w.strip("\"'=:,;()[]") for w in left.split()][-4:]
     return [
         n, *share, moves, pairs[1 * 5 + 3] + pairs[3 * 5 + 1], pairs[1 * 5 + 1], pairs[3 * 5 + 3], pairs[2 * 5 + 1], entropy, entropy / math.log2(max(2, n)),
         sum(covered) / n, sum(c in VOWEL for c in s) / n, len(set(s)), float(bool(re.fullmatch("[0-9a-f]+|[0-9A-F]+", s))), float(bool(re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", s))),
         s.count("/"), s.count("."), s.count("-") + s.count("_"), float(bool(re.search(r"(^|[/.])[a-z]{2,5}$", s)) and "/" in s),
-        float(any(x in w for w in near for x in NAMES)), float(any(w in HARMLESS for w in near)), float(any(w in HARMLESS for w in WORD.findall(right)[:2])),
+        float(any(x in w for w in near for x in NAMES)), float(any(w in HARMLESS for w in near)), float(any(w.strip("\"'=:,;()[]") in HARMLESS for w in right.split()[:2])),
         float(bool(re.search(r"[:=]\s*[\"']?$", left))), float(s.startswith(PREFIXES)),
     ]
 
