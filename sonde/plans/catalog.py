@@ -1,17 +1,431 @@
-"""The query catalogue: each query with the SQL that says the same."""
+"""The query catalogue: each query on the driver's tables, with the SQL that says the same."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from sonde.functions import scalars as S
+from sonde.operators import evaluate, intervals, resolve, sequences, signals, text
+from sonde.session import shared_dir
+from sonde.streaming import usage
+
+Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = "q18_coalesce_ranges"
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def put(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = sql
+        return f
 
+    return put
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_sql)
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events with us (microseconds since 1970), clock (of the day) and k, the number in props."""
+    e = table(spark, sf, "events")
+    return e.withColumn("us", S.micros("ts")).withColumn("clock", S.day_micros("ts")).withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+
+
+EVENTS = "e as (select *, epoch_us(ts) as us, epoch_us(ts) % 86400000000 as clock, json_extract_string(props, '$.k')::bigint as k from events)"
+
+
+@query(f"""with {EVENTS}, t as (select *, case when lag(clock) over w - clock > 1000000 then 1 else 0 end as turn from e window w as (partition by user_id order by ts, event_id)),
+u as (select *, clock + 86400000000 * sum(turn) over w as t from t window w as (partition by user_id order by ts, event_id))
+select event_id, (t - first_value(t) over (partition by user_id order by ts, event_id))::bigint as rel_us from u""")
+def q01_relative_seconds(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.relative_seconds(events(spark, sf), ["user_id"], ["ts", "event_id"], "clock", "rel_us", 86400 * 10**6, 10**6).select("event_id", "rel_us")
+
+
+@query(f"""with {EVENTS} select event_id, round_even(clock / 1e6 * 200, 0)::bigint as first_sample,
+greatest(round_even(clock / 1e6 * 200, 0)::bigint, round_even((clock / 1e6 + k) * 200, 0)::bigint - 1) as last_sample from e""")
+def q02_sample_align(spark: SparkSession, sf: str) -> DataFrame:
+    first, last = signals.aligned(F.col("clock") / 1e6, F.col("k"), 200)
+    return events(spark, sf).select("event_id", first.alias("first_sample"), last.alias("last_sample"))
+
+
+@query(r"""with t as (select doc_id, trim(split_part(split_part(text, chr(10), 1), '. ', 1)) as head, regexp_extract(text, '([0-9]+) [a-z]', 1) as n from documents)
+select doc_id, case when lower(head) like 'th%' then 'Stage' else left(head, 20) end as etype, case when n = '' then null else n::double * 60 end as seconds from t""")
+def q03_type_and_duration(spark: SparkSession, sf: str) -> DataFrame:
+    head = F.trim(F.substring_index(F.substring_index("text", "\n", 1), ". ", 1))
+    kind = F.when(F.lower(head).startswith("th"), "Stage").otherwise(F.substring(head, 1, 20))
+    return table(spark, sf, "documents").select("doc_id", kind.alias("etype"), (S.found("text", "([0-9]+) [a-z]").cast("double") * 60).alias("seconds"))
+
+
+@query(f"""with {EVENTS}, d as (select user_id, (us - lag(us) over (partition by user_id order by ts, event_id)) / 1e6 as d from e)
+select user_id, round(median(d), 3) as step from d where d is not null group by 1""")
+def q04_epoch_length(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.step_length(events(spark, sf).withColumn("s", F.col("us") / 1e6), "user_id", ["ts", "event_id"], "s")
+
+
+@query("""with m as (select *, case when event_type in ('signup', 'purchase') then event_type end as s from events)
+select event_id, coalesce(last_value(s ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row),
+ first_value(s ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and unbounded following)) as state from m""")
+def q05_state_ffill(spark: SparkSession, sf: str) -> DataFrame:
+    state = F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_type"))
+    return sequences.carried_state(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], state, "state").select("event_id", "state")
+
+
+@query(f"""with {EVENTS} select event_id, (exists (select 1 from e b where b.user_id = e.user_id and b.event_type = 'error' and e.us >= b.us and e.us < b.us + b.k * 60000000))::int as active from e""")
+def q06_interval_active(spark: SparkSession, sf: str) -> DataFrame:
+    e = events(spark, sf).select("event_id", "user_id", "us", "k", "event_type")
+    spans = e.where("event_type = 'error'").select("user_id", F.col("us").alias("lo"), (F.col("us") + F.col("k") * 60 * 10**6).alias("hi"))
+    return intervals.active(e.select("event_id", "user_id", "us"), spans, "user_id", "us", "lo", "hi", 3600 * 10**6).select("event_id", "active")
+
+
+@query("""with f as (select user_id, date_trunc('hour', ts) as hour, event_type, min((ts, event_id)) as first from events group by all)
+select user_id, epoch_us(hour) as hour_us, string_agg(event_type, ';' order by first) as types from f group by 1, 2""")
+def q07_onset_collapse(spark: SparkSession, sf: str) -> DataFrame:
+    e = events(spark, sf).withColumn("hour_us", F.floor(F.col("us") / (3600 * 10**6)) * (3600 * 10**6))
+    return sequences.onsets(e, ["user_id", "hour_us"], ["us", "event_id"], "event_type", "types")
+
+
+@query("""select o_orderkey, case when exists (select 1 from orders b where b.o_custkey = a.o_custkey and b.o_orderstatus = 'F' and b.o_orderkey <> a.o_orderkey
+ and abs(floor(epoch(a.o_orderdate - b.o_orderdate) / 86400)) <= 7) then 'M' else left(a.o_orderpriority, 1) end as class from orders a""")
+def q08_interval_semijoin_class(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").withColumn("s", S.micros("o_orderdate") / 10**6)
+    near = intervals.near_in_time(o, o.where("o_orderstatus = 'F'"), "o_custkey", "o_orderkey", "s", 7).select("o_orderkey", F.lit("M").alias("m"))
+    return o.join(near, "o_orderkey", "left").select("o_orderkey", F.coalesce("m", F.substring("o_orderpriority", 1, 1)).alias("class"))
+
+
+@query("""select o_orderkey, '001_' || strftime(o_orderdate, '%Y%m%d') || '_' || lpad((row_number() over (partition by year(o_orderdate) order by o_orderdate, o_orderkey))::varchar, 6, '0') || '_' || o_orderstatus as ident from orders""")
+def q09_sequential_ids(spark: SparkSession, sf: str) -> DataFrame:
+    o = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate")).withColumn("day", F.to_date("o_orderdate"))
+    o = sequences.numbered(o, "year", "day", ["o_orderdate", "o_orderkey"], "seq")
+    return o.select("o_orderkey", F.concat_ws("_", F.lit("001"), F.date_format("day", "yyyyMMdd"), F.lpad(F.col("seq").cast("string"), 6, "0"), "o_orderstatus").alias("ident"))
+
+
+@query(r"""select doc_id, regexp_extract(text, '(?:^|[^A-Za-z0-9_-])token = "([0-9a-f]+)"', 1) as token from documents where regexp_matches(text, '(?:^|[^A-Za-z0-9_-])token = "[0-9a-f]+"')""")
+def q10_regex_fields(spark: SparkSession, sf: str) -> DataFrame:
+    token = S.found("text", '(?:^|[^A-Za-z0-9_-])token = "([0-9a-f]+)"')
+    return table(spark, sf, "documents").select("doc_id", token.alias("token")).where("token is not null")
+
+
+@query("""with a as (select doc_id, length(text) + 1 as total, anchor, instr(text, anchor) as start from documents, (values (' the '), (' and '), (' of ')) t(anchor))
+select doc_id, anchor, start::int as start, (coalesce(lead(start) over (partition by doc_id order by start, anchor), total) - start)::int as length from a where start > 0""")
+def q11_anchor_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.anchored(table(spark, sf, "documents").select("doc_id", "text"), "text", [" the ", " and ", " of "]).drop("text")
+
+
+@query("""with n as (select doc_id, regexp_extract_all(text, '[0-9]+') as n from documents) select doc_id, n[2] as second from n where len(n) >= 2""")
+def q12_nth_token(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", text.nth_number("text", 2).alias("second")).where("second is not null")
+
+
+@query("""select p_partkey, case when contains(p_type, 'STANDARD') then 1 when contains(p_type, 'ECONOMY') then 3 when contains(p_type, 'MEDIUM') then 2 when contains(p_type, 'PROMO') then 4 end as code from part""")
+def q13_choice_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", S.choice_code("p_type", {"STANDARD": 1, "MEDIUM": 2, "ECONOMY": 3, "PROMO": 4}).alias("code"))
+
+
+LINES = r"""l as (select doc_id, unnest(range(1, len(ls) + 1)) as line_no, unnest(ls) as line from (select doc_id, string_split(text, chr(10)) as ls from documents)),
+n as (select *, regexp_matches(trim(line), '[^\s0-9|*#$%&!=_.,;:-]') as informative from l)"""
+
+
+@query(f"with {LINES} select doc_id, line_no::int as line_no, length(line)::int as chars from n where informative")
+def q14_line_table(spark: SparkSession, sf: str) -> DataFrame:
+    return text.lines(table(spark, sf, "documents"), ["doc_id"], "text").where("informative").select("doc_id", "line_no", F.length("line").alias("chars"))
+
+
+ROUTES = {"en": [(" the ", 3), (" and ", 2), (" of ", 2)], "fr": [(" de ", 2), (" la ", 2), (" et ", 2), ("que", 1)], "de": [(" der ", 3), (" und ", 3), ("ß", 1)], "es": [(" de ", 1), (" el ", 3), (" los ", 2), ("ción", 2)]}
+
+
+def _score(name: str) -> str:
+    return " + ".join(f"case when contains(text, '{p}') then {w} else 0 end" for p, w in ROUTES[name])
+
+
+@query(f"""with s as (select doc_id, [{', '.join(f"{{'s': -({_score(n)}), 'i': {i}, 'n': '{n}'}}" for i, n in enumerate(ROUTES))}] as r from documents), o as (select doc_id, list_sort(r) as r from s)
+select doc_id, (-r[1].s)::int as score, (r[2].s - r[1].s)::int as margin, case when r[1].s < 0 then r[1].n else 'unknown' end as route,
+case when -r[1].s >= 4 then 'high' when -r[1].s >= 2 then 'medium' else 'low' end as confidence from o""")
+def q15_route_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return text.route(table(spark, sf, "documents"), "text", ROUTES).select("doc_id", "score", "margin", "route", "confidence")
+
+
+@query(r"""select page_id, case when regexp_matches(url, '\?') then 'query' when regexp_matches(url, '#') then 'anchor' when regexp_matches(html, '<table') then 'table' when regexp_matches(html, '<ul') then 'list' else 'plain' end as category from pages""")
+def q16_first_match_category(spark: SparkSession, sf: str) -> DataFrame:
+    category = F.coalesce(F.nullif(text.first_match("url", [(r"\?", "query"), ("#", "anchor")], ""), F.lit("")), text.first_match("html", [("<table", "table"), ("<ul", "list")], "plain"))
+    return table(spark, sf, "pages").select("page_id", category.alias("category"))
+
+
+@query("""with m as (select *, case when role = 'user' then {'v': turn::varchar} when role = 'system' then {'v': null::varchar} end as mark from conversations)
+select conv_id, turn, role, last_value(mark ignore nulls) over (partition by conv_id order by turn, role, text rows between unbounded preceding and current row).v as state from m""")
+def q17_sequence_state(spark: SparkSession, sf: str) -> DataFrame:
+    start = F.when(F.col("role") == "user", F.col("turn").cast("string"))
+    return sequences.state_with_breaks(table(spark, sf, "conversations"), ["conv_id"], ["turn", "role", "text"], start, F.col("role") == "system", "state").select("conv_id", "turn", "role", "state")
+
+
+RANGES = "r as (select l_partkey, l_returnflag, (epoch(l_shipdate) / 86400)::bigint as lo, (epoch(l_shipdate) / 86400)::bigint + l_quantity::bigint as hi from lineitem)"
+
+
+def _coalesced(of: str) -> str:
+    return f"""(select l_partkey, min(lo) as lo, max(hi) as hi from (select *, sum(new) over (partition by l_partkey order by lo, hi rows between unbounded preceding and current row) as island from
+ (select *, case when lo <= max(hi) over (partition by l_partkey order by lo, hi rows between unbounded preceding and 1 preceding) + 1 then 0 else 1 end as new from {of})) group by l_partkey, island)"""
+
+
+def ranges(spark: SparkSession, sf: str) -> DataFrame:
+    day = (S.micros("l_shipdate") / (86400 * 10**6)).cast("long")
+    return table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", day.alias("lo"), (day + F.col("l_quantity").cast("long")).alias("hi"))
+
+
+@query(f"with {RANGES} select * from {_coalesced('r')}")
+def q18_coalesce_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.coalesce_ranges(ranges(spark, sf), ["l_partkey"], "lo", "hi")
+
+
+@query(f"""with {RANGES}, p as (select distinct l_partkey, unnest(range(lo, hi + 1)) as d from r), g as (select distinct l_partkey, unnest(range(lo, hi + 1)) as d from r where l_returnflag = 'R'),
+x as (select l_partkey, d, d - row_number() over (partition by l_partkey order by d) as run from (select * from p except select * from g))
+select l_partkey, min(d) as lo, max(d) as hi from x group by l_partkey, run""")
+def q19_subtract_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    r = ranges(spark, sf)
+    return intervals.subtract_ranges(r, r.where("l_returnflag = 'R'"), ["l_partkey"], "lo", "hi")
+
+
+@query(f"""with {LINES} select doc_id, count(*) as n_lines, count(*) filter (where not contains(line, ' the ')) as n_left, round(count(*) filter (where contains(line, ' the ')) / count(*), 6) as coverage,
+count(*) filter (where contains(line, ' the ')) / count(*) < 0.75 as low from n where informative group by 1""")
+def q20_leftover_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    rows = text.lines(table(spark, sf, "documents"), ["doc_id"], "text").where("informative")
+    covered = intervals.islands(rows.where(F.contains("line", F.lit(" the "))).select("doc_id", "line_no"), ["doc_id"], "line_no")
+    left = intervals.uncovered(rows.select("doc_id", "line_no"), covered, ["doc_id"], "line_no", "start", "end").groupBy("doc_id").agg(F.count("*").alias("n_left"))
+    total = rows.groupBy("doc_id").agg(F.count("*").alias("n_lines")).join(left, "doc_id", "left").fillna(0, ["n_left"])
+    share = (F.col("n_lines") - F.col("n_left")) / F.col("n_lines")
+    return total.select("doc_id", "n_lines", "n_left", F.round(share, 6).alias("coverage"), (share < 0.75).alias("low"))
+
+
+@query(f"""with {LINES}, h as (select doc_id, (contains(line, ' the '))::int + (contains(line, ' and '))::int as en, (contains(line, ' de '))::int + (contains(line, ' la '))::int as fr, (contains(line, ' der '))::int + (contains(line, ' und '))::int as de from n where informative),
+s as (select doc_id, sum(en) as en, sum(fr) as fr, sum(de) as de from h group by 1) select doc_id, greatest(en, fr, de)::bigint as hits, case when en >= fr and en >= de then 'en' when fr >= de then 'fr' else 'de' end as category from s""")
+def q21_leftover_argmax(spark: SparkSession, sf: str) -> DataFrame:
+    rows = text.lines(table(spark, sf, "documents"), ["doc_id"], "text").where("informative")
+    hits = {n: sum((F.contains("line", F.lit(p)).cast("int") for p in own), F.lit(0)) for n, own in (("en", (" the ", " and ")), ("fr", (" de ", " la ")), ("de", (" der ", " und ")))}
+    s = rows.groupBy("doc_id").agg(*[F.sum(h).alias(n) for n, h in hits.items()])
+    return s.select("doc_id", F.greatest("en", "fr", "de").alias("hits"), F.when((F.col("en") >= F.col("fr")) & (F.col("en") >= F.col("de")), "en").when(F.col("fr") >= F.col("de"), "fr").otherwise("de").alias("category"))
+
+
+@query("""select p_partkey, least(p_size, p_partkey % 60)::double as low, greatest(p_size, p_partkey % 60)::double as high, (p_size + p_partkey % 60) / 2.0 as middle from part""")
+def q22_format_parsing(spark: SparkSession, sf: str) -> DataFrame:
+    sep = F.element_at(F.array(*map(F.lit, ("~", "-", " to ", " ~ "))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    t = F.concat(F.col("p_size").cast("string"), sep, (F.col("p_partkey") % 60).cast("string"))
+    rows = table(spark, sf, "part").withColumn("t", F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("between "), F.col("p_size").cast("string"), F.lit(" and "), (F.col("p_partkey") % 60).cast("string"))).otherwise(t))
+    lo, hi = S.range_bounds("t")
+    return rows.select("p_partkey", lo.alias("low"), hi.alias("high"), S.range_value("t").alias("middle"))
+
+
+FACTS = """f as (select l_orderkey, l_linenumber, 'quantity' as key, l_quantity::varchar as value, l_discount as certainty from lineitem union all select l_orderkey, l_linenumber, 'flag', l_returnflag, l_tax from lineitem
+ union all select l_orderkey, l_linenumber, 'status', l_linestatus, l_discount from lineitem union all select l_orderkey, l_linenumber, 'other', l_suppkey::varchar, l_tax from lineitem)"""
+
+
+def facts(spark: SparkSession, sf: str) -> DataFrame:
+    cols = F.array(*[F.struct(F.lit(k).alias("key"), F.col(c).cast("string").alias("value"), F.col(w).alias("certainty")) for k, c, w in (("quantity", "l_quantity", "l_discount"), ("flag", "l_returnflag", "l_tax"), ("status", "l_linestatus", "l_discount"), ("other", "l_suppkey", "l_tax"))])
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.inline(cols))
+
+
+@query(f"""with {FACTS} select key, case when key = 'other' then 'unknown_key' when coalesce(trim(value), '') = '' then 'empty' when key = 'quantity' and (value::double < 5 or value::double > 40) then 'out_of_range'
+ when key = 'flag' and value not in ('A', 'N') then 'invalid_choice' when key = 'status' and value not in ('F', 'O') then 'invalid_choice' end as reason, count(*) as n from f group by all""")
+def q23_validate_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    rows = resolve.validated(facts(spark, sf), {"quantity": (5, 40)}, {"flag": ["A", "N"], "status": ["F", "O"]}, "key", "value")
+    return rows.groupBy("key", "reason").agg(F.count("*").alias("n"))
+
+
+@query("""select c_custkey, case lower(trim(c_mktsegment)) when 'household' then 'home' when 'machinery' then 'industry' when 'furniture' then 'home' else c_mktsegment end as segment from customer""")
+def q24_alias_normalise(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.aliased(table(spark, sf, "customer"), "c_mktsegment", {"household": "home", "machinery": "industry", "furniture": "home"}, "segment").select("c_custkey", "segment")
+
+
+@query(r"""select page_id, coalesce(nullif(regexp_extract(html, '<h1[^>]*>([^<]+)<', 1), ''), nullif(regexp_extract(html, '<title>([^<]+)<', 1), ''), regexp_extract(url, '//([^/]+)/', 1)) as name from pages""")
+def q25_core_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    name = resolve.back_filled(S.found("html", "<h1[^>]*>([^<]+)<"), S.found("html", "<title>([^<]+)<"), F.regexp_extract("url", "//([^/]+)/", 1))
+    return table(spark, sf, "pages").select("page_id", name.alias("name"))
+
+
+@query("""with s as (select l_orderkey, l_returnflag as v, count(*) as n, min((l_linenumber, -l_quantity)) as p from lineitem group by 1, 2), b as (select *, rank() over (partition by l_orderkey order by n desc, p) as k from s)
+select l_orderkey, case when count(*) = 1 then min(v) end as chosen, count(*) > 1 as conflict from b where k = 1 group by 1""")
+def q26_evidence_choice(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.by_evidence(table(spark, sf, "lineitem"), ["l_orderkey"], "l_returnflag", "l_linenumber", "l_quantity")
+
+
+@query(f"with {FACTS} select l_orderkey, key, count(distinct value) as n_values, case when count(distinct value) = 1 then min(value) end as merged from f where value is not null group by 1, 2")
+def q27_merge_split(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.merged(facts(spark, sf), ["l_orderkey", "key"], "value")
+
+
+@query(f"""with {FACTS}, v as (select l_orderkey, key, value, count(*) as votes, max(certainty) as best from f where key in ('flag', 'status') group by 1, 2, 3),
+p as (select *, count(*) over w as n, max(votes) over w as top from v window w as (partition by l_orderkey, key)), t as (select *, count(*) over w as tied, max(best) over w as c from p where votes = top window w as (partition by l_orderkey, key)),
+m as (select l_orderkey, key, any_value(n) as n, any_value(tied) as tied, max(c) as c, count(*) filter (where best = c) as at_best, arg_max(value, (best, value)) as v from t group by 1, 2),
+k as (select *, case when n = 1 then 'single' when tied = 1 then 'majority' when c >= 0 and at_best = 1 then 'certainty' else 'pending' end as mode from m)
+select l_orderkey, key, mode, case when mode <> 'pending' then v end as chosen from k""")
+def q28_majority_vote(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.majority(facts(spark, sf).where("key in ('flag', 'status')"), ["l_orderkey", "key"], "value", "certainty")
+
+
+@query(f"with {FACTS} select l_orderkey, key, value, count(*) as votes, max(certainty) as best, round(avg(certainty), 6) as mean from f where key = 'flag' group by 1, 2, 3")
+def q29_vote_table(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.vote_table(facts(spark, sf).where("key = 'flag'"), ["l_orderkey", "key"], "value", "certainty").withColumn("mean", F.round("mean", 6))
+
+
+@query(f"with {FACTS}, m as (select l_orderkey, key, min(value) as v from f group by 1, 2 having count(distinct value) = 1) select l_orderkey, max(v) filter (where key = 'flag') as flag, max(v) filter (where key = 'status') as status, max(v) filter (where key = 'quantity') as quantity from m where key in ('flag', 'status', 'quantity') group by 1")
+def q30_pivot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.wide(resolve.merged(facts(spark, sf), ["l_orderkey", "key"], "value").where("merged is not null"), "l_orderkey", "key", "merged", ["flag", "status", "quantity"])
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when abs(l_extendedprice - l_quantity * p_retailprice) > 1.0 then round(l_quantity * p_retailprice, 2) else l_extendedprice end as price,
+case when l_linenumber = 6 then 0 when l_linenumber between 0 and 5 then l_linenumber end as minute from lineitem join part on l_partkey = p_partkey""")
+def q31_final_row_rules(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "lineitem").join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey")
+    want = F.col("l_quantity") * F.col("p_retailprice")
+    minute = F.when(F.col("l_linenumber") == 6, 0).when(F.col("l_linenumber").between(0, 5), F.col("l_linenumber"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(F.abs(F.col("l_extendedprice") - want) > 1.0, F.round(want, 2)).otherwise(F.col("l_extendedprice")).alias("price"), minute.alias("minute"))
+
+
+@query("""with h as (select doc_id, sha1(text) as sha1 from documents) select doc_id, min(doc_id) over (partition by sha1) as first_id, row_number() over (partition by sha1 order by doc_id) > 1 as duplicate from h""")
+def q32_exact_dup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", F.sha1("text").alias("sha1"))
+    first = rows.groupBy("sha1").agg(F.min("doc_id").alias("first_id"))
+    return rows.join(first, "sha1").select("doc_id", "first_id", (F.col("doc_id") != F.col("first_id")).alias("duplicate"))
+
+
+@query("""with b as (select vec_id, list_transform(embedding, lambda x: (x > 0)::int) as b from embeddings),
+p as (select x.vec_id as a, y.vec_id as b, list_sum(list_transform(list_zip(x.b, y.b), lambda z: (z[1] <> z[2])::int))::int as distance from b x join b y on x.vec_id < y.vec_id)
+select * from p where distance <= 6""")
+def q33_near_dup(spark: SparkSession, sf: str) -> DataFrame:
+    sign = lambda a, i: F.shiftleft(F.when(F.get(a, F.lit(i)) > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")), i)
+    word = sign("embedding", 0)
+    for i in range(1, 64):
+        word = word.bitwiseOR(sign("embedding", i))
+    return evaluate.near_pairs(table(spark, sf, "embeddings").select("vec_id", word.alias("bits")), "vec_id", "bits", 6)
+
+
+COPY = "c as (select o_orderkey, case when o_orderkey % 7 = 0 then null else o_orderstatus end as o_orderstatus, case when o_orderkey % 11 = 0 then 'X' else o_orderpriority end as o_orderpriority, case when o_orderkey % 13 = 0 then null else o_custkey end as o_custkey from orders)"
+
+
+def copy(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    return table(spark, sf, "orders").select("o_orderkey", F.when(k % 7 != 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(k % 11 == 0, "X").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"), F.when(k % 13 != 0, F.col("o_custkey")).alias("o_custkey"))
+
+
+def _metric(c: str) -> str:
+    return f"select '{c}' as field, count(*) filter (where c.{c} is not distinct from o.{c}) as matches, count(*) filter (where c.{c} is not null and o.{c} is null) as false_pos, count(*) filter (where c.{c} is null and o.{c} is not null) as false_neg, count(*) filter (where c.{c} <> o.{c}) as wrong, count(*) filter (where c.{c} = o.{c}) as true_pos from c join orders o using (o_orderkey)"
+
+
+@query(f"""with {COPY}, m as ({' union all '.join(map(_metric, ('o_orderstatus', 'o_orderpriority', 'o_custkey')))})
+select *, round(true_pos / greatest(1, true_pos + false_pos + wrong), 9) as precision, round(true_pos / greatest(1, true_pos + false_neg + wrong), 9) as recall, round(2 * true_pos / greatest(1, 2 * true_pos + false_pos + false_neg + 2 * wrong), 9) as f1 from m""")
+def q34_semantic_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = evaluate.scores(evaluate.field_metrics(copy(spark, sf), table(spark, sf, "orders"), "o_orderkey", ["o_orderstatus", "o_orderpriority", "o_custkey"]))
+    return m.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@query("""with k as (select l_returnflag as type, l_linestatus as stage, count(*) as total, count(*) filter (where l_discount > 0.02) as correct from lineitem group by 1, 2),
+s as (select stage, sum(total)::bigint as total, sum(correct)::bigint as correct, round(avg(correct / total), 9) as macro from k group by 1)
+select stage, total, correct, round(correct / total, 9) as micro, macro, sum(correct) over (order by stage)::bigint as cumulative, correct / total >= 0.7 as passed from s""")
+def q35_stage_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    k = table(spark, sf, "lineitem").groupBy("l_returnflag", F.col("l_linestatus").alias("stage")).agg(F.count("*").alias("total"), F.count_if(F.col("l_discount") > 0.02).alias("correct"))
+    s = k.groupBy("stage").agg(F.sum("total").alias("total"), F.sum("correct").alias("correct"), F.round(F.avg(F.col("correct") / F.col("total")), 9).alias("macro"))
+    return s.select("stage", "total", "correct", F.round(F.col("correct") / F.col("total"), 9).alias("micro"), "macro", F.sum("correct").over(Window.orderBy("stage")).alias("cumulative"), (F.col("correct") / F.col("total") >= 0.7).alias("passed"))
+
+
+@query("""with t as (select quality as y, (not contains(text, ' | ') and not contains(text, '###'))::int as g from labels join documents using (doc_id)), n as (select count(*) filter (where y = 1 and g = 1) as tp, count(*) filter (where y = 0 and g = 1) as fp, count(*) filter (where y = 1 and g = 0) as fn, count(*) filter (where y = 0 and g = 0) as tn from t)
+select *, round((tp + tn) / (tp + fp + fn + tn), 9) as accuracy, round(tp / (tp + fp), 9) as precision, round(tp / (tp + fn), 9) as recall from n""")
+def q36_confusion(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    guess = (~F.contains("text", F.lit(" | ")) & ~F.contains("text", F.lit("###"))).cast("int")
+    return evaluate.confusion(rows, F.col("quality"), guess).withColumns({c: F.round(c, 9) for c in ("accuracy", "precision", "recall")})
+
+
+@query("""with a as (select doc_id, lang from documents where doc_id % 9 <> 0), b as (select doc_id, case when doc_id % 5 = 0 then 'xx' else lang end as lang from documents where doc_id % 8 <> 0)
+select doc_id, case when b.doc_id is null then 'only_a' when a.doc_id is null then 'only_b' when a.lang is not distinct from b.lang then 'same' else 'different' end as status from a full join b using (doc_id)""")
+def q37_run_diff(spark: SparkSession, sf: str) -> DataFrame:
+    d = table(spark, sf, "documents").select("doc_id", "lang")
+    other = d.where("doc_id % 8 <> 0").withColumn("lang", F.when(F.col("doc_id") % 5 == 0, "xx").otherwise(F.col("lang")))
+    return evaluate.run_diff(d.where("doc_id % 9 <> 0"), other, "doc_id", "lang")
+
+
+@query()
+def q38_similarity_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = table(spark, sf, "conversations").withColumn("before", F.lag("text").over(w))
+    return rows.where("before is not null").select("conv_id", "turn", F.round(evaluate.similarity("before", "text"), 6).alias("ratio"))
+
+
+@query(f"with {EVENTS} select event_type, date_trunc('minute', ts) as minute, count(*) as requests, sum(k)::bigint as tokens, max(k) as most from e group by 1, 2")
+def q40_usage_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    e = events(spark, sf).dropDuplicates(["event_id"]).withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+    return evaluate.usage(e, ["event_type", "minute"], "k")
+
+
+@query(f"""with {EVENTS} select event_type, count(*) as requests, sum(k)::bigint as tokens, max(k) as most, case event_type when 'click' then round(2.5 * sum(k) / 1e6, 9) when 'view' then round(2.0 * sum(k) / 1e6, 9) end as cost,
+case when event_type not in ('click', 'view') then 'no price' end as note from e group by 1""")
+def q41_cost_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    rows = evaluate.usage(events(spark, sf).dropDuplicates(["event_id"]), ["event_type"], "k")
+    return evaluate.priced(rows, {"click": 2.5, "view": 2.0}, "event_type", "tokens").withColumn("cost", F.round("cost", 9))
+
+
+@query(f"""with {EVENTS} select event_id, count(*) over w as n_window, (sum(k) over w)::bigint as sum_window from e window w as (partition by event_type order by us range between 59999999 preceding and current row)""")
+def q42_sliding_usage(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.sliding(events(spark, sf), ["event_type"], "us", 60 * 10**6, "k").select("event_id", "n_window", "sum_window")
+
+
+@query("""with p as (select source, row_number() over (partition by source order by doc_id) as cut, sum(n_chars) over (partition by source order by doc_id rows between unbounded preceding and current row) as l, sum(n_chars) over (partition by source) as a, count(*) over (partition by source) as n from documents),
+m as (select source, min((abs(2 * l - a), cut)) as m from p where cut < n group by 1) select source, m[2]::int as cut, m[1]::bigint as difference from (select source, [m[1]::bigint, m[2]::bigint] as m from m)""")
+def q43_balanced_split(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.balanced_split(table(spark, sf, "documents"), "source", ["doc_id"], "n_chars")
+
+
+@query("""select p_partkey, least(3, floor(coalesce(sum(p_size) over (partition by p_brand order by p_partkey rows between unbounded preceding and 1 preceding), 0) * 4 / greatest(1, sum(p_size) over (partition by p_brand))))::int as part from part""")
+def q44_weighted_partition(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.weighted_parts(table(spark, sf, "part"), "p_brand", ["p_partkey"], "p_size", 4, "part").select("p_partkey", "part")
+
+
+@query("select doc_id, floor((row_number() over (partition by source order by doc_id) - 1) / 7)::int as bundle from documents")
+def q45_bundling(spark: SparkSession, sf: str) -> DataFrame:
+    return sequences.bundles(table(spark, sf, "documents"), "source", ["doc_id"], 7, "bundle").select("doc_id", "bundle")
+
+
+@query("""with n as (select source, count(*) as pages from documents group by 1), b as (select b, sum(ceil(pages / b))::bigint as requests from n, (select unnest(range(1, 33)) as b) group by 1)
+select b as bundle_size, requests, requests <= (select count(*) from documents) / 4 as fits from b""")
+def q46_quota_plan(spark: SparkSession, sf: str) -> DataFrame:
+    n = table(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("pages"))
+    n = n.select("pages", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(32).cast("long"))).alias("bundle_size"))
+    rows = n.groupBy("bundle_size").agg(F.sum(F.ceil(F.col("pages") / F.col("bundle_size"))).alias("requests"), F.sum("pages").alias("all"))
+    return rows.select("bundle_size", "requests", (F.col("requests") <= F.col("all") / 4).alias("fits"))
+
+
+@query(r"""with m as (select doc_id, regexp_extract_all(text, '[0-9]{4,}') as m from documents), u as (select doc_id, unnest(m) as v, unnest(range(1, len(m) + 1)) as i from m), f as (select doc_id, v, min(i) as i from u group by 1, 2)
+select doc_id, string_agg(v, ',' order by i) as numbers from f group by 1""")
+def q47_multi_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select("doc_id", F.array_join(text.all_found("text", "([0-9]{4,})"), ",").alias("numbers")).where("numbers <> ''")
+
+
+@query()
+def q48_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/usage-{uuid.uuid4().hex}"
+    source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet")
+    rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+    usage.drain(usage.windowed(rows, "at", "event_id", "event_type", "k"), f"{folder}/out", f"{folder}/state")
+    return spark.read.schema("start timestamp, event_type string, n long, total long").parquet(f"{folder}/out")
+
+
+@query("""with n as (select user_id, event_type, count(*) as n, min((ts, event_id)) as f from events group by 1, 2), r as (select *, row_number() over (partition by user_id order by n desc, f) as k from n) select user_id, event_type as mode from r where k = 1""")
+def q49_mode_choice(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.most_common(table(spark, sf, "events"), "user_id", "event_type", ["ts", "event_id"])
+
+
+@query("""with r as (select *, row_number() over (partition by user_id order by value desc, event_id) as k from events) select user_id, event_id, event_type from r where k = 1""")
+def q50_best_of_n(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve.best_attempt(table(spark, sf, "events"), "user_id", F.col("value"), ["event_id"], "event_id", "event_type")
