@@ -415,7 +415,7 @@ def q47_multi_extract(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def q48_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/usage-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet")
+    source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
     rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
     usage.drain(usage.windowed(rows, "at", "event_id", "event_type", "k"), f"{folder}/out", f"{folder}/state")
     return spark.read.schema("start timestamp, event_type string, n long, total long").parquet(f"{folder}/out")
