@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def normalise(df: DataFrame, lo: str, hi: str) -> DataFrame:
     """Reversed ranges are swapped, ranges not above 0 and incomplete ones go."""
-    return df.withColumns({lo: F.least(lo, hi), hi: F.greatest(lo, hi)}).where(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col(lo) > 0))
+    whole = df.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+    return whole.withColumns({lo: F.least(lo, hi), hi: F.greatest(lo, hi)}).where(F.col(lo) > 0)
 
 
 def coalesce_ranges(df: DataFrame, keys: list[str], lo: str, hi: str, gap: int = 1) -> DataFrame:
@@ -55,8 +56,9 @@ def active(points: DataFrame, spans: DataFrame, key: str, at: str, lo: str, hi:
     """`points` with active 0/1: whether a span [lo, hi) of the key holds the point. Spans are filed under the cells of
     width `cell` they touch, so the join stays an equi-join."""
     cells = spans.where(F.col(hi) > F.col(lo)).select(F.col(key).alias("__key"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor((F.col(hi) - 1) / cell))).alias("__cell"))
-    hit = points.withColumn("__c", F.floor(F.col(at) / cell)).join(cells, (F.col(key) == F.col("__key")) & (F.col("__c") == F.col("__cell")) & (F.col(at) >= F.col("__lo")) & (F.col(at) < F.col("__hi")), "left_semi").drop("__c")
-    return hit.withColumn("active", F.lit(1)).unionByName(points.join(hit.select(*points.columns), points.columns, "left_anti").withColumn("active", F.lit(0)))
+    places = points.select(key, at).distinct().withColumn("__c", F.floor(F.col(at) / cell))
+    hit = places.join(cells, (F.col(key) == F.col("__key")) & (F.col("__c") == F.col("__cell")) & (F.col(at) >= F.col("__lo")) & (F.col(at) < F.col("__hi")), "left_semi")
+    return points.join(hit.select(key, at, F.lit(1).alias("__hit")), [key, at], "left").select(*points.columns, F.coalesce("__hit", F.lit(0)).alias("active"))
 
 
 def near_in_time(df: DataFrame, other: DataFrame, key: str, ident: str, at: str, days: int = 7) -> DataFrame:

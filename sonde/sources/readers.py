@@ -33,6 +33,8 @@ def csv_any_encoding(spark: SparkSession, paths: list[str], columns: list[str] |
     by: dict[str, list[str]] = {}
     for row in heads:
         by.setdefault(encoding_of(bytes(row["head"])), []).append(row["path"])
+    if set(by) - {"utf-8", "latin-1"}:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else the reader knows Unicode and Latin-1 only
     out = None
     for encoding, own in by.items():
         for path in own:
