@@ -30,7 +30,9 @@ class PieceCounter:
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
         self.memory = memory
-        self.known: dict[str, int] = {}
+        #: A last single space is a pre-token of its own, and the library gives nothing for what is left of it.
+        self.alone = {"": len(self.library.encode("\n ")) - len(self.library.encode("\n"))}
+        self.known: dict[str, int] = dict(self.alone)
         self.separable = self._separable(model)
 
     def _separable(self, model: str) -> bool:
@@ -51,7 +53,7 @@ class PieceCounter:
         """Pre-tokens, each without the one space that the library puts in front of what it is given."""
         if SPACE in text:  # the library's own mark is the same as a space
             text = text.replace(SPACE, " ")
-        parts = text.split(" ")
+        parts = text.split(" ") if text else []
         if "" not in parts:
             return parts
         out, blanks = [], 0
@@ -62,7 +64,7 @@ class PieceCounter:
             else:
                 blanks += 1
         out.append(" " * blanks + parts[-1])
-        return out if text else []
+        return out
 
     def counts(self, texts: list[str]) -> list[int]:
         if not self.separable:
@@ -70,8 +72,8 @@ class PieceCounter:
         frequencies = [Counter(self.pre_tokens(t)) for t in texts]
         new = list({w for f in frequencies for w in f if w not in self.known})
         if len(self.known) + len(new) > self.memory:
-            self.known = {}
-            new = list({w for f in frequencies for w in f})
+            self.known = dict(self.alone)
+            new = list({w for f in frequencies for w in f if w})
         step = 50_000
         for i in range(0, len(new), step):
             part = new[i : i + step]
