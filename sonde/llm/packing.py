@@ -26,7 +26,7 @@ from sonde.llm.common import bounded_batches, stored
 SIZE, END = 1024, 2
 GROUPS = 400
 SMALL = 128
-RANK_ROWS = 100_000
+RANK_ROWS, MOST_BUCKETS = 1000, 65536
 MEMORY = 200_000
 
 
@@ -242,10 +242,12 @@ def pack(cut: DataFrame, size: int = SIZE, groups: int = GROUPS, order: tuple[st
     for n, rank, k, seq, offset in runs:
         by[n].append((rank, seq, offset))
     tables = {n: tuple(np.array(x, np.int64) for x in zip(*sorted(v), strict=True)) for n, v in by.items()}
-    # ranks in two levels, so that a frequent length is many small windows
-    split = F.create_map(*[F.lit(x) for n, c in counts.items() if c > RANK_ROWS for x in (n, -(-c // RANK_ROWS))]) if any(c > RANK_ROWS for c in counts.values()) else None
-    parts = F.coalesce(split[F.col("length")], F.lit(1)) if split is not None else F.lit(1)
-    rows = cut.withColumn("__bucket", F.pmod(F.xxhash64(*order[:2]), parts.cast("long")))
+    # ranks in two levels, so that a frequent length is many small windows; an array of `size` numbers says how many
+    split = [1] * (size + 1)
+    for n, c in counts.items():
+        split[n] = min(MOST_BUCKETS, -(-c // RANK_ROWS))
+    parts = F.get(F.lit(split), F.col("length").cast("int")).cast("long")
+    rows = cut.withColumn("__bucket", F.pmod(F.xxhash64(*order[:2]), parts))
     sums = rows.groupBy("length", "__bucket").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("length", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
