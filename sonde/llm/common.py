@@ -54,19 +54,6 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
-    """Join on `names`, nulls equal; keeps the left columns and the others of the right.
-
-    Spark hashes on (coalesce(x, default), isnull(x)) for `<=>`, so this stays an equi-join.
-    """
-    renamed = right.withColumnsRenamed({n: f"__right_{n}" for n in names})
-    cond = None
-    for n in names:
-        c = left[n].eqNullSafe(renamed[f"__right_{n}"])
-        cond = c if cond is None else cond & c
-    return left.join(renamed, cond, how).drop(*[f"__right_{n}" for n in names])
-
-
 def components(edges: DataFrame, every: int = 4, limit: int = 60) -> DataFrame:
     """Connected components of `edges` (a long, b long) as rows (node, root): root is the least node reachable.
 

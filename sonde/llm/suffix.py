@@ -295,6 +295,7 @@ def repeated_spans(docs: DataFrame, hot: int = HOT, batch: int = BATCH) -> DataF
     rows = keyed(docs)
     found = stored(find_anchors(rows), "anchors")
     again = found.groupBy("anchor").agg(F.count("*").alias("__n"), F.min("content").alias("__a"), F.max("content").alias("__b")).where("`__n` > 1")
+    again = stored(again, "anchors-again")  # a join of two plain scans, which can be split where an anchor is frequent
     kept = stored(found.join(again, "anchor").select(*found.columns, (F.col("__a") != F.col("__b")).alias("mixed")), "anchors-twice")
     rep = F.struct(F.col("__id").alias("id"), F.col("__key").alias("key"), "first", "last", "offset")
     sets = stored(kept.groupBy("anchor", "content", "mixed").agg(F.count("*").alias("n"), F.min(rep).alias("rep")), "anchors-sets")
