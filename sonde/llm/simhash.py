@@ -24,6 +24,8 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
+#: Candidates of near_dedup: fingerprints over word pairs, 8 bits. Pairs of one node checked by one task: HOT.
+NEAR_WORDS, NEAR_MOST, HOT = 2, 8, 256
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -190,20 +192,72 @@ def simhash_components(docs: DataFrame, most: int = MOST, words: int = WORDS) ->
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame, most: int = MOST, words: int = WORDS) -> DataFrame:
-    """The rows of `docs`, columns unchanged, of which one of each group linked by SimHash stays.
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """Rows (node long, own array<long>): 64-bit hashes of the different word shingles of each row (node, text)."""
+    bounded_batches(texts.sparkSession)
+
+    def shingles(text: str | None) -> list[int]:
+        own = (text or "").encode().translate(LOWER).split()
+        cut = {b" ".join(own[k : k + words]) for k in range(max(len(own) - words, 0) + 1)} if own else set()
+        return np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64).tolist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["node", "own"])
+
+    return texts.select("node", F.col("text").cast("string")).mapInArrow(run, "node long, own array<long>")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of `least` or more; two empty sets are equal.
+
+    A node that many pairs name as b is dealt over one partition key for each HOT of them.
+    """
+    share = pairs.groupBy("b").agg(F.ceil(F.count("*") / HOT).cast("int").alias("shares"))
+    dealt = pairs.join(share, "b").withColumn("salt", F.pmod(F.hash("a"), F.col("shares")))
+    right = share.join(sets.withColumnRenamed("node", "b").withColumnRenamed("own", "other"), "b").select("b", "other", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("salt"))
+    both = dealt.join(sets.withColumnRenamed("node", "a"), "a").join(right, ["b", "salt"])
+    shared = F.size(F.array_intersect("own", "other"))
+    return both.where(shared >= least * (F.size("own") + F.size("other") - shared)).select("a", "b")
+
+
+def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int = NEAR_MOST, near_words: int = NEAR_WORDS) -> DataFrame:
+    """The rows of `docs`, columns unchanged, of which one of each group of near copies stays.
+
+    Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once). Candidates are texts whose
+    fingerprints over `near_words`-word shingles differ in at most `most` bits: one edit moves fewer short shingles
+    than long ones, so at the same similarity these fingerprints lie closer. Checked are the links of every file
+    (all in files of up to 16 fingerprints, a spanning forest in larger ones) and each candidate against the least
+    text of its component. Groups are the components of what passes.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
-    key; of rows that repeat both, any one.
+    key; of rows that repeat both, any one. Null and empty texts are copies of each other.
     """
     key = text_key(F.col("text").cast("string"))
     narrow = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
-    rows = stored(fingerprints(narrow, words, ("__id", "__key")), "simhash")
+    rows = stored(fingerprints(narrow, near_words, ("__id", "__key")), "simhash")
     place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__key").alias("key"))
-    least = rows.groupBy("fp").agg(F.min(place).alias("least"))
-    nodes = components(links(least.select("fp"), most)).withColumnRenamed("node", "fp")
-    stay = least.join(nodes, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("p")).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key")).distinct()
+    nodes = stored(rows.groupBy(F.col("__key").alias("node")).agg(F.first("fp").alias("fp"), F.min(place).alias("place")), "simhash-texts")
+    prints = nodes.groupBy("fp").agg(F.min("node").alias("node"))
+    near = stored(links(prints.select("fp"), most, most + 1).distinct(), "simhash-links")
+    reach = prints.join(components(near).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "node", F.coalesce("root", "fp").alias("root"))
+    heads = nodes.join(reach.select("fp", "root"), "fp")
+    first = heads.groupBy("root").agg(F.min("place").alias("p")).select("root", F.col("p.key").alias("b"))
+    named = prints.select("fp", "node")
+    pairs = (
+        near.join(named.toDF("a", "u"), "a").join(named.toDF("b", "v"), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+        .union(nodes.join(named.withColumnRenamed("node", "b"), "fp").select(F.col("node").alias("a"), "b"))
+        .union(heads.join(first, "root").select(F.col("node").alias("a"), "b"))
+        .where("a <> b").distinct()
+    )
+    pairs = stored(pairs, "simhash-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.select(key.alias("node"), "text").join(asked, "node").groupBy("node").agg(F.first("text").alias("text"))
+    sets = stored(shingle_sets(texts, words), "simhash-shingles")
+    groups = components(similar(pairs, sets, least))
+    stay = nodes.join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("place").alias("p")).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
-    first = Window.partitionBy("__id", "__key").orderBy(F.lit(1))
+    one = Window.partitionBy("__id", "__key").orderBy(F.lit(1))
     names = docs.columns
-    return docs.join(stay, same).withColumn("__n", F.row_number().over(first)).where("`__n` = 1").select(*[F.col(f"`{c}`") for c in names])
+    return docs.join(stay, same).withColumn("__n", F.row_number().over(one)).where("`__n` = 1").select(*[F.col(f"`{c}`") for c in names])

@@ -312,12 +312,49 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
+def near_groups(rows, words=5, least=0.8):
+    """Brute force: the components of all pairs of texts whose shingles are similar and whose fingerprints are near."""
+    def own(t):
+        w = t.encode().translate(simhash.LOWER).split()
+        return {tuple(w[k : k + words]) for k in range(max(len(w) - words, 0) + 1)} if w else set()
+
+    texts = sorted({t or "" for _, t in rows})
+    sets, prints = [own(t) for t in texts], [simhash.fingerprint(t.encode(), simhash.NEAR_WORDS) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if (prints[i] ^ prints[j]).bit_count() <= simhash.NEAR_MOST and both >= least * (len(sets[i]) + len(sets[j]) - both):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    return dict(zip(texts, group, strict=True))
+
+
 def test_near_dedup_keeps_one(odd, docs):
     for d in (odd, docs):
-        kept = simhash.near_dedup(d, words=4)
-        ids = simhash.simhash_components(d).select("component_id").distinct().count()
+        kept = simhash.near_dedup(d)
         assert kept.columns == d.columns
-        assert kept.count() == ids
+        rows = [tuple(r) for r in d.select("doc_id", "text").collect()]
+        group, want = near_groups(rows), {}
+        for i, t in rows:
+            g = group[t or ""]
+            want[g] = min(want.get(g, (True, 0)), (i is None, i or 0))
+        got = [tuple(r) for r in kept.select("doc_id", "text").collect()]
+        assert sorted(group[t or ""] for _, t in got) == sorted(want)
+        assert all((i is None, i or 0) == want[group[t or ""]] for i, t in got)
+
+
+def test_near_dedup_of_planted_copies(spark):
+    base = [" ".join(f"w{(k * 7919 + d * 104729) % 5003}" for k in range(300)) for d in range(40)]
+    rows = [(d, t) for d, t in enumerate(base)]
+    rows += [(1000 + 50 * d + c, " ".join(t.split()[: 7 * c + 3] + ["edit", str(c)] + t.split()[7 * c + 3 :])) for d, t in enumerate(base[:2]) for c in range(40)]
+    rows += [(5000, base[5].upper().replace("W", "w ")), (5001, "  " + base[6].replace(" ", "\n"))]
+    kept = {r[0] for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id").collect()}
+    assert kept == {*range(40), 5000}
+
+
+def test_near_dedup_of_nothing(spark):
+    assert simhash.near_dedup(spark.createDataFrame([], "doc_id long, text string, fp long, node string")).count() == 0
 
 
 def brute_lines(rows):
