@@ -24,8 +24,8 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
-#: Candidates of near_dedup: fingerprints over word pairs, 8 bits. Pairs of one node checked by one task: HOT.
-NEAR_WORDS, NEAR_MOST, HOT = 2, 8, 256
+#: Candidates of near_dedup: fingerprints over word pairs, 6 bits. Pairs of one node checked by one task: HOT.
+NEAR_WORDS, NEAR_MOST, HOT = 2, 6, 256
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
