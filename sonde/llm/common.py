@@ -82,5 +82,7 @@ def components(edges: DataFrame, every: int = 4, limit: int = 60) -> DataFrame:
         if tuple(state) == before:
             break
         before = tuple(state)
+    else:
+        raise RuntimeError(f"the components still change after {limit} steps")
     roots = both.select("v").distinct()
     return both.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("v", "v")).distinct()
