@@ -24,36 +24,56 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
-#: Candidates of near_dedup: fingerprints over word pairs, 6 bits. Pairs of one node checked by one task: HOT.
-NEAR_WORDS, NEAR_MOST, HOT = 2, 6, 256
+#: Candidates of near_dedup: 5 bits in one of 8 independent fingerprints over word pairs. Pairs of one node checked by one task: HOT.
+NEAR_WORDS, NEAR_MOST, NEAR_SEEDS, HOT = 2, 5, 8, 256
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """Majority bits of XXH64 over the text's word shingles, repeats included; 0 without a word."""
+def remixed(h: np.ndarray, turn: int) -> np.ndarray:
+    """Other 64-bit hashes of the same shingles for each turn; turn 0 leaves them."""
+    if not turn:
+        return h
+    h = h + np.uint64(turn * 0x9E3779B97F4A7C15 % 2**64)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def prints_of(text: bytes, words: int = WORDS, turns: int = 1) -> np.ndarray:
+    """Majority bits of XXH64 over the text's word shingles, repeats included, for each turn; 0 without a word."""
     own = text.translate(LOWER).split()
     if not own:
-        return 0
+        return np.zeros(turns, np.uint64)
     shingles = map(b" ".join, zip(*(own[k:] for k in range(words)), strict=False)) if len(own) >= words else iter([b" ".join(own)])
     h = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
-    by = np.bincount((h.view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256, dtype=np.int64)).ravel(), minlength=2048).reshape(8, 256)
-    ones = (by @ BITS).ravel() * 2 > len(h)
-    return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
+    out = np.zeros(turns, np.uint64)
+    for turn in range(turns):
+        by = np.bincount((remixed(h, turn).view(np.uint8).reshape(-1, 8) + np.arange(0, 2048, 256, dtype=np.int64)).ravel(), minlength=2048).reshape(8, 256)
+        ones = (by @ BITS).ravel() * 2 > len(h)
+        out[turn] = np.packbits(ones, bitorder="little").view(np.uint64)[0]
+    return out
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Rows (*keep, fp long): the fingerprint of each row's text as a signed 64-bit number."""
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    return int(prints_of(text, words)[0])
+
+
+def fingerprints(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ("doc_id",), turns: int | None = None) -> DataFrame:
+    """Rows (*keep, fp long): the fingerprint of each row's text as a signed 64-bit number; with turns, fp is an array of so many."""
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint((t or "").encode(), words) for t in batch.column(len(keep)).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(fp.view(np.int64))], names=[*keep, "fp"])
+            own = [prints_of((t or "").encode(), words, turns or 1) for t in batch.column(len(keep)).to_pylist()]
+            fp = pa.array(np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64))
+            if turns:
+                fp = pa.ListArray.from_arrays(pa.array(np.arange(0, len(fp) + 1, turns, dtype=np.int32)), fp)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], fp], names=[*keep, "fp"])
 
     rows = docs.select(*keep, F.col("text").cast("string").alias("__text"))
     kinds = ", ".join(f"`{c}` {t}" for c, t in rows.select(*keep).dtypes)
-    return rows.mapInArrow(run, f"{kinds}, fp long")
+    return rows.mapInArrow(run, f"{kinds}, fp {'array<long>' if turns else 'long'}")
 
 
 def bounds(segments: int = SEGMENTS) -> list[tuple[int, int]]:
@@ -129,50 +149,59 @@ def forest(fp: np.ndarray, most: int = MOST) -> list[tuple[int, int]]:
 
 
 def links(distinct: DataFrame, most: int = MOST, segments: int = SEGMENTS) -> DataFrame:
-    """Rows (a, b): for every file of `distinct` (fp long), links that connect all its linked members."""
+    """Rows (a, b): for every file of `distinct`, links that connect all its linked members.
+
+    `distinct` has fp long, and a and b are such; or turn int, fp long and node long, distinct by turn and fp, and a and b
+    are nodes whose fingerprints of one turn are linked.
+    """
     if most >= segments:
         raise ValueError("more segments than differing bits are needed")
+    if "node" not in distinct.columns:
+        distinct = distinct.select(F.lit(0).alias("turn"), "fp", F.col("fp").alias("node"))
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
-            keys = filed(fp.view(np.uint64), segments)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(fp, keys.shape[1]))], names=["key", "fp"])
+            turn, fp, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            keys = filed(fp.view(np.uint64), segments) + (turn.astype(np.int64) * 2 * segments << 32)[:, None]
+            many = keys.shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(fp, many)), pa.array(np.repeat(node, many))], names=["key", "fp", "node"])
 
-    def pairs(keys: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def pairs(keys: np.ndarray, fp: np.ndarray, node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         starts = np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)]
         sizes = np.diff(starts)
         for s in np.flatnonzero(sizes > 16):
-            own = forest(fp[starts[s] : starts[s + 1]], most)
+            of, names = fp[starts[s] : starts[s + 1]], node[starts[s] : starts[s + 1]]
+            own = forest(of, most)
             if own:
-                a = np.array(own, np.uint64)
-                yield a[:, 0], a[:, 1]
+                order = np.argsort(of)
+                at = order[np.searchsorted(of, np.array(own, np.uint64), sorter=order)]
+                yield names[at[:, 0]], names[at[:, 1]]
         small = np.repeat(sizes <= 16, sizes)
         for d in range(1, 16):
             i = np.flatnonzero((keys[d:] == keys[:-d]) & small[d:]) if len(keys) > d else np.zeros(0, int)
             if not len(i):
                 break
             hit = i[linked(fp[i] ^ fp[i + d], most)]
-            yield fp[hit], fp[hit + d]
+            yield node[hit], node[hit + d]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        keys, fp, node = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
-        def out(keys: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for a, b in pairs(keys, fp):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        def out(*own: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for a, b in pairs(*own):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
-            fp = np.concatenate([fp, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            more = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            keys, fp, node = np.concatenate([keys, more[0]]), np.concatenate([fp, more[1].view(np.uint64)]), np.concatenate([node, more[2]])
             if len(keys) > 100_000 and keys[0] != keys[-1]:  # all but the last file are complete
                 end = int(np.searchsorted(keys, keys[-1], "left"))
-                yield from out(keys[:end], fp[:end])
-                keys, fp = keys[end:], fp[end:]
-        yield from out(keys, fp)
+                yield from out(keys[:end], fp[:end], node[:end])
+                keys, fp, node = keys[end:], fp[end:], node[end:]
+        yield from out(keys, fp, node)
 
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = distinct.select("fp").mapInArrow(file, "key long, fp long")
+    rows = distinct.select("turn", "fp", "node").mapInArrow(file, "key long, fp long, node long")
     return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(join, "a long, b long")
 
 
@@ -222,40 +251,39 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(shared >= least * (F.size("own") + F.size("other") - shared)).select("a", "b")
 
 
-def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int = NEAR_MOST, near_words: int = NEAR_WORDS) -> DataFrame:
+def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int = NEAR_MOST, near_words: int = NEAR_WORDS, turns: int = NEAR_SEEDS) -> DataFrame:
     """The rows of `docs`, columns unchanged, of which one of each group of near copies stays.
 
-    Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once). Candidates are texts whose
-    fingerprints over `near_words`-word shingles differ in at most `most` bits: one edit moves fewer short shingles
-    than long ones, so at the same similarity these fingerprints lie closer. Checked are the links of every file
-    (all in files of up to 16 fingerprints, a spanning forest in larger ones) and each candidate against the least
-    text of its component. Groups are the components of what passes.
+    Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once). Candidates are texts of which
+    one of `turns` independent fingerprints over `near_words`-word shingles differs in at most `most` bits: one edit
+    moves fewer short shingles than long ones, so at the same similarity these fingerprints lie closer, and a pair that
+    one fingerprint sets apart is found by another. Each candidate is checked against the least node of its component
+    first, then every link of the files (all in files of up to 16 fingerprints, a spanning forest in larger ones)
+    whose ends that didn't join. Groups are the components of what passes.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
     key; of rows that repeat both, any one. Null and empty texts are copies of each other.
     """
     key = text_key(F.col("text").cast("string"))
     narrow = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
-    rows = stored(fingerprints(narrow, near_words, ("__id", "__key")), "simhash")
+    rows = stored(fingerprints(narrow, near_words, ("__id", "__key"), turns), "simhash")
     place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__key").alias("key"))
     nodes = stored(rows.groupBy(F.col("__key").alias("node")).agg(F.first("fp").alias("fp"), F.min(place).alias("place")), "simhash-texts")
-    prints = nodes.groupBy("fp").agg(F.min("node").alias("node"))
-    near = stored(links(prints.select("fp"), most, most + 1).distinct(), "simhash-links")
-    reach = prints.join(components(near).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "node", F.coalesce("root", "fp").alias("root"))
-    heads = nodes.join(reach.select("fp", "root"), "fp")
-    first = heads.groupBy("root").agg(F.min("place").alias("p")).select("root", F.col("p.key").alias("b"))
-    named = prints.select("fp", "node")
-    pairs = (
-        near.join(named.toDF("a", "u"), "a").join(named.toDF("b", "v"), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
-        .union(nodes.join(named.withColumnRenamed("node", "b"), "fp").select(F.col("node").alias("a"), "b"))
-        .union(heads.join(first, "root").select(F.col("node").alias("a"), "b"))
-        .where("a <> b").distinct()
-    )
+    each = nodes.select("node", F.posexplode("fp").alias("turn", "fp"))
+    prints = stored(each.groupBy("turn", "fp").agg(F.min("node").alias("rep"), F.max("node").alias("other")), "simhash-prints")
+    near = links(prints.select("turn", "fp", F.col("rep").alias("node")), most, most + 1)
+    equal = each.join(prints.where("rep <> other"), ["turn", "fp"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    pairs = near.union(equal).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stored(pairs, "simhash-pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(key.alias("node"), "text").join(asked, "node").groupBy("node").agg(F.first("text").alias("text"))
+    reach = stored(components(pairs), "simhash-reach")
+    asked = reach.select("node").join(nodes, "node").select("node", F.col("place.id").alias("__i"))
+    of = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
+    texts = of.join(asked, (of["__key"] == asked["node"]) & of["__id"].eqNullSafe(asked["__i"])).groupBy("node").agg(F.first("text").alias("text"))
     sets = stored(shingle_sets(texts, words), "simhash-shingles")
-    groups = components(similar(pairs, sets, least))
+    stars = stored(similar(reach.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")), sets, least), "simhash-stars")
+    rest = pairs.join(stars.toDF("a", "ra"), "a", "left").join(stars.toDF("b", "rb"), "b", "left")
+    rest = stored(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "simhash-rest")
+    groups = components(stars.union(similar(rest, sets, least)))
     stay = nodes.join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("place").alias("p")).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
     one = Window.partitionBy("__id", "__key").orderBy(F.lit(1))

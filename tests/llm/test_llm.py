@@ -313,18 +313,18 @@ def test_components_of_a_chain(spark):
 
 
 def near_groups(rows, words=5, least=0.8):
-    """Brute force: the components of all pairs of texts whose shingles are similar and whose fingerprints are near."""
+    """Brute force: the components of all pairs of texts whose shingles are similar."""
     def own(t):
         w = t.encode().translate(simhash.LOWER).split()
         return {tuple(w[k : k + words]) for k in range(max(len(w) - words, 0) + 1)} if w else set()
 
     texts = sorted({t or "" for _, t in rows})
-    sets, prints = [own(t) for t in texts], [simhash.fingerprint(t.encode(), simhash.NEAR_WORDS) for t in texts]
+    sets = [own(t) for t in texts]
     group = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if (prints[i] ^ prints[j]).bit_count() <= simhash.NEAR_MOST and both >= least * (len(sets[i]) + len(sets[j]) - both):
+            if both >= least * (len(sets[i]) + len(sets[j]) - both):
                 a, b = group[i], group[j]
                 group = [b if g == a else g for g in group]
     return dict(zip(texts, group, strict=True))
