@@ -25,7 +25,7 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
 #: Candidates of near_dedup: 5 bits in one of 8 independent fingerprints over word pairs. Pairs of one node checked by one task: HOT.
-NEAR_WORDS, NEAR_MOST, NEAR_SEEDS, HOT = 2, 5, 8, 256
+NEAR_WORDS, NEAR_MOST, NEAR_SEEDS, HOT, JUMPS = 2, 5, 8, 256, 3
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -257,9 +257,9 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int =
     Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once). Candidates are texts of which
     one of `turns` independent fingerprints over `near_words`-word shingles differs in at most `most` bits: one edit
     moves fewer short shingles than long ones, so at the same similarity these fingerprints lie closer, and a pair that
-    one fingerprint sets apart is found by another. Each candidate is checked against the least node of its component
-    first, then every link of the files (all in files of up to 16 fingerprints, a spanning forest in larger ones)
-    whose ends that didn't join. Groups are the components of what passes.
+    one fingerprint sets apart is found by another. Each candidate is checked against a head first, the node its least
+    neighbours lead to in up to 2 ** JUMPS steps, then every link of the files (all in files of up to 16 fingerprints, a
+    spanning forest in larger ones) whose ends have not joined the same head. Groups are the components of what passes.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
     key; of rows that repeat both, any one. Null and empty texts are copies of each other.
@@ -275,12 +275,14 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int =
     equal = each.join(prints.where("rep <> other"), ["turn", "fp"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     pairs = near.union(equal).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stored(pairs, "simhash-pairs")
-    reach = stored(components(pairs), "simhash-reach")
-    asked = reach.select("node").join(nodes, "node").select("node", F.col("place.id").alias("__i"))
+    heads = stored(pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("head")), "simhash-heads")
+    for _ in range(JUMPS):
+        heads = stored(heads.join(heads.toDF("head", "next"), "head", "left").select("node", F.coalesce("next", "head").alias("head")), "simhash-heads")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("place.id").alias("__i"))
     of = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
     texts = of.join(asked, (of["__key"] == asked["node"]) & of["__id"].eqNullSafe(asked["__i"])).groupBy("node").agg(F.first("text").alias("text"))
     sets = stored(shingle_sets(texts, words), "simhash-shingles")
-    stars = stored(similar(reach.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")), sets, least), "simhash-stars")
+    stars = stored(similar(heads.toDF("a", "b"), sets, least), "simhash-stars")
     rest = pairs.join(stars.toDF("a", "ra"), "a", "left").join(stars.toDF("b", "rb"), "b", "left")
     rest = stored(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "simhash-rest")
     groups = components(stars.union(similar(rest, sets, least)))
