@@ -24,8 +24,13 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
-#: Candidates of near_dedup: 5 bits in one of 8 independent fingerprints over word pairs. Pairs of one node checked by one task: HOT.
-NEAR_WORDS, NEAR_MOST, NEAR_SEEDS, HOT, JUMPS = 2, 5, 8, 256, 3
+#: near_dedup: shingles are counted in at most COUNTED texts, at most COMMON counts are kept; lists of over LISTED texts are
+#: crowds; pairs of one node checked by one task: HOT.
+COUNTED, COMMON, LISTED, HOT = 16384, 1 << 17, 16, 256
+#: Rounding allowed for where a filter compares sizes; it only lets more through.
+SLACK = 1e-6
+#: 64-bit numbers of a set's parity bits in `apart`.
+PARITY = 16
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -222,12 +227,12 @@ def simhash_components(docs: DataFrame, most: int = MOST, words: int = WORDS) ->
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """Rows (node long, own array<long>): 64-bit hashes of the different word shingles of each row (node, text)."""
+    """Rows (node long, own array<long>): 64-bit hashes of the different word shingles of each row (node, text); without a word, of one empty shingle."""
     bounded_batches(texts.sparkSession)
 
     def shingles(text: str | None) -> list[int]:
         own = (text or "").encode().translate(LOWER).split()
-        cut = {b" ".join(own[k : k + words]) for k in range(max(len(own) - words, 0) + 1)} if own else set()
+        cut = {b" ".join(own[k : k + words]) for k in range(max(len(own) - words, 0) + 1)}
         return np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +244,7 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard similarity of `least` or more; two empty sets are equal.
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of `least` or more.
 
     A node that many pairs name as b is dealt over one partition key for each HOT of them.
     """
@@ -251,42 +256,202 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(shared >= least * (F.size("own") + F.size("other") - shared)).select("a", "b")
 
 
-def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8, most: int = NEAR_MOST, near_words: int = NEAR_WORDS, turns: int = NEAR_SEEDS) -> DataFrame:
+def hashes(rows: DataFrame) -> DataFrame:
+    """Rows (h) of rows (node, own): all shingles."""
+    return rows.select(F.explode("own").alias("h"))
+
+
+def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that several of the rows (node, own) hold, sorted, and how many do; the COMMON most frequent at most."""
+    counts = stored(hashes(sets).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "near-counts")
+    least, room = 2, COMMON
+    for n, many in sorted((tuple(r) for r in counts.groupBy("n").count().collect()), reverse=True):
+        room -= many
+        if room < 0:
+            least = n + 1
+            break
+    kept = counts.where(F.col("n") >= least).toArrow()
+    h, n = (kept.column(c).to_numpy() for c in ("h", "n"))
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray], least: float) -> DataFrame:
+    """Rows (key, size, node) of rows (node, own): each set's first shingles in one order for all, those not in `common` first.
+
+    Sets of n and m >= n shingles with a Jaccard similarity of `least` share at least least * m of them, and at least
+    2 * least / (1 + least) * n. So one of the longer set's first m - least * m + 1 is among the shorter one's
+    first n - 2 * least / (1 + least) * n + 1, whatever the order is. `size` is twice the set's size, odd beyond that second bound.
+    """
+    known, often = common
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(1)
+            n = np.diff(own.offsets.to_numpy())
+            h = own.flatten().to_numpy()
+            of = np.repeat(np.arange(len(n)), n)
+            rank = np.zeros(len(h), np.int64)
+            if len(known) and len(h):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                rank = np.where(known[at] == h, often[at], 0)
+            order = np.lexsort((h, rank, of))
+            place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+            outer = n - np.ceil(least * n - SLACK).astype(np.int64) + 1
+            inner = n - np.ceil(2 * least / (1 + least) * n - SLACK).astype(np.int64) + 1
+            first = np.flatnonzero(place < outer[of])
+            size = 2 * n[of[first]].astype(np.int64) + (place[first] >= inner[of[first]])
+            node = batch.column(0).to_numpy(zero_copy_only=False)[of[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(h[order[first]]), pa.array(size), pa.array(node)], names=["key", "size", "node"])
+
+    return sets.mapInArrow(run, "key long, size long, node long")
+
+
+def by_key(rows: DataFrame, run, kinds: str) -> DataFrame:
+    """`run` over whole lists of rows (key, size, node, ...) of one key, by size: each call gets columns of complete lists and yields columns."""
+    names = [k.split()[0] for k in kinds.split(", ")]
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(own: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            new = np.r_[True, (own[0][1:] != own[0][:-1]) | (own[2][1:] != own[2][:-1])]  # rows that repeat a document
+            for columns in run(*(c[new] for c in own)):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+        held: list[list[np.ndarray]] = []
+        many = 0
+        for batch in batches:
+            more = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not len(more[0]):
+                continue
+            held.append(more)
+            many += len(more[0])
+            if many > 100_000 and held[0][0][0] != more[0][-1]:  # all but the last list are complete
+                own = [np.concatenate(c) for c in zip(*held, strict=True)]
+                end = int(np.searchsorted(own[0], own[0][-1], "left"))
+                yield from out([c[:end] for c in own])
+                held, many = [[c[end:] for c in own]], len(own[0]) - end
+        if many:
+            yield from out([np.concatenate(c) for c in zip(*held, strict=True)])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "size", "node").mapInArrow(join, kinds)
+
+
+def listed(rows: DataFrame, least: float) -> DataFrame:
+    """Rows (crowd, key, a, b) from `prefixes`: pairs (a, b) to check, b the smaller set, and of crowds also their members.
+
+    Lists of up to LISTED texts send all pairs that can reach `least`. Larger ones, crowds, send each member with one
+    no larger than it, a leader, and then their members (key, a the node, b the size), for `apart`.
+    """
+
+    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+        sizes = np.diff(starts)
+        small = np.repeat(sizes <= LISTED, sizes)
+        n, inner = size >> 1, size & 1 == 0
+        for d in range(1, LISTED):
+            if len(key) <= d:
+                break
+            i = np.flatnonzero((key[d:] == key[:-d]) & small[d:] & inner[:-d] & (n[:-d] >= least * n[d:] - SLACK))
+            if not len(i):
+                continue
+            a, b = node[i + d], node[i]
+            swap = (n[i] == n[i + d]) & (a < b)
+            yield np.zeros(len(i), bool), key[i], np.where(swap, b, a), np.where(swap, a, b)
+        for s in np.flatnonzero(sizes > LISTED):
+            lo, hi = int(starts[s]), int(starts[s + 1])
+            yield np.ones(hi - lo, bool), key[lo:hi], node[lo:hi], size[lo:hi]
+            while lo < hi:
+                end = int(np.searchsorted(n[lo:hi], (n[lo] + SLACK) / least, "right")) + lo
+                if end > lo + 1:
+                    yield np.zeros(end - lo - 1, bool), key[lo + 1 : end], node[lo + 1 : end], np.full(end - lo - 1, node[lo])
+                lo = end
+
+    return by_key(rows, run, "crowd boolean, key long, a long, b long")
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """Rows (node, p0, p1, ...) of rows (node, own): for each of 64 * PARITY classes of hashes whether the set has an odd number of them.
+
+    Sets with d shingles not in both differ in at most d of these bits.
+    """
+    width = 64 * PARITY
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(1)
+            n = np.diff(own.offsets.to_numpy())
+            at = np.repeat(np.arange(len(n)) * width, n) + (own.flatten().to_numpy() & (width - 1))
+            bits = np.bincount(at, minlength=len(n) * width).reshape(len(n), width) & 1
+            words = np.packbits(bits.astype(bool), axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, np.ascontiguousarray(words.T))], names=["node", *(f"p{k}" for k in range(PARITY))])
+
+    return sets.mapInArrow(run, "node long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
+
+
+def apart(crowds: DataFrame, least: float) -> DataFrame:
+    """Rows (a, b), b the smaller set: all pairs within a crowd that differ in root and can reach `least` by their sizes and parities.
+
+    `crowds` has rows (key, size, node, root, p0, p1, ...).
+    """
+
+    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray, root: np.ndarray, *parity: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        bits = np.stack(parity, axis=1).view(np.uint64)  # bitwise_count takes signed numbers by their absolute value
+        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+        for lo, hi in zip(starts, starts[1:], strict=False):
+            r, n, inner, names = root[lo:hi], size[lo:hi] >> 1, size[lo:hi] & 1 == 0, node[lo:hi]
+            roots, count = np.unique(r, return_counts=True)
+            if len(roots) < 2:
+                continue
+            rest = r != roots[count.argmax()]  # members of the largest group meet only these
+            for i in np.flatnonzero(rest):
+                j = np.flatnonzero((r != r[i]) & ~(rest & (np.arange(len(r)) < i)) & (np.minimum(n, n[i]) >= least * np.maximum(n, n[i]) - SLACK))
+                j = j[np.where(j > i, inner[i], inner[j])]
+                unlike = np.bitwise_count(bits[lo + j] ^ bits[lo + i]).sum(axis=1, dtype=np.int64)
+                both = n[j] + n[i]
+                j = j[unlike <= both - 2 * least / (1 + least) * both + SLACK]
+                if len(j):
+                    up = (n[j] > n[i]) | ((n[j] == n[i]) & (names[j] > names[i]))
+                    yield np.where(up, names[j], names[i]), np.where(up, names[i], names[j])
+
+    return by_key(crowds, run, "a long, b long")
+
+
+def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of `docs`, columns unchanged, of which one of each group of near copies stays.
 
-    Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once). Candidates are texts of which
-    one of `turns` independent fingerprints over `near_words`-word shingles differs in at most `most` bits: one edit
-    moves fewer short shingles than long ones, so at the same similarity these fingerprints lie closer, and a pair that
-    one fingerprint sets apart is found by another. Each candidate is checked against a head first, the node its least
-    neighbours lead to in up to 2 ** JUMPS steps, then every link of the files (all in files of up to 16 fingerprints, a
-    spanning forest in larger ones) whose ends have not joined the same head. Groups are the components of what passes.
+    Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once); groups are the components of
+    all such pairs. Every pair that reaches `least` shares a shingle among the first of both sets (`prefixes`), in an order that
+    puts shingles common in a sample of texts last; the sample decides how many pairs are checked, not which are found. Pairs
+    are checked by their whole sets. In crowds each text is first checked against a leader, then every pair whose ends
+    the checked pairs have not joined.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
     key; of rows that repeat both, any one. Null and empty texts are copies of each other.
     """
     key = text_key(F.col("text").cast("string"))
-    narrow = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
-    rows = stored(fingerprints(narrow, near_words, ("__id", "__key"), turns), "simhash")
-    place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"), F.col("__key").alias("key"))
-    nodes = stored(rows.groupBy(F.col("__key").alias("node")).agg(F.first("fp").alias("fp"), F.min(place).alias("place")), "simhash-texts")
-    each = nodes.select("node", F.posexplode("fp").alias("turn", "fp"))
-    prints = stored(each.groupBy("turn", "fp").agg(F.min("node").alias("rep"), F.max("node").alias("other")), "simhash-prints")
-    near = links(prints.select("turn", "fp", F.col("rep").alias("node")), most, most + 1)
-    equal = each.join(prints.where("rep <> other"), ["turn", "fp"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    pairs = near.union(equal).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    pairs = stored(pairs, "simhash-pairs")
-    heads = stored(pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("head")), "simhash-heads")
-    for _ in range(JUMPS):
-        heads = stored(heads.join(heads.toDF("head", "next"), "head", "left").select("node", F.coalesce("next", "head").alias("head")), "simhash-heads")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("node", F.col("place.id").alias("__i"))
+    place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"))
     of = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
-    texts = of.join(asked, (of["__key"] == asked["node"]) & of["__id"].eqNullSafe(asked["__i"])).groupBy("node").agg(F.first("text").alias("text"))
-    sets = stored(shingle_sets(texts, words), "simhash-shingles")
-    stars = stored(similar(heads.toDF("a", "b"), sets, least), "simhash-stars")
-    rest = pairs.join(stars.toDF("a", "ra"), "a", "left").join(stars.toDF("b", "rb"), "b", "left")
-    rest = stored(rest.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "simhash-rest")
-    groups = components(stars.union(similar(rest, sets, least)))
-    stay = nodes.join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("place").alias("p")).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key"))
+    nodes = stored(of.groupBy(F.col("__key").alias("node")).agg(F.min(place).alias("place")), "near-texts")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        """Shingle sets of the nodes; a node whose row is repeated comes again."""
+        asked = some.select("node", F.col("place.id").alias("__i"))
+        return shingle_sets(of.join(asked, (of["__key"] == asked["node"]) & of["__id"].eqNullSafe(asked["__i"])).select("node", "text"), words)
+
+    share = -(-nodes.count() // COUNTED)
+    common = common_shingles(sets_of(nodes.where(F.pmod("node", F.lit(max(1, share))) == 0)))
+    lists = stored(listed(prefixes(sets_of(nodes), common, least), least), "near-lists")
+    pairs = stored(lists.where("not crowd and a <> b").select("a", "b").distinct(), "near-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(lists.where("crowd").select("a")).distinct()
+    sets = stored(sets_of(nodes.join(ends, "node")).dropDuplicates(["node"]), "near-shingles")
+    found = stored(similar(pairs, sets, least), "near-found")
+    roots = components(found)
+    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(roots, "node", "left").join(parities(sets), "node")
+    rest = stored(apart(crowds.select("key", "size", "node", F.coalesce("root", "node").alias("root"), *[f"p{k}" for k in range(PARITY)]), least).distinct(), "near-rest")
+    groups = components(found.union(similar(rest, sets, least)))
+    first = F.min(F.struct("place.no", "place.id", F.col("nodes.node").alias("key"))).alias("p")
+    stay = nodes.alias("nodes").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(first).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key"))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
     one = Window.partitionBy("__id", "__key").orderBy(F.lit(1))
     names = docs.columns

@@ -353,6 +353,41 @@ def test_near_dedup_of_planted_copies(spark):
     assert kept == {*range(40), 5000}
 
 
+def block_edits(rng, n, start):
+    """Texts of 200 words and, for each, one with 45 words more at its end or 17 replaced in one block."""
+    some = lambda k: [f"x{rng.getrandbits(40)}" for _ in range(k)]
+    out = []
+    for d in range(n):
+        w = some(200)
+        cut = rng.randrange(20, 160)
+        edited = w + some(45) if d % 2 else w[:cut] + some(17) + w[cut + 17 :]
+        out += [(start + d, " ".join(w)), (start + 1000 + d, " ".join(edited))]
+    return out
+
+
+def test_near_dedup_of_block_edits(spark):
+    rows = block_edits(random.Random(4), 60, 0)
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(60))
+
+
+def test_near_dedup_of_a_crowd(spark):
+    """Texts of one passage with blocks of other words, near and under the similarity: each pair counts, though all share shingles."""
+    rng = random.Random(8)
+    some = lambda k: [f"y{rng.getrandbits(40)}" for _ in range(k)]
+    base, rows = some(200), []
+    for d in range(120):
+        w, k = list(base), rng.choice((12, 25, 38))
+        cut = rng.randrange(0, 200 - k)
+        w[cut : cut + k] = some(k)
+        rows.append((d, " ".join(w)))
+    group, want = near_groups(rows), {}
+    for i, t in rows:
+        want[group[t]] = min(want.get(group[t], i), i)
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want.values())
+
+
 def test_near_dedup_of_nothing(spark):
     assert simhash.near_dedup(spark.createDataFrame([], "doc_id long, text string, fp long, node string")).count() == 0
 
