@@ -3,7 +3,8 @@
 Slots 0, 1, 2, ... are golden-ratio points in [0, 1); a slot goes to the source in whose part of the
 cumulative weights it falls. Slots are ranked within their source, and the slot of rank r takes block r of
 the source: its documents in shuffled order, laid end to end and repeated, cut into blocks of equally many
-words. Ranks and running sums are built in two levels (bucket sums first, then within a bucket), so no window
+words. A source whose target is under FEW blocks takes the first words of that stream up to its target instead,
+for whole slots would miss it. Ranks and running sums are built in two levels (bucket sums first, then within a bucket), so no window
 ever holds a whole source.
 """
 
@@ -18,6 +19,7 @@ GOLDEN = 0.6180339887498949
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SLOTS, BLOCK_WORDS = 32768, 4096
+FEW = 256
 CELLS = 1024
 SLOT_RUN = 65536
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -103,10 +105,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, key
     reach = F.least(F.lit(cap - 1), F.floor((F.col("target") + 16 * block) / F.greatest(F.col("source_size"), F.lit(1))))
     carried = ["doc_id", "source", "size", "source_size", "target", "bucket", "n", *[f"__k{i}" for i in range(len(key))]]
     passes = placed.where("size > 0").select(*carried, "start", F.explode(F.sequence(F.lit(0).cast("long"), reach.cast("long"))).alias("pass")).withColumn("from", F.col("pass") * F.col("source_size") + F.col("start")).withColumn("to", F.col("from") + F.col("size"))
-    pieces = passes.select(*carried, "from", "to", F.explode(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block))).alias("block"))
-    pieces = pieces.withColumn("words", F.least("to", (F.col("block") + 1) * block) - F.greatest("from", F.col("block") * block))
+    few = F.col("target") < FEW * block  # block -1 stands for all that the target reaches
+    cut = F.when(few, F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)))
+    pieces = passes.select(*carried, "from", "to", F.explode(cut).alias("block"))
+    whole = F.greatest(F.lit(0).cast("long"), F.least("to", F.round("target").cast("long")) - F.col("from"))
+    pieces = pieces.withColumn("words", F.when(F.col("block") < 0, whole).otherwise(F.least("to", (F.col("block") + 1) * block) - F.greatest("from", F.col("block") * block)))
     hit = slots.select(F.col("source").alias("__s"), F.col("rank").alias("__r"), F.lit(1).alias("hit"))
-    got = pieces.join(hit, F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__r")), "left").groupBy(*carried).agg(F.sum(F.when(F.col("hit") == 1, F.col("words")).otherwise(0)).alias("taken"))
+    got = pieces.join(hit, F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__r")), "left").groupBy(*carried).agg(F.sum(F.when((F.col("hit") == 1) | (F.col("block") < 0), F.col("words")).otherwise(0)).alias("taken"))
     nothing = placed.where("size = 0").select(*carried, F.lit(0).cast("long").alias("taken"))
     return got.union(nothing).drop("bucket", "n")
 

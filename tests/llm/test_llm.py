@@ -223,6 +223,14 @@ def test_mix(which, request):
     assert bag(rows) == bag(mixing.mix(d.repartition(5)).collect())
 
 
+def test_small_sources_meet_their_targets(spark):
+    large = "id as doc_id", "repeat('w ', 20000) as text", "if(id % 2 = 0, 'a', 'z') as source"
+    rows = spark.range(500).selectExpr(*large).union(spark.createDataFrame([(1000 + i, "v " * 20, s) for i, s in enumerate("bccddddd")], "doc_id long, text string, source string"))
+    by = {r["source"]: r for r in mixing.mix(rows).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()}
+    assert [by[s]["target"] for s in "bcd"] == [60, 120, 300]
+    assert [by[s]["taken"] for s in "bcd"] == [60, 120, 300]
+
+
 def test_mixed_documents_are_what_was_taken(odd, docs):
     for d in (odd, docs):
         mixed = mixing.mixed_documents(d)
