@@ -27,8 +27,8 @@ HARMLESS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "has
 COMMON = ("the", "and", "for", "with", "this", "that", "from", "your", "here", "key", "test", "example", "value", "name", "user", "file", "data", "main", "index", "config", "service", "manager", "handler", "request", "response", "change", "default", "public", "string", "number", "token", "secret", "password", "api", "access", "ing", "tion", "ment", "able", "ever", "ich", "que", "eau", "ion", "ado", "ente", "http", "www", "com", "org", "src", "lib", "usr", "local", "home", "image", "static", "class", "function", "return")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "glpat-", "sk_live_", "sk-", "xoxb-", "xoxp-", "AIza", "eyJ", "npm_", "hf_")
 
-RUN = re.compile(r"[A-Za-z0-9_\-+/=.]{20,512}")
-ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,512})")
+RUN = re.compile(r"[A-Za-z0-9_\-+/=.]{20,}")
+ASSIGNED = re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"',;]{8,})")
 CONTEXT = 48
 TREES, DEPTH, FINDINGS = 30, 8, 4000
 THRESHOLD = 0.5

@@ -116,6 +116,13 @@ def test_secrets(odd, docs):
     assert want <= found
 
 
+def test_long_secrets_are_one_candidate():
+    rng = random.Random(3)
+    for marks, n in (("", 700), ("!%", 900), ("", 5000)):
+        long = "eyJ" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ0123456789" + marks, k=n))
+        assert secrets.candidates(f'api_key: "{long}" and so on') == [(10, 10 + len(long))]
+
+
 def brute_exact(rows):
     norm = [(i, re.sub("[\x20\x09-\x0d]+", " ", t)) for i, t in rows]
     ids, size, seen, out = {}, collections.Counter(t for _, t in norm), set(), []
