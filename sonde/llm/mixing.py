@@ -148,7 +148,7 @@ s as (select source, source_size, target, case when total > 0 then lo0 / total e
 b as (select sum(source_size)::bigint as total, greatest(1, least(4096, sum(source_size)::bigint // 32768)) as block from s0),
 p as (select i, (i * 0.6180339887498949::double) % 1.0 as u from (select unnest(range(0, ((total + block - 1) // block)::bigint)) as i from b)),
 k as (select source, count(*) as slots from p join s on u >= lo and u < hi and target > 0 group by 1),
-d as (select r.*, s.source_size, s.target, coalesce(k.slots, 0) * block as words,
+d as (select r.*, s.source_size, s.target, case when s.target < 256 * block then round(s.target)::bigint else coalesce(k.slots, 0) * block end as words,
   sum(size) over (partition by r.source order by h, doc_id, size rows between unbounded preceding and current row) - size as start
   from r join s on r.source is not distinct from s.source left join k on r.source is not distinct from k.source cross join b)
 select doc_id, source, size, source_size, target,
