@@ -5,6 +5,7 @@ import re
 import zlib
 from pathlib import Path
 
+import compare
 import numpy as np
 import pytest
 import xxhash
@@ -238,6 +239,13 @@ def test_small_sources_meet_their_targets(spark):
     assert [by[s]["taken"] for s in "bcd"] == [60, 120, 300]
 
 
+def test_small_sources_equal_the_sql(spark, tmp_path):
+    large = "id as doc_id", "repeat('w ', 20000) as text", "if(id % 2 = 0, 'a', 'z') as source"
+    rows = spark.range(60).selectExpr(*large).union(spark.createDataFrame([(1000 + i, "v " * 20, s) for i, s in enumerate("bccddddd")], "doc_id long, text string, source string"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    compare.same(spark, queries.queries()["op7_source_mixing"], mixing.ORACLE_SQL, str(tmp_path))
+
+
 def test_mixed_documents_are_what_was_taken(odd, docs):
     for d in (odd, docs):
         mixed = mixing.mixed_documents(d)
@@ -417,10 +425,10 @@ def brute_lines(rows):
     covered = collections.defaultdict(set)
     for i, t in order:
         own = t.split("\n")
-        for k in range(len(own) - 2):
+        for k in range(max(1, len(own) - 2) if t else 0):
             w = tuple(own[k : k + 3])
             if w in first:
-                covered[i, t] |= {k, k + 1, k + 2}
+                covered[i, t] |= set(range(k, min(k + 3, len(own))))
             else:
                 first[w] = seen
     return [(i, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in covered[i, t]), len(covered[i, t])) for i, t in rows]
@@ -434,6 +442,16 @@ def test_line_dedup(which, request):
     assert bag((r["doc_id"], r["text"] or "", r["__removed"]) for r in got.collect()) == bag(brute_lines(texts(d)))
 
 
+def test_short_texts_have_a_window(spark):
+    rows = [(1, "one\ntwo"), (2, "one\ntwo"), (3, "one\ntwo\n"), (4, "one"), (5, "one"), (6, "two\none"), (7, ""), (8, ""), (9, None), (10, "one\ntwo\nthree")]
+    got = {r["doc_id"]: (r["text"], r["__lines"], r["__removed"]) for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, r in got.items() if r[2]} == {2, 5}
+    assert got[2] == ("", 2, 2)
+    assert got[5] == ("", 1, 1)
+    assert got[7] == got[8] == ("", 1, 0)
+    assert got[9] == (None, 0, 0)
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_packing(which, request, monkeypatch):
     import public_tokenizers
