@@ -202,7 +202,7 @@ def quality_scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
     return rows.mapInArrow(run, f"{kinds}, score double, predicted int")
 
 
-def quality_filter(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+def quality_filter(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs`, columns unchanged, whose text scores at least `threshold`."""
     names = docs.columns
     own = tuple(f"__c{i}" for i in range(len(names)))
