@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import evaluate, intervals, resolve, sequences, signals, text
+from sonde.operators import candidates, evaluate, intervals, resolve, sequences, signals, text
 from sonde.session import shared_dir
 from sonde.streaming import usage
 
@@ -363,6 +363,18 @@ def q38_similarity_ratio(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where("before is not null").select("conv_id", "turn", F.round(evaluate.similarity("before", "text"), 6).alias("ratio"))
 
 
+_GRAMS = "(select i, lower(unnest(string_split_regex(t, '\\s+'))) as w from {}), {} as (select i, substring(' ' || w || ' ', s::int, n::int) as g, count(*)::double as tf from (select i, w, n, unnest(range(1, length(w) + 4 - n)) as s from {}, (values (2), (3), (4), (5)) v(n) where w <> '' and length(w) + 2 >= n) group by 1, 2)"
+
+
+@query(f"""with rw as {_GRAMS.format("(select item_id as i, text as t from benchmark)", "rg", "rw")}, qw as {_GRAMS.format("(select doc_id as i, text as t from documents)", "qg", "qw")},
+idf as (select g, ln((1 + (select count(*) from benchmark)) / (1 + count(*))) + 1 as idf from rg group by 1),
+rv as (select i, g, tf * idf / sqrt(sum(tf * idf * tf * idf) over (partition by i)) as v from rg join idf using (g)), qv as (select i, g, tf * idf / sqrt(sum(tf * idf * tf * idf) over (partition by i)) as v from qg join idf using (g)),
+s as (select qv.i as doc_id, rv.i as item_id, round(sum(qv.v * rv.v), 6) as score from qv join rv using (g) group by 1, 2),
+k as (select *, row_number() over (partition by doc_id order by score desc, item_id desc) as rank from s) select doc_id, item_id, rank::int as rank, score from k where rank <= 3""")
+def q39_tfidf_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return candidates.alike(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "benchmark"), "item_id", "text", 3, 6)
+
+
 @query(f"with {EVENTS} select event_type, date_trunc('minute', ts) as minute, count(*) as requests, sum(k)::bigint as tokens, max(k) as most from e group by 1, 2")
 def q40_usage_rollup(spark: SparkSession, sf: str) -> DataFrame:
     e = events(spark, sf).dropDuplicates(["event_id"]).withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
@@ -412,13 +424,13 @@ def q47_multi_extract(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.array_join(text.all_found("text", "([0-9]{4,})"), ",").alias("numbers")).where("numbers <> ''")
 
 
-@query()
+@query(f"with {EVENTS} select event_type, date_trunc('minute', ts) as minute, count(*) as requests, sum(k)::bigint as tokens from e group by 1, 2")
 def q48_usage_stream(spark: SparkSession, sf: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/usage-{uuid.uuid4().hex}"
     source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
     rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
     usage.drain(usage.windowed(rows, "at", "event_id", "event_type", "k"), f"{folder}/out", f"{folder}/state")
-    return spark.read.schema("start timestamp, event_type string, n long, total long").parquet(f"{folder}/out")
+    return usage.latest(spark, f"{folder}/out", "event_type").select(F.col("start").cast("timestamp_ntz").alias("minute"), "event_type", F.col("n").alias("requests"), F.col("total").alias("tokens"))
 
 
 @query("""with n as (select user_id, event_type, count(*) as n, min((ts, event_id)) as f from events group by 1, 2), r as (select *, row_number() over (partition by user_id order by n desc, f) as k from n) select user_id, event_type as mode from r where k = 1""")
