@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import candidates, evaluate, intervals, resolve, sequences, signals, text
+from sonde.operators import candidates, checking, evaluate, intervals, resolve, runs, sequences, signals, text
 from sonde.session import shared_dir
 from sonde.streaming import usage
 
@@ -441,3 +441,48 @@ def q49_mode_choice(spark: SparkSession, sf: str) -> DataFrame:
 @query("""with r as (select *, row_number() over (partition by user_id order by value desc, event_id) as k from events) select user_id, event_id, event_type from r where k = 1""")
 def q50_best_of_n(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.best_attempt(table(spark, sf, "events"), "user_id", F.col("value"), ["event_id"], "event_id", "event_type")
+
+
+@query(f"with {EVENTS} select event_type, count(*) as n, sum(k)::bigint as k from e group by rollup(event_type)")
+def q51_group_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.group_totals(events(spark, sf), "event_type", ["k"])
+
+
+_LONG = "select o_orderkey as entity, unnest(['o_orderstatus', 'o_orderpriority', 'o_custkey']) as field, unnest([o_orderstatus, o_orderpriority, o_custkey::varchar]) as value from {}"
+
+
+@query(f"""with {COPY}, a as ({_LONG.format("c")}), b as ({_LONG.format("orders")}), m as (select entity, field, a.value is not distinct from b.value as match, entity % 3 = 0 as in_conflict from a join b using (entity, field)),
+p as (select *, case field when 'o_orderstatus' then 1 when 'o_orderpriority' then 2 else 3 end as p from m), s as (select unnest(['one', 'two', 'three']) as stage, unnest([1, 2, 3]) as place),
+t as (select stage, place, entity % 10 as entity, count(*) as total, count(*) filter (where match) as correct, count(*) filter (where match or in_conflict) as with_conflicts from p join s on p <= place group by 1, 2, 3)
+select entity, stage, place, total, correct, with_conflicts, round(correct / total, 9) as accuracy, correct / total >= 0.85 as passed from t""")
+def q52_cumulative_stages(spark: SparkSession, sf: str) -> DataFrame:
+    cols = ["o_orderstatus", "o_orderpriority", "o_custkey"]
+    one, other = (evaluate.long_form(d, "o_orderkey", cols).withColumnRenamed("o_orderkey", "entity") for d in (copy(spark, sf), table(spark, sf, "orders")))
+    conflicts = one.where("entity % 3 = 0").select("entity", "field")
+    category = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, f"c{i}")])[F.col("field")]
+    rows = runs.compared(one, other, conflicts).withColumn("category", category).withColumns({"field": F.concat_ws(":", "entity", "field"), "entity": F.col("entity") % 10})
+    stages = spark.createDataFrame([("one", 1, "c0", 0.85, 0.9), ("two", 2, "c1", 0.85, 0.9), ("three", 3, "c2", 0.85, 0.9)], "stage string, place int, category string, least double, least_with_conflicts double")
+    return runs.stage_results(rows, stages).select("entity", "stage", "place", "total", "correct", "with_conflicts", F.round("accuracy", 9).alias("accuracy"), "passed")
+
+
+@query("""select source, doc_id from (select source, doc_id, sum(length(text)) over (partition by source order by doc_id rows between unbounded preceding and current row) as upto from documents) where upto <= 20000""")
+def q53_prefix_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return candidates.within(table(spark, sf, "documents"), ["source"], ["doc_id"], F.col("text"), 20000).select("source", "doc_id")
+
+
+@query(f"""with {FACTS}, v as (select key, value, case when key = 'other' then 'unknown_key' when key = 'quantity' and (value::double < 5 or value::double > 40) then 'out_of_range' when key = 'flag' and value not in ('A', 'N') then 'invalid_choice' when key = 'status' and value not in ('F', 'O') then 'invalid_option' end as reason from f)
+select key, reason, case when reason is null then case key when 'status' then case value when 'F' then '0' else '1' end when 'quantity' then value::double::bigint::varchar else value end end as valid, count(*) as n from v group by all""")
+def q54_checked_facts(spark: SparkSession, sf: str) -> DataFrame:
+    dictionary = spark.createDataFrame([("quantity", "", "5-40", {}), ("flag", "", "A, N", {}), ("status", "", "", {"0": "F", "1": "O"})], "key string, description string, format string, options map<string,string>")
+    return checking.checked(facts(spark, sf), dictionary).groupBy("key", "reason", "valid").agg(F.count("*").alias("n"))
+
+
+@query("""with v as (select l_orderkey, l_returnflag as value, count(*) as n, string_agg(l_linenumber::varchar, ',' order by l_linenumber, l_suppkey, l_partkey) as lines from lineitem group by 1, 2)
+select l_orderkey, value, n, lines, row_number() over (partition by l_orderkey order by n desc, value) as place from (select l_orderkey, value, n, lines from v)""")
+def q55_conflict_review(spark: SparkSession, sf: str) -> DataFrame:
+    at = F.struct("l_linenumber", "l_suppkey", "l_partkey")
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("entity"), F.lit("flag").alias("field"), F.col("l_returnflag").alias("value"), F.col("l_linenumber").cast("string").alias("image"), at.alias("at"), F.lit("1").alias("certainty"))
+    none = spark.createDataFrame([], "entity long, field string, value string, mode string")
+    seen = runs.conflict_review(rows, none)
+    lines = rows.groupBy("entity", "value").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "image"))), lambda x: x["image"]), ",").alias("lines"))
+    return seen.join(lines, ["entity", "value"]).select(F.col("entity").alias("l_orderkey"), "value", "n", "lines", "place")

@@ -16,18 +16,15 @@ def dictionary(spark):
     return spark.createDataFrame(rows, "key string, description string, format string, options map<string,string>")
 
 
-@pytest.mark.parametrize(
-    ("key", "value", "valid", "reason"),
-    [
+def test_checked(spark, dictionary):
+    cases = [
         ("none", "1", None, "unknown_key"), ("SEX", " ", None, "empty"), ("SEX", "[1]", None, "non_scalar"), ("SEX", "1.0", "1", None), ("SEX", "0~1", "1", None), ("SEX", "9999", "9999", None), ("SEX", "1) fem", "1", None), ("SEX", "x", None, "invalid_option"),
         ("PSG_Date", "2024-02-29", "20240229", None), ("PSG_Date", "2023-02-29", None, "invalid_date"), ("KIND", "A", "A", None), ("KIND", "c", None, "invalid_choice"), ("AGE", "about 45.5 y", "45.5", None), ("AGE", "x", None, "not_numeric"), ("AGE", "130", None, "out_of_range"),
         ("AGE", "30~40", "30", None), ("Name", "1,200.0", "1200", None), ("Name", " Kim ", "Kim", None), ("PSQI_02_Latency_MM", "5", None, "psqi_single_variant_disallowed_by_ocr"), ("PSQI_02_Latency_MM_week", "5", "5", None),
-    ],
-)
-def test_checked(spark, dictionary, key, value, valid, reason):
-    df = spark.createDataFrame([(key, value, "weekfree")], "key string, value string, mode string")
-    r = C.checked(df, dictionary, "mode").first()
-    assert (r["valid"], r["reason"]) == (valid, reason)
+    ]
+    df = spark.createDataFrame([(i, key, value, "weekfree") for i, (key, value, _, _) in enumerate(cases)], "i int, key string, value string, mode string")
+    got = {r["i"]: (r["valid"], r["reason"]) for r in C.checked(df, dictionary, "mode").collect()}
+    assert got == {i: case[2:] for i, case in enumerate(cases)}
 
 
 def test_midpoints(spark, dictionary):
@@ -57,13 +54,10 @@ def test_line_evidence(spark):
     }
 
 
-@pytest.mark.parametrize(
-    ("number", "date", "want"),
-    [("P12-7", "20120522", "P2012-7"), ("2/ 007", "20020101", "P2002-7"), ("P2011-03", "20120522", "P2011-3"), ("13-5", "20120522", "P13-5"), ("odd", None, "odd"), (None, "20120522", None)],
-)
-def test_study_numbers(spark, number, date, want):
-    df = spark.createDataFrame([(number, date)], "n string, d string")
-    assert df.select(C.study_number("n", "d").alias("x")).first()["x"] == want
+def test_study_numbers(spark):
+    cases = [("P12-7", "20120522", "P2012-7"), ("2/ 007", "20020101", "P2002-7"), ("P2011-03", "20120522", "P2011-3"), ("13-5", "20120522", "P13-5"), ("odd", None, "odd"), (None, "20120522", None)]
+    df = spark.createDataFrame([(i, n, d) for i, (n, d, _) in enumerate(cases)], "i int, n string, d string")
+    assert {r["i"]: r["x"] for r in df.select("i", C.study_number("n", "d").alias("x")).collect()} == {i: want for i, (_, _, want) in enumerate(cases)}
 
 
 def test_final_row(spark):

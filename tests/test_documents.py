@@ -8,16 +8,13 @@ def one(spark, t, column):
     return spark.createDataFrame([(t,)], "t string").select(column("t").alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize(
-    ("page", "route", "confidence"),
-    [
+def test_routes(spark):
+    cases = [
         ("FULL  NIGHT CPAP Polysomnography Report", routing.PRESSURE_LONG, "high"), ("Night polysomnography report", routing.REPORT_LONG, "high"), ("아침 질문 사항", routing.MORNING, "high"), ("Epworth Sleepiness Scale", routing.NIGHT, "high"),
         ("This page contains psg signal graphs.", routing.SIGNALS, "high"), ("nasal CPAP titration, optimal CPAP pressure 9", routing.PRESSURE, "high"), ("수면다원검사 Sleep efficiency AHI Diagnosis", routing.REPORT, "high"), ("환자 수면 1. x", routing.NIGHT, "low"), ("", routing.SIGNALS, "low"),
-    ],
-)
-def test_routes(spark, page, route, confidence):
-    r = routing.routed(spark.createDataFrame([(page,)], "t string"), "t").first()
-    assert (r["route"], r["confidence"]) == (route, confidence)
+    ]
+    rows = routing.routed(spark.createDataFrame([(page,) for page, _, _ in cases], "t string"), "t").collect()
+    assert {r["t"]: (r["route"], r["confidence"]) for r in rows} == {page: (route, confidence) for page, route, confidence in cases}
 
 
 def test_families_go_on(spark):

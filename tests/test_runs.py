@@ -30,20 +30,17 @@ def test_buckets(spark):
     assert got == {("p", "A"): "night_questionnaire_type_b", ("p", "B"): "night_questionnaire_type_a", ("p", "AHI"): "psg_report_general", ("q", "AHI"): "cpap_psg_report_extensive", ("q", "other"): "cpap_psg_report_extensive", ("p", "other"): "psg_report_general", ("q", "Pr05"): "cpap_psg_report_extensive"}
 
 
-@pytest.mark.parametrize(
-    ("field", "value", "truth", "other", "flags", "want"),
-    [
+def test_causes(spark):
+    cases = [
         ("Database_ID", "", "1", "1", {}, ("output", "metadata_assembly_gap")), ("X", "a b", "A-B", "", {}, ("output", "formatting_or_minor_text_normalization")), ("Diagnosis_etc", "# severe obstructive apnea", "# severe obstructive apnoea", "", {}, ("output", "formatting_or_minor_text_normalization")),
         ("BQ_01", "1", "2", "2", {}, ("ocr", "checkbox_alignment_error")), ("NREM_sup_min", "", "2", "", {}, ("map", "table_subfield_omission")), ("PSQI_01", "", "2", "2", {}, ("map", "questionnaire_split_omission")),
         ("X", "1", "2", "1", {"resolved": True, "candidate": True}, ("resolve", "wrong_conflict_resolution")), ("X", "1", "2", "1", {"entries": 2}, ("resolve", "document_conflict_chosen_differently")), ("X", "", "2", "2", {"fewer_keys": True}, ("map", "map_omission")),
         ("X", "", "2", "2", {"low_chars": True}, ("ocr", "upstream_ocr_loss")), ("X", "", "2", "2", {"rerouted": True}, ("route", "route_scope_loss")), ("BMI", "1", "2", "2", {"unlike8": True}, ("ocr", "numeric_ocr_error")), ("X", "1", "2", "2", {}, ("map", "extraction_or_parsing_error")), ("X", "1", "2", "3", {}, ("map", "extraction_gap")),
-    ],
-)
-def test_causes(spark, field, value, truth, other, flags, want):
-    base = {"entries": 1, "resolved": False, "in_conflict": False, "candidate": False, "low_chars": False, "unlike6": False, "unlike8": False, "fewer_keys": False, "rerouted": False} | flags
-    row = {"field": field, "value": value, "truth": truth, "other": other} | base
-    r = runs.causes(spark.createDataFrame([row])).first()
-    assert (r["stage"], r["cause"]) == want
+    ]
+    base = {"entries": 1, "resolved": False, "in_conflict": False, "candidate": False, "low_chars": False, "unlike6": False, "unlike8": False, "fewer_keys": False, "rerouted": False}
+    rows = [{"i": i, "field": field, "value": value, "truth": truth, "other": other} | base | flags for i, (field, value, truth, other, flags, _) in enumerate(cases)]
+    got = {r["i"]: (r["stage"], r["cause"]) for r in runs.causes(spark.createDataFrame(rows)).collect()}
+    assert got == {i: case[-1] for i, case in enumerate(cases)}
 
 
 def test_reviews(spark):
