@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.common import bounded_batches, components, stored, text_key
@@ -371,7 +371,7 @@ def listed(rows: DataFrame, least: float) -> DataFrame:
 
 
 def parities(sets: DataFrame) -> DataFrame:
-    """Rows (node, p0, p1, ...) of rows (node, own): for each of 64 * PARITY classes of hashes whether the set has an odd number of them.
+    """Rows (node, n, p0, p1, ...) of rows (node, own): the set's size, and for each of 64 * PARITY classes of hashes whether it has an odd number of them.
 
     Sets with d shingles not in both differ in at most d of these bits.
     """
@@ -384,9 +384,24 @@ def parities(sets: DataFrame) -> DataFrame:
             at = np.repeat(np.arange(len(n)) * width, n) + (own.flatten().to_numpy() & (width - 1))
             bits = np.bincount(at, minlength=len(n) * width).reshape(len(n), width) & 1
             words = np.packbits(bits.astype(bool), axis=1, bitorder="little").view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, np.ascontiguousarray(words.T))], names=["node", *(f"p{k}" for k in range(PARITY))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), *map(pa.array, np.ascontiguousarray(words.T))], names=["node", "n", *(f"p{k}" for k in range(PARITY))])
 
-    return sets.mapInArrow(run, "node long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
+    return sets.mapInArrow(run, "node long, n long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
+
+
+def possible(pairs: DataFrame, parity: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose sizes and parities (of `parities`) allow a Jaccard similarity of `least`.
+
+    A node that many pairs name as b is dealt over one partition key for each HOT of them.
+    """
+    words = [f"p{k}" for k in range(PARITY)]
+    share = pairs.groupBy("b").agg(F.ceil(F.count("*") / HOT).cast("int").alias("shares"))
+    dealt = pairs.join(share, "b").withColumn("salt", F.pmod(F.hash("a"), F.col("shares")))
+    left = parity.select(F.col("node").alias("a"), F.col("n").alias("na"), *[F.col(w).alias(f"a{w}") for w in words])
+    right = share.join(parity.withColumnRenamed("node", "b"), "b").select("b", "n", *words, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("salt"))
+    unlike = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(w))) for w in words), F.lit(0))
+    most = (F.col("n") + F.col("na")) * ((1 - least) / (1 + least)) + SLACK
+    return dealt.join(left, "a").join(right, ["b", "salt"]).where(unlike <= most).select("a", "b")
 
 
 def apart(crowds: DataFrame, least: float) -> DataFrame:
@@ -423,36 +438,38 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once); groups are the components of
     all such pairs. Every pair that reaches `least` shares a shingle among the first of both sets (`prefixes`), in an order that
     puts shingles common in a sample of texts last; the sample decides how many pairs are checked, not which are found. Pairs
-    are checked by their whole sets. In crowds each text is first checked against a leader, then every pair whose ends
-    the checked pairs have not joined.
+    whose parities allow it are checked by their whole sets. In crowds each text is first checked against a leader, then
+    every pair whose ends the checked pairs have not joined.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
     key; of rows that repeat both, any one. Null and empty texts are copies of each other.
     """
-    key = text_key(F.col("text").cast("string"))
-    place = F.struct(F.col("__id").isNull().alias("no"), F.col("__id").alias("id"))
-    of = docs.select(F.col("doc_id").cast("long").alias("__id"), key.alias("__key"), F.col("text"))
-    nodes = stored(of.groupBy(F.col("__key").alias("node")).agg(F.min(place).alias("place")), "near-texts")
-
-    def sets_of(some: DataFrame) -> DataFrame:
-        """Shingle sets of the nodes; a node whose row is repeated comes again."""
-        asked = some.select("node", F.col("place.id").alias("__i"))
-        return shingle_sets(of.join(asked, (of["__key"] == asked["node"]) & of["__id"].eqNullSafe(asked["__i"])).select("node", "text"), words)
+    names = docs.columns
+    own = [f"__c{i}" for i in range(len(names))]  # extra columns may have any name
+    text = F.col(own[names.index("text")]).cast("string")
+    rows = docs.toDF(*own).withColumns({"node": text_key(text), "id": F.col(own[names.index("doc_id")]).cast("long")})
+    first = F.row_number().over(Window.partitionBy("node").orderBy(F.col("id").asc_nulls_last()))
+    # whole texts move once, to one row for each different text; map tasks first drop their own copies
+    nodes = stored(rows.withColumn("__n", first).where("`__n` = 1").drop("__n"), "near-texts")
+    sets = shingle_sets(nodes.select("node", text.alias("text")), words)
 
     share = -(-nodes.count() // COUNTED)
-    common = common_shingles(sets_of(nodes.where(F.pmod("node", F.lit(max(1, share))) == 0)))
-    lists = stored(listed(prefixes(sets_of(nodes), common, least), least), "near-lists")
-    pairs = stored(lists.where("not crowd and a <> b").select("a", "b").distinct(), "near-pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(lists.where("crowd").select("a")).distinct()
-    sets = stored(sets_of(nodes.join(ends, "node")).dropDuplicates(["node"]), "near-shingles")
-    found = stored(similar(pairs, sets, least), "near-found")
+    common = common_shingles(shingle_sets(nodes.where(F.pmod("node", F.lit(max(1, share))) == 0).select("node", text.alias("text")), words))
+    lists = stored(listed(prefixes(sets, common, least), least), "near-lists")
+    parity = stored(parities(sets), "near-parities")
+    pairs = lists.where("not crowd and a <> b").select("a", "b").distinct()
+    pairs = stored(possible(stored(pairs, "near-pairs"), parity, least), "near-possible")
+    found = stored(similar(pairs, sets_of(nodes, text, pairs, words), least), "near-found")
     roots = components(found)
-    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(roots, "node", "left").join(parities(sets), "node")
+    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(roots, "node", "left").join(parity.drop("n"), "node")
     rest = stored(apart(crowds.select("key", "size", "node", F.coalesce("root", "node").alias("root"), *[f"p{k}" for k in range(PARITY)]), least).distinct(), "near-rest")
-    groups = components(found.union(similar(rest, sets, least)))
-    first = F.min(F.struct("place.no", "place.id", F.col("nodes.node").alias("key"))).alias("p")
-    stay = nodes.alias("nodes").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(first).select(F.col("p.id").alias("__id"), F.col("p.key").alias("__key"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
-    one = Window.partitionBy("__id", "__key").orderBy(F.lit(1))
-    names = docs.columns
-    return docs.join(stay, same).withColumn("__n", F.row_number().over(one)).where("`__n` = 1").select(*[F.col(f"`{c}`") for c in names])
+    groups = components(found.union(similar(rest, sets_of(nodes, text, rest, words), least)))
+    place = F.struct(F.col("id").isNull().alias("no"), "id", "node")
+    stay = nodes.select("id", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("p")).select(F.col("p.node").alias("node"))
+    return nodes.join(stay, "node", "left_semi").select(*own).toDF(*names)
+
+
+def sets_of(nodes: DataFrame, text: Column, pairs: DataFrame, words: int) -> DataFrame:
+    """Shingle sets (`shingle_sets`) of the nodes that the pairs (a, b) name."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return shingle_sets(nodes.join(ends, "node", "left_semi").select("node", text.alias("text")), words)
