@@ -25,8 +25,9 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
 #: near_dedup: shingles are counted in at most COUNTED texts, at most COMMON counts are kept; lists of over LISTED texts are
-#: crowds; pairs of one node checked by one task: HOT.
+#: crowds; pairs of one node checked by one task: HOT; texts of a crowd in a block: BLOCK; pairs a text sends before all are sent: ROUNDS.
 COUNTED, COMMON, LISTED, HOT = 16384, 1 << 17, 16, 256
+BLOCK, ROUNDS = 2048, (2,)
 #: Rounding allowed for where a filter compares sizes; it only lets more through.
 SLACK = 1e-6
 #: 64-bit numbers of a set's parity bits in `apart`.
@@ -307,14 +308,18 @@ def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray], least: floa
     return sets.mapInArrow(run, "key long, size long, node long")
 
 
-def by_key(rows: DataFrame, run, kinds: str) -> DataFrame:
-    """`run` over whole lists of rows (key, size, node, ...) of one key, by size: each call gets columns of complete lists and yields columns."""
+def by_key(rows: DataFrame, run, kinds: str, once: bool = True) -> DataFrame:
+    """`run` over whole lists of rows (key, size, node, ...) of one key, by size: each call gets columns of complete lists and yields columns.
+
+    With `once`, of rows that repeat a node in a list one counts."""
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(own: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            new = np.r_[True, (own[0][1:] != own[0][:-1]) | (own[2][1:] != own[2][:-1])]  # rows that repeat a document
-            for columns in run(*(c[new] for c in own)):
+            if once:
+                new = np.r_[True, (own[0][1:] != own[0][:-1]) | (own[2][1:] != own[2][:-1])]
+                own = [c[new] for c in own]
+            for columns in run(*own):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
         held: list[list[np.ndarray]] = []
@@ -404,32 +409,50 @@ def possible(pairs: DataFrame, parity: DataFrame, least: float) -> DataFrame:
     return dealt.join(left, "a").join(right, ["b", "salt"]).where(unlike <= most).select("a", "b")
 
 
-def apart(crowds: DataFrame, least: float) -> DataFrame:
-    """Rows (a, b), b the smaller set: all pairs within a crowd that differ in root and can reach `least` by their sizes and parities.
+def apart(crowds: DataFrame, least: float, nearest: int | None = None) -> DataFrame:
+    """Rows (a, b), b the smaller set: pairs within a crowd that differ in root and can reach `least` by their sizes and parities.
 
-    `crowds` has rows (key, size, node, root, p0, p1, ...).
+    `crowds` has rows (key, size, node, root, p0, p1, ...). With `nearest`, each text sends only so many pairs of each BLOCK others, those of
+    the least unlike parities. Texts of a crowd's largest root meet only the others. A crowd is dealt in blocks of about BLOCK
+    texts, every block of the others against every block of all, so that no task holds a whole one.
     """
-
-    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray, root: np.ndarray, *parity: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    words = [f"p{k}" for k in range(PARITY)]
+    by_root = crowds.groupBy("key", "root").agg(F.count("*").alias("c"))
+    per = by_root.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    per = per.select("key", F.col("top.root").alias("top"), blocks(F.col("all") - F.col("top.c")).alias("others"), blocks(F.col("all")).alias("whole"))
+    rows = crowds.join(per, "key").withColumn("other", F.col("root") != F.col("top"))
+    share = lambda n: F.pmod(F.xxhash64(F.lit(1), "node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where("other").select("*", F.lit(1).alias("side"), share("others").alias("l"), every("whole").alias("r"))
+    right = rows.select("*", F.lit(0).alias("side"), every("others").alias("l"), share("whole").alias("r"))
+    dealt = left.unionByName(right).select(F.xxhash64("key", "l", "r").alias("key"), "size", "node", "root", "side", F.col("other").cast("int").alias("other"), *words)
+
+    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray, root: np.ndarray, side: np.ndarray, other: np.ndarray, *parity: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         bits = np.stack(parity, axis=1).view(np.uint64)  # bitwise_count takes signed numbers by their absolute value
         starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+        n, inner = size >> 1, size & 1 == 0
         for lo, hi in zip(starts, starts[1:], strict=False):
-            r, n, inner, names = root[lo:hi], size[lo:hi] >> 1, size[lo:hi] & 1 == 0, node[lo:hi]
-            roots, count = np.unique(r, return_counts=True)
-            if len(roots) < 2:
-                continue
-            rest = r != roots[count.argmax()]  # members of the largest group meet only these
-            for i in np.flatnonzero(rest):
-                j = np.flatnonzero((r != r[i]) & ~(rest & (np.arange(len(r)) < i)) & (np.minimum(n, n[i]) >= least * np.maximum(n, n[i]) - SLACK))
-                j = j[np.where(j > i, inner[i], inner[j])]
-                unlike = np.bitwise_count(bits[lo + j] ^ bits[lo + i]).sum(axis=1, dtype=np.int64)
+            place = np.arange(lo, hi)
+            rights = place[side[lo:hi] == 0]
+            for i in place[side[lo:hi] == 1]:
+                small, large = np.minimum(n[rights], n[i]), np.maximum(n[rights], n[i])
+                up = (n[rights] > n[i]) | ((n[rights] == n[i]) & (node[rights] > node[i]))
+                fits = (root[rights] != root[i]) & (small >= least * large - SLACK) & np.where(up, inner[i], inner[rights])
+                if nearest is None:  # a pair of others meets twice
+                    fits &= (other[rights] == 0) | (node[rights] > node[i])
+                j = rights[fits]
+                unlike = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
                 both = n[j] + n[i]
-                j = j[unlike <= both - 2 * least / (1 + least) * both + SLACK]
+                near = unlike <= both * ((1 - least) / (1 + least)) + SLACK
+                j, ratio = j[near], unlike[near] / np.maximum(1, both[near])
+                if nearest is not None and len(j) > nearest:
+                    j = j[np.argsort(ratio, kind="stable")[:nearest]]
                 if len(j):
-                    up = (n[j] > n[i]) | ((n[j] == n[i]) & (names[j] > names[i]))
-                    yield np.where(up, names[j], names[i]), np.where(up, names[i], names[j])
+                    up = (n[j] > n[i]) | ((n[j] == n[i]) & (node[j] > node[i]))
+                    yield np.where(up, node[j], node[i]), np.where(up, node[i], node[j])
 
-    return by_key(crowds, run, "a long, b long")
+    return by_key(dealt, run, "a long, b long", once=False)
 
 
 def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
@@ -438,8 +461,8 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     Near copies share `least` of their `words`-word shingles (Jaccard, each shingle once); groups are the components of
     all such pairs. Every pair that reaches `least` shares a shingle among the first of both sets (`prefixes`), in an order that
     puts shingles common in a sample of texts last; the sample decides how many pairs are checked, not which are found. Pairs
-    whose parities allow it are checked by their whole sets. In crowds each text is first checked against a leader, then
-    every pair whose ends the checked pairs have not joined.
+    whose parities allow it are checked by their whole sets. In crowds each text is first checked against a leader,
+    then against the most alike that the checked pairs have not joined it with, a few at a time, at last against all such.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
     key; of rows that repeat both, any one. Null and empty texts are copies of each other.
@@ -460,10 +483,15 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     pairs = lists.where("not crowd and a <> b").select("a", "b").distinct()
     pairs = stored(possible(stored(pairs, "near-pairs"), parity, least), "near-possible")
     found = stored(similar(pairs, sets_of(nodes, text, pairs, words), least), "near-found")
-    roots = components(found)
-    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(roots, "node", "left").join(parity.drop("n"), "node")
-    rest = stored(apart(crowds.select("key", "size", "node", F.coalesce("root", "node").alias("root"), *[f"p{k}" for k in range(PARITY)]), least).distinct(), "near-rest")
-    groups = components(found.union(similar(rest, sets_of(nodes, text, rest, words), least)))
+    groups = components(found)
+    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(parity.drop("n"), "node")
+    for nearest in (*ROUNDS, None):
+        joined = crowds.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = stored(apart(joined, least, nearest).distinct(), "near-rest")
+        if rest.isEmpty():  # nor is there a pair for a later round
+            break
+        found = stored(similar(rest, sets_of(nodes, text, rest, words), least), "near-found")
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
     place = F.struct(F.col("id").isNull().alias("no"), "id", "node")
     stay = nodes.select("id", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("p")).select(F.col("p.node").alias("node"))
     return nodes.join(stay, "node", "left_semi").select(*own).toDF(*names)
