@@ -17,7 +17,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.llm.common import bounded_batches, components, stored, text_key
@@ -30,7 +30,9 @@ COUNTED, COMMON, LISTED, HOT = 16384, 1 << 17, 16, 256
 BLOCK, ROUNDS = 2048, (2,)
 #: Rounding allowed for where a filter compares sizes; it only lets more through.
 SLACK = 1e-6
-#: 64-bit numbers of a set's parity bits in `apart`.
+#: Bytes of text whose shingle sets a worker holds.
+PIECE = 1 << 20
+#: 64-bit numbers of a set's parity bits.
 PARITY = 16
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -227,21 +229,50 @@ def simhash_components(docs: DataFrame, most: int = MOST, words: int = WORDS) ->
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """Rows (node long, own array<long>): 64-bit hashes of the different word shingles of each row (node, text); without a word, of one empty shingle."""
-    bounded_batches(texts.sparkSession)
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """64-bit hashes of the different word shingles of a text; without a word, of one empty shingle."""
+    own = (text or "").encode().translate(LOWER).split()
+    cut = {b" ".join(own[k : k + words]) for k in range(max(len(own) - words, 0) + 1)}
+    return np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64)
+
 
-    def shingles(text: str | None) -> list[int]:
-        own = (text or "").encode().translate(LOWER).split()
-        cut = {b" ".join(own[k : k + words]) for k in range(max(len(own) - words, 0) + 1)}
-        return np.fromiter(map(xxhash.xxh64_intdigest, cut), np.uint64, len(cut)).view(np.int64).tolist()
+def over_sets(texts: DataFrame, words: int, make, kinds: str) -> DataFrame:
+    """`make` over the shingle sets of rows (node, text): it gets nodes, sizes and all hashes one after another, and returns columns.
+
+    A worker holds the sets of about PIECE bytes of text, or of one text.
+    """
+    bounded_batches(texts.sparkSession)
+    names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            n = np.array([len(x) for x in sets], np.int64)
+            columns = make(np.array(nodes, np.int64), n, np.concatenate(sets))
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+
         for batch in batches:
-            sets = pa.array([shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["node", "own"])
+            nodes, sets, held = [], [], 0
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = text.as_py()
+                nodes.append(node)
+                sets.append(shingles(text, words))
+                held += len(text or "")
+                if held > PIECE:
+                    yield out(nodes, sets)
+                    nodes, sets, held = [], [], 0
+            if nodes:
+                yield out(nodes, sets)
+
+    return texts.select("node", F.col("text").cast("string")).mapInArrow(run, kinds)
+
 
-    return texts.select("node", F.col("text").cast("string")).mapInArrow(run, "node long, own array<long>")
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """Rows (node long, own array<long>): the shingle set of each row (node, text)."""
+
+    def make(node: np.ndarray, n: np.ndarray, h: np.ndarray) -> tuple:
+        return node, pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(h))
+
+    return over_sets(texts, words, make, "node long, own array<long>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -257,14 +288,10 @@ def similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return both.where(shared >= least * (F.size("own") + F.size("other") - shared)).select("a", "b")
 
 
-def hashes(rows: DataFrame) -> DataFrame:
-    """Rows (h) of rows (node, own): all shingles."""
-    return rows.select(F.explode("own").alias("h"))
-
-
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes that several of the rows (node, own) hold, sorted, and how many do; the COMMON most frequent at most."""
-    counts = stored(hashes(sets).groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "near-counts")
+def common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that several of the rows (node, text) hold, sorted, and how many do; the COMMON most frequent at most."""
+    every = over_sets(texts, words, lambda node, n, h: (h,), "h long")
+    counts = stored(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "near-counts")
     least, room = 2, COMMON
     for n, many in sorted((tuple(r) for r in counts.groupBy("n").count().collect()), reverse=True):
         room -= many
@@ -277,8 +304,8 @@ def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], n[order]
 
 
-def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray], least: float) -> DataFrame:
-    """Rows (key, size, node) of rows (node, own): each set's first shingles in one order for all, those not in `common` first.
+def prefixes(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray], least: float) -> DataFrame:
+    """Rows (key, size, node) of rows (node, text): each set's first shingles in one order for all, those not in `common` first.
 
     Sets of n and m >= n shingles with a Jaccard similarity of `least` share at least least * m of them, and at least
     2 * least / (1 + least) * n. So one of the longer set's first m - least * m + 1 is among the shorter one's
@@ -286,26 +313,21 @@ def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray], least: floa
     """
     known, often = common
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(1)
-            n = np.diff(own.offsets.to_numpy())
-            h = own.flatten().to_numpy()
-            of = np.repeat(np.arange(len(n)), n)
-            rank = np.zeros(len(h), np.int64)
-            if len(known) and len(h):
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                rank = np.where(known[at] == h, often[at], 0)
-            order = np.lexsort((h, rank, of))
-            place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-            outer = n - np.ceil(least * n - SLACK).astype(np.int64) + 1
-            inner = n - np.ceil(2 * least / (1 + least) * n - SLACK).astype(np.int64) + 1
-            first = np.flatnonzero(place < outer[of])
-            size = 2 * n[of[first]].astype(np.int64) + (place[first] >= inner[of[first]])
-            node = batch.column(0).to_numpy(zero_copy_only=False)[of[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(h[order[first]]), pa.array(size), pa.array(node)], names=["key", "size", "node"])
-
-    return sets.mapInArrow(run, "key long, size long, node long")
+    def make(node: np.ndarray, n: np.ndarray, h: np.ndarray) -> tuple:
+        of = np.repeat(np.arange(len(n)), n)
+        rank = np.zeros(len(h), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            rank = np.where(known[at] == h, often[at], 0)
+        order = np.lexsort((h, rank, of))
+        place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        outer = n - np.ceil(least * n - SLACK).astype(np.int64) + 1
+        inner = n - np.ceil(2 * least / (1 + least) * n - SLACK).astype(np.int64) + 1
+        first = np.flatnonzero(place < outer[of])
+        size = 2 * n[of[first]] + (place[first] >= inner[of[first]])
+        return h[order[first]], size, node[of[first]]
+
+    return over_sets(texts, words, make, "key long, size long, node long")
 
 
 def by_key(rows: DataFrame, run, kinds: str, once: bool = True) -> DataFrame:
@@ -375,23 +397,20 @@ def listed(rows: DataFrame, least: float) -> DataFrame:
     return by_key(rows, run, "crowd boolean, key long, a long, b long")
 
 
-def parities(sets: DataFrame) -> DataFrame:
-    """Rows (node, n, p0, p1, ...) of rows (node, own): the set's size, and for each of 64 * PARITY classes of hashes whether it has an odd number of them.
+def parities(texts: DataFrame, words: int) -> DataFrame:
+    """Rows (node, n, p0, p1, ...) of rows (node, text): the set's size, and for each of 64 * PARITY classes of hashes whether it has an odd number of them.
 
     Sets with d shingles not in both differ in at most d of these bits.
     """
     width = 64 * PARITY
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column(1)
-            n = np.diff(own.offsets.to_numpy())
-            at = np.repeat(np.arange(len(n)) * width, n) + (own.flatten().to_numpy() & (width - 1))
-            bits = np.bincount(at, minlength=len(n) * width).reshape(len(n), width) & 1
-            words = np.packbits(bits.astype(bool), axis=1, bitorder="little").view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n.astype(np.int64)), *map(pa.array, np.ascontiguousarray(words.T))], names=["node", "n", *(f"p{k}" for k in range(PARITY))])
+    def make(node: np.ndarray, n: np.ndarray, h: np.ndarray) -> tuple:
+        at = np.repeat(np.arange(len(n)) * width, n) + (h & (width - 1))
+        bits = np.bincount(at, minlength=len(n) * width).reshape(len(n), width) & 1
+        parts = np.packbits(bits.astype(bool), axis=1, bitorder="little").view(np.int64)
+        return node, n, *np.ascontiguousarray(parts.T)
 
-    return sets.mapInArrow(run, "node long, n long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
+    return over_sets(texts, words, make, "node long, n long, " + ", ".join(f"p{k} long" for k in range(PARITY)))
 
 
 def possible(pairs: DataFrame, parity: DataFrame, least: float) -> DataFrame:
@@ -474,15 +493,15 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     first = F.row_number().over(Window.partitionBy("node").orderBy(F.col("id").asc_nulls_last()))
     # whole texts move once, to one row for each different text; map tasks first drop their own copies
     nodes = stored(rows.withColumn("__n", first).where("`__n` = 1").drop("__n"), "near-texts")
-    sets = shingle_sets(nodes.select("node", text.alias("text")), words)
+    texts = nodes.select("node", text.alias("text"))
 
     share = -(-nodes.count() // COUNTED)
-    common = common_shingles(shingle_sets(nodes.where(F.pmod("node", F.lit(max(1, share))) == 0).select("node", text.alias("text")), words))
-    lists = stored(listed(prefixes(sets, common, least), least), "near-lists")
-    parity = stored(parities(sets), "near-parities")
+    common = common_shingles(texts.where(F.pmod("node", F.lit(max(1, share))) == 0), words)
+    lists = stored(listed(prefixes(texts, words, common, least), least), "near-lists")
+    parity = stored(parities(texts, words), "near-parities")
     pairs = lists.where("not crowd and a <> b").select("a", "b").distinct()
     pairs = stored(possible(stored(pairs, "near-pairs"), parity, least), "near-possible")
-    found = stored(similar(pairs, sets_of(nodes, text, pairs, words), least), "near-found")
+    found = stored(similar(pairs, sets_of(texts, pairs, words), least), "near-found")
     groups = components(found)
     crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(parity.drop("n"), "node")
     for nearest in (*ROUNDS, None):
@@ -490,14 +509,14 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
         rest = stored(apart(joined, least, nearest).distinct(), "near-rest")
         if rest.isEmpty():  # nor is there a pair for a later round
             break
-        found = stored(similar(rest, sets_of(nodes, text, rest, words), least), "near-found")
+        found = stored(similar(rest, sets_of(texts, rest, words), least), "near-found")
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
     place = F.struct(F.col("id").isNull().alias("no"), "id", "node")
     stay = nodes.select("id", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("p")).select(F.col("p.node").alias("node"))
     return nodes.join(stay, "node", "left_semi").select(*own).toDF(*names)
 
 
-def sets_of(nodes: DataFrame, text: Column, pairs: DataFrame, words: int) -> DataFrame:
-    """Shingle sets (`shingle_sets`) of the nodes that the pairs (a, b) name."""
+def sets_of(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Shingle sets (`shingle_sets`) of those of the rows (node, text) that the pairs (a, b) name."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return shingle_sets(nodes.join(ends, "node", "left_semi").select("node", text.alias("text")), words)
+    return shingle_sets(texts.join(ends, "node", "left_semi"), words)
