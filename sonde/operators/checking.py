@@ -305,6 +305,43 @@ def final_row(df: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.lit(None).cast("string") for c in ("PSG_Type", "Previous_Data") if c in have})
 
 
+def one_form(df: DataFrame) -> DataFrame:
+    """The earlier rule for forms that ask once or for weekdays and free days: fields vote for a form, and values are copied to it.
+
+    A field with weekday or free values and no single one votes for two, one with a single value only for one; with all three, for two if they differ.
+    Two wins with more votes; the other form's columns are then null.
+    """
+    have = set(df.columns)
+    get = lambda c: S.normalise_value(c) if c in have else F.lit(None).cast("string")
+    same = lambda c: F.coalesce(whole_number(c).cast("string"), F.lower(c))
+    fields = [(f"{b}_{u}", f"{b}_{u}_week", f"{b}_{u}_free") for b in WEEK_BASES for u in ("HH", "MM")]
+    votes = F.lit(0)
+    for names in fields:
+        one, week, free = map(get, names)
+        differ = (same(week) != same(free)) | (same(one) != same(week))
+        all_three = one.isNotNull() & week.isNotNull() & free.isNotNull()
+        two = (week.isNotNull() | free.isNotNull()) & one.isNull()
+        single = one.isNotNull() & week.isNull() & free.isNull()
+        votes = votes + F.when(two | (all_three & differ), 1).when(single | all_three, -1).otherwise(0)
+    rows, new = df.withColumn("__two", votes > 0), {}
+    for names in fields:
+        one, week, free = map(get, names)
+        two = F.col("__two")
+        new[names[0]] = F.when(~two, F.coalesce(one, week, free))
+        new[names[1]] = F.when(two, F.coalesce(week, one))
+        new[names[2]] = F.when(two, F.coalesce(free, one))
+    return rows.withColumns(new).drop("__two")
+
+
+def history_zeros(df: DataFrame) -> DataFrame:
+    """The earlier rule for the history: where any item is answered, those that aren't are 0."""
+    items = [c for c in df.columns if c.startswith("PHx_")]
+    if not items:
+        return df
+    answered = F.coalesce(*[S.normalise_value(c) for c in items]).isNotNull()
+    return df.withColumns({c: F.coalesce(whole_number(F.col(c)).cast("string"), S.normalise_value(c), F.when(answered, F.lit("0"))) for c in items})
+
+
 def _step_columns(step: int, have: set[str]) -> dict[str, Column]:
     """Columns of one titration step in their normal form; a stage that ends a position moves to the stages."""
     out: dict[str, Column] = {}

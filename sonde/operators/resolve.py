@@ -76,3 +76,16 @@ def back_filled(present: Column, *others: Column) -> Column:
 def wide(facts: DataFrame, entity: str, key: str, value: str, columns: list[str]) -> DataFrame:
     """One row an entity with a fixed list of columns; keys outside the list are dropped."""
     return facts.where(F.col(key).isin(*columns)).groupBy(entity).pivot(key, columns).agg(F.first(value, ignorenulls=True))
+
+
+def first_seen(facts: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """Rows (*keys, chosen, conflict): the earlier rule of merging, the first value that isn't null; whether others differ."""
+    rows = facts.where(F.col(value).isNotNull())
+    return rows.groupBy(*keys).agg(F.min(F.struct(*order, value)).alias("__m"), F.count_distinct(value).alias("__n")).select(*keys, F.col("__m")[value].alias("chosen"), (F.col("__n") > 1).alias("conflict"))
+
+
+def most_seen(facts: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
+    """Rows (*keys, chosen, conflict): the patient-level rule of merging, the most frequent value, of equals the first seen."""
+    seen = facts.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"), F.min(F.struct(*order)).alias("__f"))
+    place = F.struct((-F.col("__n")).alias("n"), F.col("__f").alias("f"), F.col(value).alias("v"))
+    return seen.groupBy(*keys).agg(F.min(place).alias("__m"), F.count("*").alias("__k")).select(*keys, F.col("__m.v").alias("chosen"), (F.col("__k") > 1).alias("conflict"))

@@ -1,6 +1,8 @@
 import pytest
 
+from sonde.functions import answers
 from sonde.operators import checking as C
+from sonde.operators import resolve
 
 
 def one(spark, t, column):
@@ -89,3 +91,41 @@ def test_diagnoses_and_second_look(spark):
     long = "Epworth checked " + "a: 1 " * 60
     rows = spark.createDataFrame([(long, 3), (long, 12), ("short", 0)], "t string, n int")
     assert [r[0] for r in rows.select(C.second_look("t", "n")).collect()] == [True, False, False]
+
+
+def test_earlier_rules(spark):
+    row = {"PSQI_01_BedIn_HH": "11", "PSQI_02_Latency_MM_week": "10", "PSQI_02_Latency_MM_free": None, "PSQI_03_BedOut_HH_week": "7", "PSQI_03_BedOut_HH_free": "9", "PHx_A": "1", "PHx_B": None}
+    df = spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} string" for k in row))
+    got = C.one_form(df).first()
+    assert (got["PSQI_01_BedIn_HH"], got["PSQI_01_BedIn_HH_week"], got["PSQI_01_BedIn_HH_free"], got["PSQI_03_BedOut_HH_free"], got["PSQI_02_Latency_MM_free"]) == (None, "11", "11", "9", None)
+    single = C.one_form(df.select("PSQI_01_BedIn_HH")).first()
+    assert (single["PSQI_01_BedIn_HH"], single["PSQI_01_BedIn_HH_week"]) == ("11", None)
+    assert tuple(C.history_zeros(df.select("PHx_A", "PHx_B")).first()) == ("1", "0")
+    facts = spark.createDataFrame([("k", None, 0), ("k", "b", 1), ("k", "a", 2), ("k", "a", 3), ("m", "x", 0), ("t", "q", 1), ("t", "p", 0)], "k string, v string, n int")
+    assert {r["k"]: (r["chosen"], r["conflict"]) for r in resolve.first_seen(facts, ["k"], "v", ["n"]).collect()} == {"k": ("b", True), "m": ("x", False), "t": ("p", True)}
+    assert {r["k"]: (r["chosen"], r["conflict"]) for r in resolve.most_seen(facts, ["k"], "v", ["n"]).collect()} == {"k": ("a", True), "m": ("x", False), "t": ("p", True)}
+
+
+def test_answers(spark):
+    said = 'Sure: {"A": {"CDM_Context": "c", "value": 1, "input_context": {"who_filled": "Patient", "question": "q?", "page": "[page_type: night] x"}, "certainty": {"total_score": 7}}, "B": "x", "C": null, "D": [1, 2]} done'
+    df = spark.createDataFrame([(1, said), (2, "no object"), (3, '{"E": {"value": "y", "filler": "doctor", "text": "t"}}'), (4, None)], "id int, t string")
+    rows = {r["key"]: r for r in answers.wrapped_values(df, ["id"], "t").collect()}
+    assert set(rows) == set("ABCDE")
+    a = rows["A"]
+    assert (a["value"], a["about"], a["filled_by"], a["question"], a["page_type"], a["certainty"]) == ("1", "c", "patient", "q?", "night", "7")
+    assert (rows["B"]["value"], rows["C"]["value"], rows["D"]["value"]) == ("x", None, "[1,2]")
+    assert (rows["E"]["value"], rows["E"]["filled_by"], rows["E"]["question"]) == ("y", "doctor", "t")
+    records = ['{"response": {"candidates": [{"content": {"parts": [{"text": " a "}, {"text": "a"}, {"text": "b"}]}}]}}', '{"response": {"candidates": [{"text": "c"}]}}', '{"response": {"candidates": [{"x": {"answer": "d \\"e\\""}}]}}', '{"error": {"message": "m"}}', '{"error": "z"}']
+    got = spark.createDataFrame([(r,) for r in records], "r string").select(answers.batch_text("r"), answers.batch_error("r")).collect()
+    assert [tuple(r) for r in got] == [("a\nb", None), ("c", None), ('d "e"', None), (None, "m"), (None, "z")]
+    used = ['{"usage_metadata": {"total_tokens": 5}}', '{"totalTokenCount": 7}', '{"response_metadata": {"usage_metadata": {"input_tokens": 2, "output_tokens": 3}}}', '{"prompt_tokens": 1, "completion_tokens": 1}', "{}"]
+    assert [r[0] for r in spark.createDataFrame([(u,) for u in used], "u string").select(answers.total_tokens("u")).collect()] == [5, 7, 5, 2, None]
+
+
+def test_limits(spark):
+    rows = [({" Retry-After ": "2s", "X-RateLimit-Limit-Requests": "60"}, ""), ({"x-ratelimit-reset-tokens": "1m2s"}, ""), ({}, "Please try again in 1.5s."), ({}, "no")]
+    got = [r[0] for r in spark.createDataFrame(rows, "h map<string,string>, b string").select(answers.limits("h", "b")).collect()]
+    assert [r["retry_after_sec"] for r in got] == [2.0, 62.0, 1.5, None]
+    assert got[0]["limit_requests"] == 60.0
+    last = answers.last_by_key(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, n int, v string"), "k", ["n"])
+    assert {r["k"]: r["v"] for r in last.collect()} == {"a": "y", "b": "z"}
