@@ -24,10 +24,11 @@ from sonde.llm.common import bounded_batches, components, stored, text_key
 
 SEED, WORDS, MOST, SEGMENTS = 42, 4, 4, 5
 DENSE = 2048
-#: near_dedup: shingles are counted in at most COUNTED texts, at most COMMON counts are kept; lists of over LISTED texts are
-#: crowds; pairs of one node checked by one task: HOT; texts of a crowd in a block: BLOCK; pairs a text sends before all are sent: ROUNDS.
-COUNTED, COMMON, LISTED, HOT = 16384, 1 << 17, 16, 256
-BLOCK, ROUNDS = 2048, (2,)
+#: near_dedup: shingles are counted in at most COUNTED texts, at most COMMON counts are kept; pairs of one node checked by one
+#: task: HOT; texts of a crowd in a block: BLOCK; pairs a text sends before all are sent: ROUNDS; pairs looked at at once: PAIRS;
+#: rows of a list that a task holds: PART.
+COUNTED, COMMON, HOT = 16384, 1 << 17, 256
+BLOCK, ROUNDS, PAIRS, PART = 2048, (2,), 1 << 17, 1 << 20
 #: Rounding allowed for where a filter compares sizes; it only lets more through.
 SLACK = 1e-6
 #: Bytes of text whose shingle sets a worker holds.
@@ -331,16 +332,19 @@ def prefixes(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]
 
 
 def by_key(rows: DataFrame, run, kinds: str, once: bool = True) -> DataFrame:
-    """`run` over whole lists of rows (key, size, node, ...) of one key, by size: each call gets columns of complete lists and yields columns.
+    """`run` over lists of rows (key, size, node, ...) of one key, by size: each call gets columns of complete lists and yields columns.
 
-    With `once`, of rows that repeat a node in a list one counts."""
+    With `once`, of rows that repeat a node in a list one counts, and a list of over PART rows comes in parts; `run` gets its key too.
+    """
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = None  # key of a list that comes in parts
+
         def out(own: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             if once:
                 new = np.r_[True, (own[0][1:] != own[0][:-1]) | (own[2][1:] != own[2][:-1])]
-                own = [c[new] for c in own]
+                own = [*(c[new] for c in own), cut]
             for columns in run(*own):
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
@@ -357,6 +361,11 @@ def by_key(rows: DataFrame, run, kinds: str, once: bool = True) -> DataFrame:
                 end = int(np.searchsorted(own[0], own[0][-1], "left"))
                 yield from out([c[:end] for c in own])
                 held, many = [[c[end:] for c in own]], len(own[0]) - end
+            elif once and many > PART:
+                own = [np.concatenate(c) for c in zip(*held, strict=True)]
+                cut = own[0][-1]  # the last list may go on
+                yield from out(own)
+                held, many = [], 0
         if many:
             yield from out([np.concatenate(c) for c in zip(*held, strict=True)])
 
@@ -367,32 +376,31 @@ def by_key(rows: DataFrame, run, kinds: str, once: bool = True) -> DataFrame:
 def listed(rows: DataFrame, least: float) -> DataFrame:
     """Rows (crowd, key, a, b) from `prefixes`: pairs (a, b) to check, b the smaller set, and of crowds also their members.
 
-    Lists of up to LISTED texts send all pairs that can reach `least`. Larger ones, crowds, send each member with one
-    no larger than it, a leader, and then their members (key, a the node, b the size), for `apart`.
+    Lists of two texts send their pair if it can reach `least`. Larger ones, crowds, send each member with one no larger
+    than it, a leader, and their members (key, a the node, b the size), for `apart`: two rows a member at most. Parts of one
+    list have leaders of their own; `apart` sees it whole.
     """
 
-    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def run(key: np.ndarray, size: np.ndarray, node: np.ndarray, cut: int | None) -> Iterator[tuple[np.ndarray, ...]]:
         starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
         sizes = np.diff(starts)
-        small = np.repeat(sizes <= LISTED, sizes)
+        sizes = np.where(key[starts[:-1]] == cut, np.maximum(3, sizes), sizes) if cut is not None else sizes
         n, inner = size >> 1, size & 1 == 0
-        for d in range(1, LISTED):
-            if len(key) <= d:
-                break
-            i = np.flatnonzero((key[d:] == key[:-d]) & small[d:] & inner[:-d] & (n[:-d] >= least * n[d:] - SLACK))
-            if not len(i):
-                continue
-            a, b = node[i + d], node[i]
-            swap = (n[i] == n[i + d]) & (a < b)
-            yield np.zeros(len(i), bool), key[i], np.where(swap, b, a), np.where(swap, a, b)
-        for s in np.flatnonzero(sizes > LISTED):
-            lo, hi = int(starts[s]), int(starts[s + 1])
-            yield np.ones(hi - lo, bool), key[lo:hi], node[lo:hi], size[lo:hi]
-            while lo < hi:
-                end = int(np.searchsorted(n[lo:hi], (n[lo] + SLACK) / least, "right")) + lo
-                if end > lo + 1:
-                    yield np.zeros(end - lo - 1, bool), key[lo + 1 : end], node[lo + 1 : end], np.full(end - lo - 1, node[lo])
-                lo = end
+        i = starts[:-1][sizes == 2]
+        i = i[inner[i] & (n[i] >= least * n[i + 1] - SLACK)]
+        a, b = node[i + 1], node[i]
+        swap = (n[i] == n[i + 1]) & (a < b)
+        yield np.zeros(len(i), bool), key[i], np.where(swap, b, a), np.where(swap, a, b)
+        members = np.flatnonzero(np.repeat(sizes > 2, np.diff(starts)))
+        yield np.ones(len(members), bool), key[members], node[members], size[members]
+        todo = members
+        while len(todo):  # the next leader of every crowd at once; it takes those that its size allows
+            first = np.r_[True, key[todo][1:] != key[todo][:-1]]
+            lead = todo[first][np.cumsum(first) - 1]
+            own = n[todo] <= (n[lead] + SLACK) / least
+            a, b = todo[own & ~first], lead[own & ~first]
+            yield np.zeros(len(a), bool), key[a], node[a], node[b]
+            todo = todo[~own]
 
     return by_key(rows, run, "crowd boolean, key long, a long, b long")
 
@@ -428,19 +436,19 @@ def possible(pairs: DataFrame, parity: DataFrame, least: float) -> DataFrame:
     return dealt.join(left, "a").join(right, ["b", "salt"]).where(unlike <= most).select("a", "b")
 
 
-def apart(crowds: DataFrame, least: float, nearest: int | None = None) -> DataFrame:
+def apart(crowds: DataFrame, parity: DataFrame, least: float, nearest: int | None = None) -> DataFrame:
     """Rows (a, b), b the smaller set: pairs within a crowd that differ in root and can reach `least` by their sizes and parities.
 
-    `crowds` has rows (key, size, node, root, p0, p1, ...). With `nearest`, each text sends only so many pairs of each BLOCK others, those of
-    the least unlike parities. Texts of a crowd's largest root meet only the others. A crowd is dealt in blocks of about BLOCK
-    texts, every block of the others against every block of all, so that no task holds a whole one.
+    `crowds` has rows (key, size, node, root). With `nearest`, each text sends only so many pairs of each BLOCK others, those of
+    the least unlike parities. Crowds of one root are done; texts of a crowd's largest root meet only the others. A crowd is
+    dealt in blocks of about BLOCK texts, every block of the others against every block of all, so that no task holds a whole one.
     """
     words = [f"p{k}" for k in range(PARITY)]
     by_root = crowds.groupBy("key", "root").agg(F.count("*").alias("c"))
     per = by_root.groupBy("key").agg(F.sum("c").alias("all"), F.max(F.struct("c", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     per = per.select("key", F.col("top.root").alias("top"), blocks(F.col("all") - F.col("top.c")).alias("others"), blocks(F.col("all")).alias("whole"))
-    rows = crowds.join(per, "key").withColumn("other", F.col("root") != F.col("top"))
+    rows = crowds.join(per, "key").withColumn("other", F.col("root") != F.col("top")).join(parity.drop("n"), "node")
     share = lambda n: F.pmod(F.xxhash64(F.lit(1), "node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.where("other").select("*", F.lit(1).alias("side"), share("others").alias("l"), every("whole").alias("r"))
@@ -449,27 +457,35 @@ def apart(crowds: DataFrame, least: float, nearest: int | None = None) -> DataFr
 
     def run(key: np.ndarray, size: np.ndarray, node: np.ndarray, root: np.ndarray, side: np.ndarray, other: np.ndarray, *parity: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         bits = np.stack(parity, axis=1).view(np.uint64)  # bitwise_count takes signed numbers by their absolute value
-        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
         n, inner = size >> 1, size & 1 == 0
-        for lo, hi in zip(starts, starts[1:], strict=False):
-            place = np.arange(lo, hi)
-            rights = place[side[lo:hi] == 0]
-            for i in place[side[lo:hi] == 1]:
-                small, large = np.minimum(n[rights], n[i]), np.maximum(n[rights], n[i])
-                up = (n[rights] > n[i]) | ((n[rights] == n[i]) & (node[rights] > node[i]))
-                fits = (root[rights] != root[i]) & (small >= least * large - SLACK) & np.where(up, inner[i], inner[rights])
-                if nearest is None:  # a pair of others meets twice
-                    fits &= (other[rights] == 0) | (node[rights] > node[i])
-                j = rights[fits]
-                unlike = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                both = n[j] + n[i]
-                near = unlike <= both * ((1 - least) / (1 + least)) + SLACK
-                j, ratio = j[near], unlike[near] / np.maximum(1, both[near])
-                if nearest is not None and len(j) > nearest:
-                    j = j[np.argsort(ratio, kind="stable")[:nearest]]
-                if len(j):
-                    up = (n[j] > n[i]) | ((n[j] == n[i]) & (node[j] > node[i]))
-                    yield np.where(up, node[j], node[i]), np.where(up, node[i], node[j])
+        group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+        lefts, rights = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        count = np.bincount(group[rights], minlength=int(group[-1]) + 1)
+        start = np.cumsum(count) - count  # of a group's texts in `rights`
+        meets = count[group[lefts]]
+        upto = np.cumsum(meets)
+        at = 0
+        while at < len(lefts):  # some texts of the left against all of their group's right
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+            i = np.repeat(lefts[at:end], meets[at:end])
+            first = np.cumsum(meets[at:end]) - meets[at:end]
+            j = rights[np.repeat(start[group[lefts[at:end]]], meets[at:end]) + np.arange(len(i)) - np.repeat(first, meets[at:end])]
+            at = end
+            up = (n[j] > n[i]) | ((n[j] == n[i]) & (node[j] > node[i]))
+            fits = (root[j] != root[i]) & (np.minimum(n[i], n[j]) >= least * np.maximum(n[i], n[j]) - SLACK) & np.where(up, inner[i], inner[j])
+            if nearest is None:  # a pair of others meets twice
+                fits &= (other[j] == 0) | (node[j] > node[i])
+            i, j, up = i[fits], j[fits], up[fits]
+            both = n[j] + n[i]
+            unlike = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near = np.flatnonzero(unlike <= both * ((1 - least) / (1 + least)) + SLACK)
+            if nearest is not None:
+                near = near[np.lexsort((unlike[near] / np.maximum(1, both[near]), i[near]))]
+                new = np.r_[True, i[near][1:] != i[near][:-1]][: len(near)]
+                place = np.arange(len(near)) - np.maximum.accumulate(np.where(new, np.arange(len(near)), 0))
+                near = near[place < nearest]
+            i, j, up = i[near], j[near], up[near]
+            yield np.where(up, node[j], node[i]), np.where(up, node[i], node[j])
 
     return by_key(dealt, run, "a long, b long", once=False)
 
@@ -503,10 +519,10 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     pairs = stored(possible(stored(pairs, "near-pairs"), parity, least), "near-possible")
     found = stored(similar(pairs, sets_of(texts, pairs, words), least), "near-found")
     groups = components(found)
-    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node")).join(parity.drop("n"), "node")
+    crowds = lists.where("crowd").select("key", F.col("b").alias("size"), F.col("a").alias("node"))
     for nearest in (*ROUNDS, None):
         joined = crowds.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = stored(apart(joined, least, nearest).distinct(), "near-rest")
+        rest = stored(apart(joined, parity, least, nearest).distinct(), "near-rest")
         if rest.isEmpty():  # nor is there a pair for a later round
             break
         found = stored(similar(rest, sets_of(texts, rest, words), least), "near-found")

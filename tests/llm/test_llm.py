@@ -394,8 +394,11 @@ def test_near_dedup_of_block_edits(spark):
     assert {r["doc_id"] for r in kept.collect()} == set(range(60))
 
 
-def test_near_dedup_of_a_crowd(spark):
+def test_near_dedup_of_a_crowd(spark, monkeypatch):
     """Texts of one passage with blocks of other words, near and under the similarity: each pair counts, though all share shingles."""
+    monkeypatch.setattr(simhash, "BLOCK", 30)
+    monkeypatch.setattr(simhash, "PART", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
     rng = random.Random(8)
     some = lambda k: [f"y{rng.getrandbits(40)}" for _ in range(k)]
     base, rows = some(200), []
@@ -409,6 +412,7 @@ def test_near_dedup_of_a_crowd(spark):
         want[group[t]] = min(want.get(group[t], i), i)
     kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want.values())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def test_near_dedup_of_nothing(spark):
