@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonde.llm import exact_dedup, line_dedup, mixing, packing, quality, resampling, secrets, simhash, suffix, token_counts, topk
+from sonde.llm import exact_dedup, lexical, line_dedup, mixing, packing, quality, resampling, secrets, simhash, suffix, token_counts, topk
 from sonde.llm.common import table
 
 
@@ -58,10 +58,15 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_token_counts, op2_exact_topk, op3_secret_scan, op4_exact_dedup, op5_quality_classifier, op6_suffix_dedup, op7_source_mixing,
         op8_simhash_dedup, op9_line_dedup, op10_best_fit_packing, op11_importance_resampling,
+        op13_lexical_search,
     )
     return {f.__name__: f for f in own}
 
@@ -69,5 +74,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_topk": topk.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op7_source_mixing": mixing.ORACLE_SQL, "op9_line_dedup": line_dedup.ORACLE_SQL,
-        "op11_importance_resampling": resampling.ORACLE_SQL,
+        "op11_importance_resampling": resampling.ORACLE_SQL, "op13_lexical_search": lexical.ORACLE_SQL,
     }
