@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonde.llm import exact_dedup, lexical, line_dedup, mixing, packing, quality, resampling, secrets, simhash, suffix, token_counts, topk
+from sonde.llm import exact_dedup, language_model, lexical, line_dedup, mixing, packing, quality, resampling, secrets, simhash, suffix, token_counts, topk
 from sonde.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), "item_id")
 
@@ -66,7 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_token_counts, op2_exact_topk, op3_secret_scan, op4_exact_dedup, op5_quality_classifier, op6_suffix_dedup, op7_source_mixing,
         op8_simhash_dedup, op9_line_dedup, op10_best_fit_packing, op11_importance_resampling,
-        op13_lexical_search,
+        op12_lm_scoring, op13_lexical_search,
     )
     return {f.__name__: f for f in own}
 
