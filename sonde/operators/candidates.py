@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import routing
+from sonde.operators import nearest, routing
 from sonde.operators.routing import holds
 
 # Keys that always take part.
@@ -91,42 +91,32 @@ def grams(text: str | Column) -> Column:
 
 
 def alike(queries: DataFrame, query: str, query_text: str, rows: DataFrame, row: str, row_text: str, k: int, places: int = 9) -> DataFrame:
-    """Rows (query, row, rank, score): for each query the k rows most alike by cosine of TF-IDF over `grams`, later rows first among equals.
-
-    Weights are counts times ln((1 + N) / (1 + df)) + 1 of the rows. Grams that no row has don't count. Grams meet by an
-    equi-join and are summed before it, so what moves are (text, gram) counts; scores are rounded to `places` so that ties are ties.
-    """
-    def counted(df: DataFrame, ident: str, text: str) -> DataFrame:
-        return df.select(F.col(ident).alias(ident), F.explode(grams(text)).alias("gram")).groupBy(ident, "gram").agg(F.count("*").cast("double").alias("tf"))
-
-    own = counted(rows.select(F.col(row).alias("__row"), F.col(row_text).alias("__t")), "__row", "__t")
-    total = rows.agg(F.count("*").alias("__all"))
-    idf = own.groupBy("gram").agg(F.count("*").alias("df")).join(F.broadcast(total)).select("gram", (F.log((1 + F.col("__all")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row
-    length = lambda ident: F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(ident)))
-    weigh = lambda df, ident: df.join(idf, "gram").withColumn("w", F.col("tf") * F.col("idf")).withColumn("w", F.col("w") / length(ident)).select(ident, "gram", "w")
-    left = weigh(counted(queries.select(F.col(query).alias("__query"), F.col(query_text).alias("__t")), "__query", "__t"), "__query")
-    right = weigh(own, "__row").withColumnRenamed("w", "v")
-    score = left.join(right, "gram").groupBy("__query", "__row").agg(F.round(F.sum(F.col("w") * F.col("v")), places).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("__query").orderBy(F.desc("score"), F.desc("__row")))
-    return score.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("__query").alias(query), F.col("__row").alias(row), "rank", "score")
+    """Rows (query, row, rank, score): for each query the k rows most alike by cosine of TF-IDF over `grams`, later rows first among equals."""
+    return nearest.alike(queries, query, query_text, rows, row, row_text, k, places, grams, GRAMS)
 
 
 def selected(pages: DataFrame, page: str, text: str, dictionary: DataFrame, k: int) -> DataFrame:
     """Rows (page, key, score, place): core keys, keys of the words a page triggers, report measures on report-like pages, then the k most alike; each key once.
 
-    `dictionary` has key, position and description; likeness is to key and description, of the first CLIP characters of a page.
+    `dictionary` has key, position and description; likeness is to key and description, of the first CLIP characters of a page. place orders
+    a page's keys: core keys as listed, then by trigger, prefix of the trigger and position, then measures by position, then by rank.
     """
-    triggered = F.array_distinct(F.flatten(F.array(*[F.when(holds(text, p), F.array(*map(F.lit, own))).otherwise(F.array().cast("array<string>")) for p, own in TRIGGERS])))
-    marked = pages.select(page, triggered.alias("__p"), holds(text, MEASURED).alias("__m"))
-    d = dictionary.select("key", "position")
-    core = {k: i for i, k in enumerate(CORE)}
-    place = F.create_map(*[F.lit(x) for kv in core.items() for x in kv])
-    rows = marked.join(F.broadcast(d)).select(page, "key", F.when(F.col("key").isin(*CORE), F.struct(F.lit(0).alias("s"), place[F.col("key")].alias("p"))).when(
-        F.array_contains("__p", prefix("key")), F.struct(F.lit(1).alias("s"), F.col("position").cast("int").alias("p"))).when(
-        F.col("__m") & F.col("key").rlike(f"(?i){MEASURES}"), F.struct(F.lit(2).alias("s"), F.col("position").cast("int").alias("p"))).alias("place"), F.lit(1.0).alias("score")).where("place is not null")
+    none = F.array().cast("array<struct<prefix:string,t:int>>")
+    called = [(p, [(prefix, 10 * i + j) for j, prefix in enumerate(own)]) for i, (p, own) in enumerate(TRIGGERS)]
+    calls = F.flatten(F.array(*[F.when(holds(text, p), F.array(*[F.struct(F.lit(x).alias("prefix"), F.lit(t).alias("t")) for x, t in own])).otherwise(none) for p, own in called]))
+    marked = pages.select(page, calls.alias("__c"), holds(text, MEASURED).alias("__m"))
+    d = dictionary.select("key", F.col("position").cast("int").alias("position"))
+    core = F.create_map(*[F.lit(x) for i, key in enumerate(CORE) for x in (key, i)])
+    place = lambda s, p, q: F.struct(F.lit(s).alias("s"), p.alias("p"), q.alias("q"))
+    zero = F.lit(0)
+    by_core = marked.select(page, F.explode(F.array(*map(F.lit, CORE))).alias("key")).join(d, "key").select(page, "key", place(0, core[F.col("key")], zero).alias("place"))
+    by_call = marked.select(page, F.inline("__c")).join(d.select("key", "position", prefix("key").alias("prefix")), "prefix").select(page, "key", place(1, F.col("t"), F.col("position")).alias("place"))
+    measures = d.where(F.col("key").rlike(f"(?i){MEASURES}")).select("key", "position", F.lit(True).alias("__m"))
+    by_measure = marked.where("__m").join(measures, "__m").select(page, "key", place(2, F.col("position"), zero).alias("place"))
+    forced = by_core.unionByName(by_call).unionByName(by_measure).withColumn("score", F.lit(1.0))
     about = dictionary.select("position", F.concat_ws(" ", "key", "description").alias("__d"))
-    near = alike(pages.select(page, F.substring(text, 1, CLIP).alias("__q")), page, "__q", about, "position", "__d", k).join(d, "position")
-    found = rows.unionByName(near.select(page, "key", F.struct(F.lit(3).alias("s"), F.col("rank").cast("int").alias("p")).alias("place"), "score"))
+    near = alike(pages.select(page, F.substring(text, 1, CLIP).alias("__q")), page, "__q", about, "position", "__d", k).join(dictionary.select("key", "position"), "position")
+    found = forced.unionByName(near.select(page, "key", place(3, F.col("rank").cast("int"), zero).alias("place"), "score"))
     return found.groupBy(page, "key").agg(F.min(F.struct("place", "score")).alias("m")).select(page, "key", F.col("m.score").alias("score"), F.col("m.place").alias("place"))
 
 

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def long_form(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -45,12 +41,6 @@ def run_diff(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     return left.join(right, key, "full_outer").select(key, F.when(F.col("__r").isNull(), "only_a").when(F.col("__l").isNull(), "only_b").when(F.col("__a").eqNullSafe(F.col("__b")), "same").otherwise("different").alias("status"))
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity, 2 M / T."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
 def usage(df: DataFrame, keys: list[str], tokens: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("requests"), F.sum(tokens).alias("tokens"), F.max(tokens).alias("most"))
 

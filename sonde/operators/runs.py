@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import evaluate, routing
+from sonde.operators import evaluate, matching, routing
 from sonde.operators.routing import ordered
 
 # Fields and categories that the causes of mismatches name.
@@ -17,6 +17,7 @@ UNFILLED, BERLIN, WEEKS = "Database_ID", "BQ_", "PSQI_"
 LATENCY = ("PSQI_02_Latency_HH", "PSQI_02_Latency_MM")
 TABLE_GAPS = ("NREM_sup_min", "NREM_lat_min", "Arousal_PLM_no", "Arousal_LM_no")
 MINOR_TEXTS, ALIKE = ("Diagnosis_etc", "PSG_M_05_Complaint"), 0.93
+LOOSE = r"[\s#.,:;()/%\-\[\]<>`'\"]+"
 MISREAD = ("Neckcir_cm", "BMI")
 # Buckets of routes, and the order in which a field without a source takes one.
 BUCKETS = {
@@ -38,9 +39,11 @@ def bucket(route: str | Column, official: str | Column) -> Column:
 
 
 def loosely_equal(field: str, a: str, b: str) -> Column:
-    """Whether two texts differ in case, space and marks only, or, for the free texts, hardly."""
-    loose = lambda c: F.regexp_replace(F.lower(c), r"[\s\p{Punct}]", "")
-    return (loose(a) == loose(b)) | (F.col(field).isin(*MINOR_TEXTS) & (evaluate.similarity(a, b) >= ALIKE))
+    """Whether two texts differ in case, space and marks only, or, for the free texts, hardly; only texts that can be that similar are compared."""
+    loose = lambda c: F.regexp_replace(F.lower(S.collapse_spaces(c)), LOOSE, "")
+    free = F.col(field).isin(*MINOR_TEXTS) & (loose(a) != loose(b))
+    one, two = (F.when(free, S.collapse_spaces(c)) for c in (a, b))
+    return (loose(a) == loose(b)) | F.coalesce(matching.similarity(one, two, ALIKE) >= ALIKE, F.lit(False))
 
 
 def compared(run: DataFrame, truth: DataFrame, conflicts: DataFrame | None = None) -> DataFrame:
@@ -110,11 +113,30 @@ def bucketed(fields: DataFrame, found: DataFrame, memberships: DataFrame, pages:
     return rows.select("entity", "field", F.coalesce("bucket", guess).alias("bucket"))
 
 
+def texts_compared(a: DataFrame, b: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """Rows (*keys, status, similarity, chars_a, chars_b): identical, different, or missing_in_one_side; only texts that differ are compared, identical ones have similarity 1."""
+    left, right = a.select(*keys, F.col(text).alias("__a")), b.select(*keys, F.col(text).alias("__b"))
+    rows = left.where(F.col("__a").isNotNull()).join(right.where(F.col("__b").isNotNull()), keys, "full_outer")
+    status = F.when(F.col("__a").isNull() | F.col("__b").isNull(), "missing_in_one_side").when(F.col("__a") == F.col("__b"), "identical").otherwise("different")
+    rows = rows.withColumn("status", status)
+    differ = F.col("status") == "different"
+    alike = F.when(F.col("status") == "identical", 1.0).otherwise(matching.similarity(F.when(differ, F.col("__a")), F.when(differ, F.col("__b"))))
+    return rows.select(*keys, "status", alike.alias("similarity"), F.length("__a").alias("chars_a"), F.length("__b").alias("chars_b"))
+
+
+def texts_agreement(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Counts of `texts_compared` rows: texts on either side, compared, identical, changed (different or missing) and the mean similarity."""
+    return rows.groupBy(*(by or [])).agg(
+        F.count("chars_a").alias("files_a"), F.count("chars_b").alias("files_b"), F.count_if(F.col("status") != "missing_in_one_side").alias("compared"),
+        F.count_if(F.col("status") == "identical").alias("identical"), F.count_if(F.col("status") != "identical").alias("changed"), F.avg("similarity").alias("mean_similarity"),
+    )
+
+
 def page_evidence(run: DataFrame, other: DataFrame) -> DataFrame:
     """Rows (entity, page, run_chars, other_chars, similarity, run_route, other_route, run_keys, other_keys) of pages (entity, page, text, route, n_keys) of either run."""
     side = lambda df, p: df.select("entity", "page", F.col("text").alias(f"__{p}"), F.length("text").alias(f"{p}_chars"), F.col("route").alias(f"{p}_route"), F.col("n_keys").alias(f"{p}_keys"))
     rows = side(run, "run").join(side(other, "other"), ["entity", "page"], "full_outer")
-    alike = F.when((F.length("__run") > 0) & (F.length("__other") > 0), F.round(evaluate.similarity("__run", "__other"), 4))
+    alike = F.when((F.length("__run") > 0) & (F.length("__other") > 0), F.round(matching.similarity("__run", "__other"), 4))
     return rows.withColumn("similarity", alike).fillna(0, ["run_chars", "other_chars"]).drop("__run", "__other")
 
 

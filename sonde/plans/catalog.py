@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import candidates, checking, evaluate, intervals, resolve, runs, sequences, signals, text
+from sonde.operators import candidates, checking, evaluate, intervals, matching, resolve, runs, sequences, signals, text
 from sonde.session import shared_dir
 from sonde.streaming import usage
 
@@ -360,7 +360,7 @@ def q37_run_diff(spark: SparkSession, sf: str) -> DataFrame:
 def q38_similarity_ratio(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = table(spark, sf, "conversations").withColumn("before", F.lag("text").over(w))
-    return rows.where("before is not null").select("conv_id", "turn", F.round(evaluate.similarity("before", "text"), 6).alias("ratio"))
+    return rows.where("before is not null").select("conv_id", "turn", F.round(matching.similarity("before", "text"), 6).alias("ratio"))
 
 
 _GRAMS = "(select i, lower(unnest(string_split_regex(t, '\\s+'))) as w from {}), {} as (select i, substring(' ' || w || ' ', s::int, n::int) as g, count(*)::double as tf from (select i, w, n, unnest(range(1, length(w) + 4 - n)) as s from {}, (values (2), (3), (4), (5)) v(n) where w <> '' and length(w) + 2 >= n) group by 1, 2)"
@@ -486,3 +486,29 @@ def q55_conflict_review(spark: SparkSession, sf: str) -> DataFrame:
     seen = runs.conflict_review(rows, none)
     lines = rows.groupBy("entity", "value").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "image"))), lambda x: x["image"]), ",").alias("lines"))
     return seen.join(lines, ["entity", "value"]).select(F.col("entity").alias("l_orderkey"), "value", "n", "lines", "place")
+
+
+def retyped(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The turns of conversations by (conv_id, turn, role), and a second reading: some turns lack, some have other words."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
+    other = turns.where((F.col("conv_id") + F.col("turn")) % 11 != 0)
+    text = F.when(F.col("conv_id") % 3 == 0, F.replace("text", F.lit(" the "), F.lit(" a "))).when(F.col("conv_id") % 3 == 1, F.col("text")).otherwise(F.concat(F.lit("Re: "), F.substring("text", 5, 1 << 30)))
+    return turns, other.withColumn("text", text)
+
+
+@query()
+def q56_texts_compared(spark: SparkSession, sf: str) -> DataFrame:
+    """Equal to a brute force in tests/test_matching.py."""
+    one, two = retyped(spark, sf)
+    return runs.texts_compared(one, two, ["conv_id", "turn", "role"]).withColumn("similarity", F.round("similarity", 9))
+
+
+_RETYPED = """t as (select conv_id, turn, role, min(text) as text from conversations group by all),
+u as (select conv_id, turn, role, case conv_id % 3 when 0 then replace(text, ' the ', ' a ') when 1 then text else 'Re: ' || substr(text, 5) end as text from t where (conv_id + turn) % 11 <> 0)"""
+
+
+@query(f"""with {_RETYPED}, j as (select role, t.text as a, u.text as b from (select * from t where text is not null) t full join (select * from u where text is not null) u using (conv_id, turn, role))
+select role, count(a) as files_a, count(b) as files_b, count(*) filter (where a is not null and b is not null) as compared, count(*) filter (where a = b) as identical, count(*) filter (where a is distinct from b) as changed from j group by 1""")
+def q57_texts_agreement(spark: SparkSession, sf: str) -> DataFrame:
+    one, two = retyped(spark, sf)
+    return runs.texts_agreement(runs.texts_compared(one, two, ["conv_id", "turn", "role"]), ["role"]).drop("mean_similarity")

@@ -1,4 +1,3 @@
-import difflib
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,12 +65,6 @@ def test_pages_merge_with_markers(spark):
     assert [r["line"] for r in rows] == ["one", "two"]
 
 
-def test_similarity(spark):
-    got = spark.createDataFrame([("abcd", "bcde"), (None, "x")], "a string, b string").select(evaluate.similarity("a", "b").alias("r")).collect()
-    assert got[0]["r"] == difflib.SequenceMatcher(None, "abcd", "bcde").ratio()
-    assert got[1]["r"] is None
-
-
 def test_near_pairs_finds_all(spark):
     values = [0, 1, 3, 255, 1 << 40, -1, -2]
     df = spark.createDataFrame(list(enumerate(values)), "id long, bits long")
