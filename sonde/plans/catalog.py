@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
-from sonde.operators import candidates, checking, evaluate, intervals, matching, resolve, runs, sequences, signals, text
-from sonde.session import shared_dir
+from sonde.operators import candidates, checking, evaluate, firsts, intervals, matching, resolve, runs, sequences, signals, text
+from sonde.session import shared_dir, stored
 from sonde.streaming import usage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,15 +301,28 @@ def q32_exact_dup(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(first, "sha1").select("doc_id", "first_id", (F.col("doc_id") != F.col("first_id")).alias("duplicate"))
 
 
-@query("""with b as (select vec_id, list_transform(embedding, lambda x: (x > 0)::int) as b from embeddings),
-p as (select x.vec_id as a, y.vec_id as b, list_sum(list_transform(list_zip(x.b, y.b), lambda z: (z[1] <> z[2])::int))::int as distance from b x join b y on x.vec_id < y.vec_id)
-select * from p where distance <= 6""")
+PAIR_LETTERS = "etaonirshdlucm.,"
+_PAIRS = ", ".join(f"'{a}{b}'" for a in PAIR_LETTERS for b in PAIR_LETTERS)
+#: b: which pairs of letters are as frequent in a text as the mean pair or more.
+_PAIR_HASH = f"""c as (select doc_id, source, sha1(text) as sha1, list_transform([{_PAIRS}], lambda g: length(text) - length(replace(text, g, ''))) as c from documents where text is not null),
+h as (select doc_id, source, sha1, list_transform(c, lambda x: (x * 256 >= list_sum(c))::int) as b from c)"""
+_FAR = "list_sum(list_transform(list_zip({}, {}), lambda z: (z[1] <> z[2])::int))::int"
+
+
+def pair_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows (doc_id, source, sha1, hash): 256 bits of a text, as an average hash has of an image."""
+    pairs = F.array(*[F.lit(a + b) for a in PAIR_LETTERS for b in PAIR_LETTERS])
+    d = table(spark, sf, "documents").where("text is not null")
+    counted = d.select("doc_id", "source", F.sha1("text").alias("sha1"), F.transform(pairs, lambda g: F.length("text") - F.length(F.replace(F.col("text"), g, F.lit("")))).alias("c"))
+    total = F.aggregate("c", F.lit(0), lambda a, x: a + x)
+    counted = stored(counted.select("doc_id", "source", "sha1", "c", total.alias("total")), "pair-counts")
+    bits = F.array_join(F.transform("c", lambda x: F.when(x * 256 >= F.col("total"), "1").otherwise("0")), "")
+    return counted.select("doc_id", "source", "sha1", F.transform(F.sequence(F.lit(1), F.lit(193), F.lit(64)), lambda i: F.conv(F.substring(bits, i, F.lit(64)), 2, -10).cast("long")).alias("hash"))
+
+
+@query(f"""with {_PAIR_HASH}, p as (select x.doc_id as a, y.doc_id as b, {_FAR.format('x.b[1:64]', 'y.b[1:64]')} as distance from h x join h y on x.doc_id < y.doc_id) select * from p where distance <= 1""")
 def q33_near_dup(spark: SparkSession, sf: str) -> DataFrame:
-    sign = lambda a, i: F.shiftleft(F.when(F.get(a, F.lit(i)) > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")), i)
-    word = sign("embedding", 0)
-    for i in range(1, 64):
-        word = word.bitwiseOR(sign("embedding", i))
-    return evaluate.near_pairs(table(spark, sf, "embeddings").select("vec_id", word.alias("bits")), "vec_id", "bits", 6)
+    return evaluate.near_pairs(pair_hashes(spark, sf).select("doc_id", F.col("hash")[0].alias("bits")), "doc_id", "bits", 1)
 
 
 COPY = "c as (select o_orderkey, case when o_orderkey % 7 = 0 then null else o_orderstatus end as o_orderstatus, case when o_orderkey % 11 = 0 then 'X' else o_orderpriority end as o_orderpriority, case when o_orderkey % 13 = 0 then null else o_custkey end as o_custkey from orders)"
@@ -512,3 +525,12 @@ select role, count(a) as files_a, count(b) as files_b, count(*) filter (where a
 def q57_texts_agreement(spark: SparkSession, sf: str) -> DataFrame:
     one, two = retyped(spark, sf)
     return runs.texts_agreement(runs.texts_compared(one, two, ["conv_id", "turn", "role"]), ["role"]).drop("mean_similarity")
+
+
+@query(f"""with recursive {_PAIR_HASH}, n as (select source, doc_id, sha1, b, row_number() over (partition by source order by doc_id) as i from h),
+r as (select source, i, doc_id, sha1, null::bigint as matched_with, null::varchar as reason, [{{'id': doc_id, 's': sha1, 'b': b}}] as kept from n where i = 1 union all
+ select source, i, doc_id, sha1, m.id, case when m is null then null when m.s = sha1 then 'exact_duplicate' else 'near_duplicate' end, case when m is null then list_append(kept, {{'id': doc_id, 's': sha1, 'b': b}}) else kept end
+ from (select n.*, r.kept, list_filter(r.kept, lambda k: {_FAR.format('k.b', 'n.b')} <= 6)[1] as m from r join n on n.source = r.source and n.i = r.i + 1))
+select source, doc_id, reason is null as kept, reason, matched_with from r""")
+def q58_ordered_keep(spark: SparkSession, sf: str) -> DataFrame:
+    return firsts.kept_in_order(pair_hashes(spark, sf), "source", "doc_id", "hash", 4, 6, "sha1")
