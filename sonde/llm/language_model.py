@@ -243,12 +243,17 @@ class Model:
         slopes[at] = s
         a[at] -= RATE * g / np.sqrt(s)
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What each context gives each symbol (bias in the first), and the log normaliser of every pair of contexts."""
-        one, two = (self.r @ self.c1 @ self.q.T + self.b).astype(np.float64), (self.r @ self.c2 @ self.q.T).astype(np.float64)
-        m1, m2 = one.max(axis=1, keepdims=True), two.max(axis=1, keepdims=True)
-        product = np.exp(one - m1) @ np.exp(two - m2).T
-        return one.astype(np.float32), two.astype(np.float32), (np.log(np.maximum(product, 1e-300)) + m1 + m2.T).astype(np.float32)
+    def tables(self, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each context gives each symbol (bias in the first), and the log normaliser of every pair of contexts, made some rows at a time."""
+        one, two = self.r @ self.c1 @ self.q.T + self.b, self.r @ self.c2 @ self.q.T
+        norm = np.empty_like(one)
+        m2 = two.max(axis=1, keepdims=True)
+        by_two = np.exp(two - m2).T
+        for low in range(0, len(one), rows):
+            part = one[low : low + rows]
+            m1 = part.max(axis=1, keepdims=True)
+            norm[low : low + rows] = np.log(np.maximum(np.exp(part - m1) @ by_two, 1e-30)) + m1 + m2.T
+        return one, two, norm
 
 
 def contexts(symbols: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

@@ -67,8 +67,8 @@ class Shard:
         self.sizes.append(int(self.found[-1][1].sum(dtype=np.int64)))
         self.postings += len(own)
 
-    def full(self) -> bool:
-        return self.postings >= SHARD_POSTINGS or len(self.ids) >= SHARD_DOCS
+    def full(self, most: int) -> bool:
+        return self.postings >= most or len(self.ids) >= SHARD_DOCS
 
     def rows(self, shard: int) -> pa.RecordBatch:
         """One row a term, and one without a term that holds the documents' ids and sizes."""
@@ -85,8 +85,8 @@ class Shard:
         ], names=["shard", "term", "docs", "times", "ids", "sizes"])
 
 
-def build(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """The index of `docs`, stored: rows (shard, term, docs, times, ids, sizes).
+def build(docs: DataFrame, ident: str = "doc_id", text: str = "text", postings: int = SHARD_POSTINGS) -> DataFrame:
+    """The index of `docs`, stored: rows (shard, term, docs, times, ids, sizes), in shards of about `postings`.
 
     A shard is named by its task and number within it, and a task's rows are written once, so a retried task replaces its shards.
     """
@@ -98,7 +98,7 @@ def build(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
         for batch in batches:
             for one, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 shard.add(one, data.as_py())
-                if shard.full():
+                if shard.full(postings):
                     yield shard.rows(base)
                     base, shard = base + 1, Shard()
         if shard.ids:

@@ -30,11 +30,12 @@ def words(text: Column) -> Column:
 
 def features(own: Column, grams: int = GRAMS) -> Column:
     """All runs of 1 to `grams` consecutive words, joined by one space, as often as they occur."""
-    def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(own) - n + 1))
-        return F.when(F.size(own) >= n, F.transform(starts, lambda i: F.array_join(F.slice(own, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
-
-    return own if grams == 1 else F.concat(own, *[runs(n) for n in range(2, grams + 1)])
+    runs, last = [own], own
+    for n in range(2, grams + 1):
+        left = F.greatest(F.lit(0), F.size(own) - (n - 1))
+        last = F.zip_with(F.slice(last, F.lit(1), left), F.slice(own, F.lit(n), left), lambda x, y: F.concat(x, F.lit(" "), y))
+        runs.append(last)
+    return F.concat(*runs)
 
 
 def bucket(feature: Column, buckets: int = BUCKETS) -> Column:

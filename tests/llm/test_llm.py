@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sonde.llm import exact_dedup, line_dedup, mixing, packing, quality, queries, secrets, simhash, suffix, token_counts, topk
+from sonde.llm import exact_dedup, language_model, lexical, line_dedup, mixing, packing, quality, queries, resampling, secrets, simhash, suffix, token_counts, topk
 from sonde.llm.common import components
 
 SF = "/root/testdata/sf0.001"
@@ -541,3 +542,183 @@ def test_leaves_without_the_rest():
     for p in (root / "sonde").rglob("*.py"):
         if "llm" not in p.parts:
             assert "sonde.llm" not in p.read_text()
+
+
+def brute_resample(docs, target, share=10, grams=1, buckets=10_000, seed=2024, least=20):
+    """Rows of `resample`, in plain Python."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(lower))
+
+    def of(t):
+        w = words(t)
+        return [zlib.crc32(" ".join(w[i : i + n]).encode()) % buckets for n in range(1, grams + 1) for i in range(len(w) - n + 1)]
+
+    s, t = (collections.Counter(b for x in texts for b in of(x)) for texts in ([x for _, x in docs], target))
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1.0) * (big_s + buckets) / ((s[b] + 1.0) * (big_t + buckets)))) for b in range(buckets)}
+    rows = []
+    for i, x in docs:
+        own = of(x)
+        weight = sum(gain[b] for b in own) // len(own) if own else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        rows.append([i, len(own), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, len(words(x))])
+    able = sorted((r for r in rows if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[5], r[1]))
+    for k, r in enumerate(able[: len(able) * share // 100]):
+        r[4] = k + 1
+    return [tuple(r[:5]) for r in rows]
+
+
+@pytest.mark.parametrize(("grams", "buckets", "share"), [(1, 10_000, 10), (3, 97, 60)])
+def test_resample(spark, odd, docs, grams, buckets, share):
+    target = spark.read.parquet(f"{SF}/benchmark.parquet")
+    wanted = [r["text"] for r in target.collect()]
+    for d, with_target in ((docs, target), (odd, target.select("text").union(spark.createDataFrame([(None,), ("",)], "text string")))):
+        got = resampling.resample(d, with_target, share, grams, buckets, least=4)
+        assert bag(got.collect()) == bag(brute_resample([(r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()], wanted, share, grams, buckets, least=4))
+        assert [t for _, t in got.dtypes] == ["bigint"] * 5
+
+
+def test_resample_of_empty_tables(spark, none, odd):
+    empty = spark.createDataFrame([], "text string")
+    assert resampling.resample(none, empty).count() == 0
+    rows = resampling.resample(odd, empty, least=2)
+    assert bag(rows.collect()) == bag(brute_resample([(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()], [], least=2))
+    with pytest.raises(ValueError, match="buckets"):
+        resampling.resample(odd, empty, buckets=0)
+
+
+def test_ranks_are_places_over_all_ranges(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 1000).alias("x"), "id").repartition(7)
+    got = resampling.ranked(rows, [F.desc("x"), F.asc("id")]).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 5001))
+    assert [(-r["x"], r["id"]) for r in got] == sorted((-r["x"], r["id"]) for r in got)
+
+
+def brute_search(docs, items, k=20):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+    def of(t):
+        return collections.Counter(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(lower)))
+
+    rows = [(i, of(t)) for i, t in docs if of(t)]
+    n, total, df = len(rows), sum(sum(c.values()) for _, c in rows), collections.Counter(t for _, c in rows for t in c)
+    asked = {}
+    for i, t in items:
+        asked.setdefault(i, collections.Counter()).update(of(t))
+    out = []
+    for item, wanted in asked.items():
+        scores = []
+        for i, c in rows:
+            m = 75 + 25 * sum(c.values()) * n // total
+            s = sum(r * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 12 * m)) for t, r in wanted.items() if c[t])
+            if s > 0:
+                scores.append((-s, i is None, i or 0, i))
+        out += [(item, rank + 1, i, -s) for rank, (s, _, _, i) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def test_lexical_search(spark, odd, docs, monkeypatch):
+    """Over many shards and blocks of items; ties, repeated rows and items, null ids and texts."""
+    monkeypatch.setattr(lexical, "BLOCK_TERMS", 150)
+    items = [(1, "the same TEXT here, here"), (2, None), (3, ""), (4, "two spaces çödé 漢字"), (1, "four"), (None, "lorem ipsum"), (5, "nothing-known")]
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("score", F.lit("x"))
+    got = lexical.search(lexical.build(odd, postings=10), asked, "item_id")
+    assert bag(got.collect()) == bag(brute_search([(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()], items))
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    index = lexical.build(docs, postings=3000)
+    assert index.where("term is null").count() > 5
+    assert bag(lexical.search(index, benchmark, "item_id", k=7).collect()) == bag(brute_search(texts(docs), [(r["item_id"], r["text"]) for r in benchmark.collect()], 7))
+
+
+def test_lexical_search_of_empty_tables(spark, none, odd):
+    items = spark.createDataFrame([(1, "here")], "item_id long, text string")
+    assert lexical.search(lexical.build(none), items, "item_id").count() == 0
+    assert lexical.search(lexical.build(odd), items.limit(0), "item_id").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_maxscore_equals_full_scores_and_reads_less(seed, monkeypatch):
+    monkeypatch.setattr(lexical, "FIRST_WINDOW", 32)
+    rng = np.random.default_rng(seed)
+    n, full, lists = 4000, np.zeros(4000, np.int64), []
+    for size in (5, 40, 300, 2500, 3900, 4000):
+        at = np.sort(rng.choice(n, size, replace=False)).astype(np.int32)
+        gains = rng.integers(1, 1 + 40_000 // size, size)
+        lists.append((lexical.Postings(at, gains, int(gains.max())), int(rng.integers(1, 3))))
+        full[at] += gains * lists[-1][1]
+    ids = rng.permutation(n)
+    found, scores, read = lexical.best(lists, ids, 10)
+    want = np.lexsort((ids, -full))[:10]
+    assert list(found) == list(want)
+    assert list(scores) == list(full[want])
+    assert read < sum(len(p.docs) for p, _ in lists) / 2
+
+
+def test_lengths_beyond_64_bits():
+    sizes = np.array([3, 10**12])
+    assert list(lexical.lengths(sizes, 10**9, 10**13)) == [75 + 25 * int(x) * 10**9 // 10**13 for x in sizes]
+
+
+def brute_base(rows):
+    own = [(i, (t or "").encode().translate(language_model.LOWER).split() + [b""]) for i, t in rows]
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in own]
+    c = collections.Counter(w for (_, ws), h in zip(own, held, strict=True) if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(i, h, len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws), 6)) for (i, ws), h in zip(own, held, strict=True)]
+
+
+@pytest.mark.parametrize("hot", [language_model.HOT, 200])
+def test_language_model_counts(spark, odd, docs, hot, monkeypatch):
+    """Whether tasks hold the counts of most words or meet them by the join."""
+    monkeypatch.setattr(language_model, "HOT", hot)
+    for d in (odd, docs):
+        rows = [(r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()]
+        got = language_model.scores(d).collect()
+        assert bag((*tuple(r)[:5], round(r["base_score"], 6)) for r in got) == bag(brute_base(rows))
+        assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    monkeypatch.setattr(language_model, "PIECE", 7)
+    for text in (b"", b"  ", b"a bb ccc dddd eeeee ffffff\tggggggg\x0bhhhhhhhhhhhhhhhh i", b"x" * 50, b" Ab" * 9):
+        assert [w for part in language_model.pieces(text) for w in part] == text.lower().split()
+    assert list(language_model.pieces(None)) == [[]]
+
+
+def test_language_model_of_an_empty_table(none):
+    assert language_model.scores(none).count() == 0
+
+
+def test_language_model_probabilities_sum_to_one():
+    rng = np.random.default_rng(4)
+    p = rng.random(50) + 0.01
+    model = language_model.Model.fresh(p / p.sum(), seed=3)
+    model.learn(*(rng.integers(0, 50, 4000).astype(np.uint16) for _ in range(3)), rng)
+    one, two, norm = model.tables(rows=7)
+    for x1, x2 in rng.integers(0, 50, (20, 2)):
+        assert abs(np.exp(one[x1] + two[x2].astype(float) - norm[x1, x2]).sum() - 1) < 1e-4
+    assert np.allclose(model.unpacked(model.packed()).packed(), model.packed())
+
+
+def test_language_model_learns_what_follows_what():
+    """A language in which each symbol is followed by one of two: noise-contrastive estimation finds them, and the normalised chance nears a half."""
+    rng = np.random.default_rng(5)
+    follow = rng.integers(0, 40, (40, 2))
+    text = [0]
+    for _ in range(60_000):
+        text.append(int(follow[text[-1], rng.integers(2)]))
+    y = np.array(text, np.uint16)
+    x1, x2 = language_model.contexts(y, 0)
+    model = language_model.Model.fresh(np.bincount(y, minlength=40) / len(y) * 0.99 + 0.01 / 40)
+    model.learn(x1, x2, y, rng)
+    one, two, norm = model.tables()
+    assert (one[x1, y] + two[x2, y] - norm[x1, x2])[-5000:].mean() > np.log(0.5) - 0.35
+
+
+def test_language_model_beats_counts_on_held_out_texts(spark):
+    rows = language_model.scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
+    n = sum(r["n_tokens"] for r in rows)
+    assert sum(r["score"] for r in rows) / n > sum(r["base_score"] for r in rows) / n + 0.15
+    assert sum(r["score"] > r["base_score"] for r in rows) > 0.95 * len(rows)
