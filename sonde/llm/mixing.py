@@ -1,11 +1,11 @@
 """Mixing sources to target weights by a low-discrepancy schedule, in DataFrame functions only.
 
 Slots 0, 1, 2, ... are golden-ratio points in [0, 1); a slot goes to the source in whose part of the
-cumulative weights it falls. Slots are ranked within their source, and the slot of rank r takes block r of
-the source: its documents in shuffled order, laid end to end and repeated, cut into blocks of equally many
-words. A source whose target is under FEW blocks takes the first words of that stream up to its target instead,
-for whole slots would miss it. Ranks and running sums are built in two levels (bucket sums first, then within a bucket), so no window
-ever holds a whole source.
+cumulative weights it falls; a source that no point falls to has the slot nearest to its part. Slots are ranked
+within their source, and the slot of rank r takes block r of the source: its documents in shuffled order, laid end
+to end and repeated, of which the target's words are cut into as many equal blocks as the source has slots. So each
+source's blocks hold about the same number of words, and its slots together hold its target. Ranks and running sums
+are built in two levels (bucket sums first, then within a bucket), so no window ever holds a whole source.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ GOLDEN = 0.6180339887498949
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SLOTS, BLOCK_WORDS = 32768, 4096
-FEW = 256
 CELLS = 1024
 SLOT_RUN = 65536
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -56,14 +55,17 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
 
 
 def schedule(shares: DataFrame, slots: int) -> DataFrame:
-    """Rows (slot, source, rank): which source each slot takes from, ranks from 0 within a source."""
+    """Rows (slot, source, rank): which source each slot takes from, ranks from 0 within a source. Every source with a target has one at least."""
     spark = shares.sparkSession
     points = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * GOLDEN) % 1.0).alias("u")).withColumn("cell", F.floor(F.col("u") * CELLS))
     # the last source also takes what rounding leaves above its end; cells make the range join an equi-join
     parts = shares.where("target > 0").withColumn("last", F.row_number().over(Window.orderBy(F.col("hi").desc(), F.col("lo").desc())) == 1)
     parts = parts.withColumn("hi", F.when(F.col("last"), F.lit(1.0)).otherwise(F.col("hi")))
     cells = parts.select("source", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.floor(F.col("hi") * CELLS), F.lit(CELLS - 1).cast("long")))).alias("cell"))
-    placed = points.join(cells, "cell").where("u >= lo and u < hi").select("slot", "source", F.floor(F.col("slot") / SLOT_RUN).alias("run"))
+    placed = points.join(cells, "cell").where("u >= lo and u < hi").select("slot", "source")
+    met = placed.groupBy("source").agg(F.lit(1).alias("met")).select(F.col("source").alias("__s"), "met")
+    alone = parts.join(met, F.col("source").eqNullSafe(F.col("__s")), "left").where("met is null").select(F.floor(F.col("lo") * slots).alias("slot"), "source")
+    placed = placed.unionByName(alone).withColumn("run", F.floor(F.col("slot") / SLOT_RUN))
     sums = placed.groupBy("source", "run").agg(F.count("*").alias("n"))
     first = sums.select(F.col("source").alias("__s"), F.col("run").alias("__r"), F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first"))
     ranked = placed.withColumn("__in", F.row_number().over(Window.partitionBy("source", "run").orderBy("slot")) - 1)
@@ -88,11 +90,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, key
     shares = stored(targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), weights, cap), "mix-targets")
     total = int(shares.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
     block = max(1, min(BLOCK_WORDS, total // SLOTS))
-    slots = schedule(shares, -(-total // block))
+    slots = stored(schedule(shares, -(-total // block)), "mix-slots")
+    counts = slots.groupBy("source").agg(F.count("*").alias("__slots")).select(F.col("source").alias("__c"), "__slots")
 
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("__s"), F.col("bucket").alias("__b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    of = shares.select(F.col("source").alias("__o"), "source_size", "target")
+    of = shares.join(counts, F.col("source").eqNullSafe(F.col("__c")), "left").select(F.col("source").alias("__o"), "source_size", "target", F.round("target").cast("long").alias("__words"), F.coalesce("__slots", F.lit(1)).alias("__slots"))
     starts = starts.join(of, F.col("__s").eqNullSafe(F.col("__o"))).drop("__o")
     inside = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size")
     placed = (
@@ -101,25 +104,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, key
         .join(starts, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b"))).drop("__s", "__b")
         .withColumn("start", F.col("start") + F.col("base"))
     )
-    # a document's places in the repeated stream, cut at block ends; passes that its target can't reach are left out
-    reach = F.least(F.lit(cap - 1), F.floor((F.col("target") + 16 * block) / F.greatest(F.col("source_size"), F.lit(1))))
+    # a document's places in the repeated stream, as far as the target's words go, cut at block ends; block r begins at round(r * step)
+    step = F.greatest(F.col("__words") / F.col("__slots"), F.lit(1e-9))
+    reach = F.least(F.lit(cap - 1), F.floor(F.greatest(F.col("__words") - 1, F.lit(0)) / F.greatest(F.col("source_size"), F.lit(1))))
     carried = ["doc_id", "source", "size", "source_size", "target", "bucket", "n", *[f"__k{i}" for i in range(len(key))]]
-    passes = placed.where("size > 0").select(*carried, "start", F.explode(F.sequence(F.lit(0).cast("long"), reach.cast("long"))).alias("pass")).withColumn("from", F.col("pass") * F.col("source_size") + F.col("start")).withColumn("to", F.col("from") + F.col("size"))
-    few = F.col("target") < FEW * block  # block -1 stands for all that the target reaches
-    cut = F.when(few, F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)))
-    pieces = passes.select(*carried, "from", "to", F.explode(cut).alias("block"))
-    whole = F.greatest(F.lit(0).cast("long"), F.least("to", F.round("target").cast("long")) - F.col("from"))
-    pieces = pieces.withColumn("words", F.when(F.col("block") < 0, whole).otherwise(F.least("to", (F.col("block") + 1) * block) - F.greatest("from", F.col("block") * block)))
+    passes = placed.where("size > 0").withColumn("__step", step).select(*carried, "start", "__words", "__step", F.explode(F.sequence(F.lit(0).cast("long"), reach.cast("long"))).alias("pass"))
+    passes = passes.withColumn("from", F.col("pass") * F.col("source_size") + F.col("start")).withColumn("to", F.least(F.col("from") + F.col("size"), F.greatest("from", "__words")))
+    near = lambda w: F.floor(w / F.col("__step"))
+    blocks = F.when(F.col("from") < F.col("to"), F.sequence(F.greatest(near(F.col("from")) - 1, F.lit(0).cast("long")), near(F.col("to")) + 1)).otherwise(F.array(F.lit(-1).cast("long")))
+    pieces = passes.select(*carried, "from", "to", "__step", F.explode(blocks).alias("block"))
+    edge = lambda r: F.round(r * F.col("__step")).cast("long")
+    pieces = pieces.withColumn("words", F.least("to", edge(F.col("block") + 1)) - F.greatest("from", edge(F.col("block")))).where("words > 0 or block < 0")
     hit = slots.select(F.col("source").alias("__s"), F.col("rank").alias("__r"), F.lit(1).alias("hit"))
-    got = pieces.join(hit, F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__r")), "left").groupBy(*carried).agg(F.sum(F.when((F.col("hit") == 1) | (F.col("block") < 0), F.col("words")).otherwise(0)).alias("taken"))
+    got = pieces.join(hit, F.col("source").eqNullSafe(F.col("__s")) & (F.col("block") == F.col("__r")), "left").groupBy(*carried).agg(F.sum(F.when(F.col("hit") == 1, F.col("words")).otherwise(0)).alias("taken"))
     nothing = placed.where("size = 0").select(*carried, F.lit(0).cast("long").alias("taken"))
     return got.union(nothing).drop("bucket", "n")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself, with the columns of `docs`: each document as often as it was taken, a part cut to its first words.
+    """The mix itself, with the columns of `docs`: each document as often as it was taken.
 
-    Rows alike in id, source and text share what they were given. Documents without a word go.
+    A source's blocks lie one after another in its stream, so only the document at the target's end is taken in part: up to the word where the
+    last block ends, with all that stands before and between its words. Rows alike in id, source and text share what they were given.
+    Documents without a word go.
     """
     names, key = docs.columns, text_key("text")
     got = mix(docs, weights, cap, (key,)).groupBy("doc_id", "source", "__k0").agg(F.sum("taken").alias("__all"), F.count("*").alias("__n"), F.max("size").alias("__size")).where("`__all` > 0")
@@ -130,7 +137,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     rows = rows.withColumn("__taken", F.floor(F.col("__all") / F.col("__n")) + (F.col("__k") < F.col("__all") % F.col("__n")).cast("int"))
     rows = rows.where("`__taken` > 0").withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__taken") - 1) / F.col("__size")))))
     part = F.least(F.col("__taken") - F.col("__copy") * F.col("__size"), F.col("__size")).cast("int")
-    text = F.when(part >= F.col("__size"), F.col("text")).otherwise(F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), part), " "))
+    spaced = F.regexp_extract_all("text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1))
+    text = F.when(part >= F.col("__size"), F.col("text")).otherwise(F.array_join(F.slice(spaced, F.lit(1), part), ""))
     return rows.select(*[text.alias(c) if c == "text" else (F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")) for c in names])
 
 
@@ -142,15 +150,8 @@ s2 as (select *, 3 * source_size / w as ratio from s1),
 s3 as (select *, ((sum(source_size) over () - coalesce(sum(3 * source_size) over (order by ratio, source nulls last rows between unbounded preceding and 1 preceding), 0))::double
   / (sum(w) over () - coalesce(sum(w) over (order by ratio, source nulls last rows between unbounded preceding and 1 preceding), 0))) as level from s2),
 s4 as (select *, least((3 * source_size)::double, w * max(level) over ()) as target from s3),
-s5 as (select *, coalesce(sum(target) over (order by source nulls last rows between unbounded preceding and 1 preceding), 0) as lo0, sum(target) over (order by source nulls last rows between unbounded preceding and unbounded following) as total from s4),
-s as (select source, source_size, target, case when total > 0 then lo0 / total end as lo,
-  case when row_number() over (order by (lo0 + target) desc, lo0 desc) = 1 then 1.0 when total > 0 then (lo0 + target) / total end as hi from s5),
-b as (select sum(source_size)::bigint as total, greatest(1, least(4096, sum(source_size)::bigint // 32768)) as block from s0),
-p as (select i, (i * 0.6180339887498949::double) % 1.0 as u from (select unnest(range(0, ((total + block - 1) // block)::bigint)) as i from b)),
-k as (select source, count(*) as slots from p join s on u >= lo and u < hi and target > 0 group by 1),
-d as (select r.*, s.source_size, s.target, case when s.target < 256 * block then round(s.target)::bigint else coalesce(k.slots, 0) * block end as words,
-  sum(size) over (partition by r.source order by h, doc_id, size rows between unbounded preceding and current row) - size as start
-  from r join s on r.source is not distinct from s.source left join k on r.source is not distinct from k.source cross join b)
+d as (select r.*, s4.source_size, s4.target, round(s4.target)::bigint as words, sum(size) over (partition by r.source order by h, doc_id, size rows between unbounded preceding and current row) - size as start
+  from r join s4 on r.source is not distinct from s4.source)
 select doc_id, source, size, source_size, target,
   (greatest(0, least(size, words - start)) + greatest(0, least(size, words - start - source_size)) + greatest(0, least(size, words - start - 2 * source_size)))::bigint as taken
 from d
