@@ -1,4 +1,4 @@
-"""Page images: decoding, average hashes, exact and near duplicates, white margins and thresholds. PNG and portable maps, in numpy.
+"""Page images: decoding, average hashes, exact and near duplicates. PNG and portable maps, in numpy.
 
 Images in other formats come through a decoder given by the caller (bytes to an array of rows of gray or RGB values).
 """
@@ -18,7 +18,6 @@ from sonde.operators import firsts
 
 Decoder = Callable[[bytes], np.ndarray]
 SIDE, NEAR = 16, 6
-WHITE, SHARE, MARGIN = 245, 0.001, 8
 #: Images in an Arrow batch: pages are some megabytes each.
 IMAGES = 16
 
@@ -121,33 +120,6 @@ def average_hash(g: np.ndarray, side: int = SIDE) -> np.ndarray:
     return np.packbits((small * small.size >= small.sum()).ravel(), bitorder="little").view(np.int64)
 
 
-def trimmed(image: np.ndarray, white: int = WHITE, share: float = SHARE, margin: int = MARGIN) -> np.ndarray:
-    """The image without its white margins: rows and columns with enough darker pixels, and a margin; all of it if there is none."""
-    dark = gray(image) < white
-    height, width = dark.shape
-    rows = np.flatnonzero(dark.sum(axis=1) >= max(5, round(width * share)))
-    cols = np.flatnonzero(dark.sum(axis=0) >= max(5, round(height * share)))
-    if not len(rows) or not len(cols):
-        return image
-    return image[max(0, rows[0] - margin) : rows[-1] + margin + 1, max(0, cols[0] - margin) : cols[-1] + margin + 1]
-
-
-def binary(g: np.ndarray, method: str = "adaptive", block: int = 31, offset: float = 15) -> np.ndarray:
-    """Black and white by the local mean less an offset, or by the split of the histogram that parts its classes most (otsu)."""
-    if method == "otsu":
-        n = np.bincount(np.clip(g.round(), 0, 255).astype(int).ravel(), minlength=256).astype(float)
-        below, sums = np.cumsum(n), np.cumsum(n * np.arange(256))
-        above = below[-1] - below
-        with np.errstate(divide="ignore", invalid="ignore"):
-            apart = below * above * (sums / below - (sums[-1] - sums) / above) ** 2
-        return np.where(g > int(np.nan_to_num(apart).argmax()), 255, 0).astype(np.uint8)
-    half = block // 2
-    wide = np.pad(g, half, mode="edge")
-    total = np.pad(wide.cumsum(0).cumsum(1), ((1, 0), (1, 0)))
-    mean = (total[block:, block:] - total[:-block, block:] - total[block:, :-block] + total[:-block, :-block]) / (block * block)
-    return np.where(g > mean - offset, 255, 0).astype(np.uint8)
-
-
 def hashed(images: DataFrame, decoder: Decoder = decode, side: int = SIDE) -> DataFrame:
     """Rows (entity, name, sha1, hash array<long>) of rows (entity, name, content); hash is null where the image can't be read."""
     spark = images.sparkSession

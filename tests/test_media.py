@@ -1,3 +1,4 @@
+import math
 import struct
 import zlib
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sonde.operators import images, models
+from sonde.operators import images, models, pages
 from sonde.sources import edf
 
 
@@ -38,16 +39,95 @@ def test_png(way):
         images.decode(b"xx")
 
 
-def test_margins_and_thresholds():
+def test_margins():
     page = np.full((60, 80), 255, np.uint8)
     page[20:40, 30:50] = 10
-    assert images.trimmed(page).shape == (20 + 16, 20 + 16)
-    assert images.trimmed(np.full((9, 9), 255, np.uint8)).shape == (9, 9)
-    for method in ("adaptive", "otsu"):
-        out = images.binary(page.astype(float), method)
-        assert out[0, 0] == 255
-        assert out[21, 31] == 0
-    assert images.binary(page.astype(float), "otsu")[30, 40] == 0
+    assert pages.box(page) == (22, 12, 36, 36)
+    assert pages.box(np.full((9, 9), 255, np.uint8)) == (0, 0, 9, 9)
+    assert pages.box(np.zeros((9, 9), np.uint8)) == (0, 0, 9, 9)
+    page[0, :4] = 0  # too few to count
+    assert pages.box(page) == (22, 12, 36, 36)
+
+
+def brute_evened(g, tiles, limit):
+    """One pixel after another."""
+    height, width = g.shape
+    th, tw = -(-height // tiles), -(-width // tiles)
+    mirror = lambda i, n: i if i < n else 2 * n - 2 - i
+    tables = {}
+    for i in range(tiles):
+        for j in range(tiles):
+            n = [0] * 256
+            for y in range(i * th, (i + 1) * th):
+                for x in range(j * tw, (j + 1) * tw):
+                    n[g[mirror(y, height), mirror(x, width)]] += 1
+            most = max(1, int(limit * th * tw / 256))
+            over = sum(max(0, c - most) for c in n)
+            n = [min(c, most) + over // 256 for c in n]
+            rest = over % 256
+            for k in range(rest):
+                n[k * max(256 // rest, 1)] += 1
+            sums, s = [], 0
+            for c in n:
+                s += c
+                sums.append(min(255, round(float(np.float32(s * np.float32(255 / (th * tw)))))))
+            tables[i, j] = sums
+    out = np.zeros_like(g)
+    near = lambda i: min(max(i, 0), tiles - 1)
+    for y in range(height):
+        for x in range(width):
+            fy, fx = y / th - 0.5, x / tw - 0.5
+            i, j = math.floor(fy), math.floor(fx)
+            a, b = fy - i, fx - j
+            at = lambda p, q: tables[near(p), near(q)][g[y, x]]  # noqa: B023, E731
+            top, low = at(i, j) * (1 - b) + at(i, j + 1) * b, at(i + 1, j) * (1 - b) + at(i + 1, j + 1) * b
+            out[y, x] = min(255, max(0, round(top * (1 - a) + low * a)))
+    return out
+
+
+@pytest.mark.parametrize("shape", [(32, 24), (37, 29)])
+def test_contrast_equals_brute_force(shape):
+    g = np.random.default_rng(1).integers(60, 130, shape).astype(np.uint8)
+    for tiles, limit in ((4, 2.0), (8, 3.5)):
+        got, want = pages.evened(g, tiles, limit).astype(int), brute_evened(g, tiles, limit).astype(int)
+        assert np.abs(got - want).max() <= 1
+        assert (got != want).mean() < 0.01  # halves
+
+
+def test_thresholds_equal_brute_force():
+    g = np.random.default_rng(2).integers(0, 256, (40, 33)).astype(np.uint8)
+    sigma, half = 0.3 * (9 - 1) * 0.5 - 0.3 + 0.8, 4
+    bell = [math.exp(-(i * i) / (2 * sigma * sigma)) for i in range(-half, half + 1)]
+    got = pages.local_threshold(g, 9, 15)
+    clip = lambda i, n: min(max(i, 0), n - 1)
+    for y, x in np.random.default_rng(3).integers(0, 33, (200, 2)):
+        mean = round(sum(bell[i] * bell[j] * int(g[clip(y + i - half, 40), clip(x + j - half, 33)]) for i in range(9) for j in range(9)) / sum(bell) ** 2)
+        assert got[y, x] == (255 if g[y, x] > mean - 15 else 0)
+    two = np.where(np.arange(400).reshape(20, 20) % 3 == 0, 40, 200).astype(np.uint8)
+    assert (pages.split_threshold(two) == np.where(two == 40, 0, 255)).all()
+    flat = np.full((6, 6), 90, np.uint8)
+    assert (pages.smoothed(flat) == 90).all()
+    assert (pages.sharpened(flat) == 90).all()
+    assert (pages.stretched(np.array([[10, 20], [30, 60]], np.uint8)) == [[0, 51], [102, 255]]).all()
+    assert pages.stretched(flat).max() == 0
+
+
+def test_pages_as_rows(spark):
+    page = np.full((120, 90), 250, np.uint8)
+    page[40:80:4, 30:60] = 20
+    rows = [("p", "1.png", png(page)), ("p", "2.png", b"bad"), ("q", "1.pgm", pages.portable(page)), ("q", "2.png", png(np.full((30, 20), 255)))]
+    df = spark.createDataFrame([(e, n, bytearray(c)) for e, n, c in rows], "entity string, name string, content binary").withColumn("score", F.lit(1))
+    got = {(r["entity"], r["name"]): r for r in pages.cropped(df).collect()}
+    assert {k: (r["x"], r["y"], r["width"], r["height"]) for k, r in got.items()} == {("p", "1.png"): (22, 32, 46, 53), ("p", "2.png"): (None,) * 4, ("q", "1.pgm"): (22, 32, 46, 53), ("q", "2.png"): (0, 0, 20, 30)}
+    assert (images.decode(bytes(got["p", "1.png"]["content"]))[:, :, 0] == page[32:85, 22:68]).all()
+    assert got["p", "2.png"]["error"] == "not an image that is read here"
+    for way in ("adaptive", "otsu"):
+        ready = {(r["entity"], r["name"]): r for r in pages.prepared(df, threshold=way).collect()}
+        assert set(np.unique(images.decode(bytes(ready["p", "1.png"]["content"])))) == {0, 255}
+        assert ready["p", "1.png"]["content"] == ready["q", "1.pgm"]["content"]
+    with pytest.raises(ValueError, match="threshold"):
+        pages.prepared(df, threshold="x")
+    assert pages.prepared(df.limit(0)).count() == 0
 
 
 def test_duplicates(spark):
