@@ -9,6 +9,7 @@ A partition is a range of data records of one file, so a long recording is many
 from __future__ import annotations
 
 import glob
+import math
 import os
 import re
 from collections.abc import Iterator
@@ -27,6 +28,8 @@ SIGNAL = (("label", 16), ("transducer", 80), ("unit", 8), ("physical_min", 8), (
 HEART, PREFERRED = r"(EKG|ECG)", ("EKG", "ECG")
 MICRO = {"uv": 1.0, "µv": 1.0, "mv": 1e3, "v": 1e6}
 SCHEMA = "recording string, channel string, sfreq double, sample_index long, time_sec double, ekg_uV double"
+#: Samples of a block that is resampled at once, periods of the lower rate that an interpolated value depends on, and values made at a time.
+BLOCK, LOBES, SLICE = 1 << 16, 32, 4096
 RECORDS = 256
 
 
@@ -163,32 +166,48 @@ def channels(spark: SparkSession, path: str) -> DataFrame:
     return heads.select(F.regexp_extract("path", r"([^/]+)$", 1), F.substring(F.col("content"), F.lit(1), 256 * (signals + 1))).mapInArrow(run, kinds)
 
 
-def resampled(rows: DataFrame, rate: float) -> DataFrame:
-    """`samples` at another rate by Fourier interpolation of each whole recording, as band-limited resampling is defined.
+def resampled(rows: DataFrame, rate: float, block: int = BLOCK, lobes: int = LOBES) -> DataFrame:
+    """`samples` at another rate: band-limited interpolation by a windowed sinc that reaches `lobes` periods of the lower rate to either side.
 
-    One task holds one recording's channel (a night at 500 Hz is 16 million doubles). Ends are padded by reflection.
+    A recording is cut into blocks of `block` samples; samples near an edge also go to the next block, so each block has what its interpolation
+    reaches, in one shuffle, and no task holds more than a block. Beyond a recording's ends the signal is mirrored through its end point.
+    Samples of a recording are numbered from 0 without gaps.
     """
-    def run(key: tuple, tables: pa.Table) -> pa.Table:
-        t = tables.sort_by("sample_index")
-        x, old = t.column("ekg_uV").to_numpy(), float(t.column("sfreq")[0].as_py())
-        n = max(1, int(round(len(x) * rate / old)))
-        y = fourier(x, n) if n != len(x) else x
-        at = np.arange(n, dtype=np.int64)
-        return pa.table({"recording": pa.array([key[0].as_py()] * n), "channel": pa.array([key[1].as_py()] * n), "sfreq": np.full(n, float(rate)), "sample_index": at, "time_sec": at / rate, "ekg_uV": y})
-
-    return rows.groupBy("recording", "channel").applyInArrow(run, SCHEMA)
-
-
-def fourier(x: np.ndarray, n: int) -> np.ndarray:
-    """n samples over the time of x, without what lies above the lower rate's half."""
-    pad = min(len(x) - 1, 100)
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        t = table.sort_by("sample_index")
+        number, old = key[2].as_py(), float(t.column("sfreq")[0].as_py())
+        first, x = int(t.column("sample_index")[0].as_py()), t.column("ekg_uV").to_numpy()
+        low, high, halo = number * block, (number + 1) * block, _reach(old, rate, lobes)
+        scale, end = rate / old, first + len(x)
+        whole = end if end < high + halo else None  # nothing comes after: the recording's length
+        n = np.arange(math.ceil(low * scale), math.ceil(high * scale) if whole is None else min(math.ceil(high * scale), max(1, round(whole * scale))), dtype=np.int64)
+        y = interpolated(x, n / scale - first, min(1.0, scale), halo)
+        at = len(n)
+        return pa.table({"recording": pa.array([key[0].as_py()] * at, pa.string()), "channel": pa.array([key[1].as_py()] * at, pa.string()), "sfreq": np.full(at, float(rate)), "sample_index": n, "time_sec": n / rate, "ekg_uV": y})
+
+    i, reach = F.col("sample_index"), F.ceil(lobes * F.greatest(F.lit(1.0), F.col("sfreq") / rate)) + 1
+    near = F.sequence(F.greatest(F.floor((i - reach) / block), F.lit(0).cast("long")), F.floor((i + reach) / block))
+    dealt = rows.withColumn("block", F.explode(near))
+    last = rows.groupBy("recording", "channel").agg(F.floor(F.max("sample_index") / block).alias("__last"))
+    dealt = dealt.join(last, ["recording", "channel"]).where(F.col("block") <= F.col("__last")).drop("__last")
+    return dealt.groupBy("recording", "channel", "block").applyInArrow(run, SCHEMA)
+
+
+def _reach(old: float, rate: float, lobes: int) -> int:
+    return math.ceil(lobes * max(1.0, old / rate)) + 1
+
+
+def interpolated(x: np.ndarray, at: np.ndarray, cut: float, halo: int) -> np.ndarray:
+    """Values of x at the (fractional) places `at`, without what lies above `cut` of its half rate."""
+    pad = min(len(x) - 1, halo)
     wide = np.concatenate([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]]) if pad else x
-    scale = n / len(x)
-    m = int(round(len(wide) * scale))
-    f = np.fft.rfft(wide)
-    g = np.zeros(m // 2 + 1, complex)
-    k = min(len(f), len(g))
-    g[:k] = f[:k]
-    y = np.fft.irfft(g, m) * (m / len(wide))
-    first = int(round(pad * scale))
-    return y[first : first + n]
+    wide = np.pad(wide, halo - pad, mode="edge")
+    out, offsets = np.empty(len(at)), np.arange(1 - halo, halo + 1)
+    bell = np.kaiser(4 * halo * 32 + 1, 8.0)  # finely enough to be read by interpolation
+    for low in range(0, len(at), SLICE):
+        p = at[low : low + SLICE]
+        base = np.floor(p).astype(np.int64)
+        t = (p - base)[:, None] - offsets
+        weights = np.sinc(cut * t) * np.interp(t, np.linspace(-halo, halo, len(bell)), bell)
+        out[low : low + SLICE] = (wide[base[:, None] + offsets + halo] * weights).sum(axis=1) / weights.sum(axis=1)
+    return out
