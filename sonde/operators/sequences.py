@@ -61,9 +61,14 @@ def numbered(df: DataFrame, group: str, day: str, order: list[str], out: str) ->
 
 
 def sliding(df: DataFrame, keys: list[str], at: str, width: int, value: str) -> DataFrame:
-    """Rows with count and sum of the key's rows in (at - width, at]."""
-    w = Window.partitionBy(*keys).orderBy(at).rangeBetween(-width + 1, 0)
-    return df.withColumn("n_window", F.count("*").over(w)).withColumn("sum_window", F.sum(value).over(w))
+    """Adds n_window and sum_window: rows of the same keys in (at - width, at] and the sum of their values.
+
+    Rows go to the stretch of `width` they lie in and the next one, so a key is dealt by time and no task holds all of a frequent one.
+    """
+    dealt = df.withColumn("__later", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("__cell", F.floor(F.col(at) / width) + F.col("__later"))
+    w = Window.partitionBy(*keys, "__cell").orderBy(at).rangeBetween(-(width - 1), 0)
+    out = dealt.withColumns({"n_window": F.count("*").over(w), "sum_window": F.sum(value).over(w)})
+    return out.where("__later = 0").drop("__later", "__cell")
 
 
 def balanced_split(df: DataFrame, key: str, order: list[str], weight: str) -> DataFrame:

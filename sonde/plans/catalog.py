@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from sonde.functions import scalars as S
 from sonde.operators import candidates, checking, evaluate, firsts, intervals, matching, resolve, runs, sequences, signals, text
-from sonde.session import shared_dir, stored
-from sonde.streaming import usage
+from sonde.session import set_for, shared_dir, stored
+from sonde.streaming import sliding, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
 FLAGSHIP = "q18_coalesce_ranges"
@@ -534,3 +534,23 @@ r as (select source, i, doc_id, sha1, null::bigint as matched_with, null::varcha
 select source, doc_id, reason is null as kept, reason, matched_with from r""")
 def q58_ordered_keep(spark: SparkSession, sf: str) -> DataFrame:
     return firsts.kept_in_order(pair_hashes(spark, sf), "source", "doc_id", "hash", 4, 6, "sha1")
+
+
+@query(f"""with {EVENTS} select event_id, event_type, count(*) over w as n_window, (sum(k) over w)::bigint as sum_window from e window w as (partition by event_type order by us range between 59999999 preceding and current row)""")
+def q59_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/sliding-{uuid.uuid4().hex}"
+    source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
+    rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+    with set_for(spark, spark__sql__streaming__stateStore__providerClass=sliding.STORE):
+        usage.drain(sliding.sliding(rows, "at", "event_id", "event_type", "k", 60 * 10**6), f"{folder}/out", f"{folder}/state")
+    last = sliding.last_given(spark, f"{folder}/out", "ident string, event_type string, at_us long, n_window long, sum_window long")
+    return last.select(F.col("ident").cast("long").alias("event_id"), "event_type", "n_window", "sum_window")
+
+
+@query(f"with {EVENTS} select event_type, date_trunc('day', ts) as day, count(*) as requests, sum(k)::bigint as tokens from e group by 1, 2")
+def q60_usage_by_day_stream(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/days-{uuid.uuid4().hex}"
+    source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
+    rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+    usage.drain(sliding.by_day(rows, "at", "event_id", "event_type", "k"), f"{folder}/out", f"{folder}/state")
+    return usage.latest(spark, f"{folder}/out", "event_type").select(F.col("start").cast("timestamp_ntz").alias("day"), "event_type", F.col("n").alias("requests"), F.col("total").alias("tokens"))
