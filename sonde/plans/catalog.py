@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sonde.functions import scalars as S
 from sonde.operators import candidates, checking, evaluate, firsts, intervals, matching, resolve, runs, sequences, signals, text
 from sonde.session import set_for, shared_dir, stored
+from sonde.sources import combined, quoted_csv
 from sonde.streaming import sliding, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -554,3 +555,24 @@ def q60_usage_by_day_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
     usage.drain(sliding.by_day(rows, "at", "event_id", "event_type", "k"), f"{folder}/out", f"{folder}/state")
     return usage.latest(spark, f"{folder}/out", "event_type").select(F.col("start").cast("timestamp_ntz").alias("day"), "event_type", F.col("n").alias("requests"), F.col("total").alias("tokens"))
+
+
+@query("""with a as (select o_custkey as entity, o_orderkey, o_orderstatus as status, o_orderpriority as priority, (o_orderkey % 3 = 0)::int as second from orders),
+r as (select *, row_number() over (partition by entity order by second desc, o_orderkey desc) as k from a) select entity::varchar as entity, status, case when second = 0 then priority end as priority from r where k = 1""")
+def q61_combined_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, the second without a column and put in twice; each customer's last order of the last batch stays."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("entity"), F.col("o_orderkey").alias("at"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
+    path, columns = f"{shared_dir(spark)}/combined-{uuid.uuid4().hex}", ["entity", "status", "priority"]
+    first, second = o.where("at % 3 <> 0"), o.where("at % 3 = 0").drop("priority")
+    for name, rows in (("first", first), ("second", second), ("second", second)):
+        combined.put(rows, path, name, "entity", ["at"], columns)
+    return combined.table(spark, path, "entity", columns)
+
+
+@query(r"""select doc_id::varchar as doc_id, nullif(replace(text, '. ', '.' || chr(13)), '') as text from documents""")
+def q62_quoted_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with lone carriage returns, written and read again."""
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\r")).alias("text"))
+    quoted_csv.write(rows, path)
+    return spark.read.csv(path, header=True, schema="doc_id string, text string", multiLine=True, escape='"', lineSep="\r\n")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonde.sources import quoted_csv
 
-def wide_csv(df: DataFrame, path: str, columns: list[str], line_end: str = "\n") -> None:
-    """The columns in order, absent ones blank; cells with line breaks are quoted."""
-    rows = df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
-    rows.write.mode("overwrite").csv(path, header=True, lineSep=line_end, escape='"', quoteAll=True)
+
+def wide_csv(df: DataFrame, path: str, columns: list[str], line_end: str = quoted_csv.LINE_END) -> None:
+    """The columns in order, absent ones blank, with a byte order mark; cells are quoted where they must be."""
+    quoted_csv.write(df, path, columns, lineEnd=line_end)
 
 
 def by_entity(df: DataFrame, path: str, entity: str = "entity") -> None:
