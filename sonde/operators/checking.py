@@ -39,6 +39,8 @@ PRESSURE_KEY, STEP_KEY = r"^Pressure_(\d{2})$", r"^Pr(\d{2})_(.+)$"
 # When a second look at a page is worth it.
 FEW_KEYS, LONG_ENOUGH, NUMBERS, PAIRS = 12, 180, 8, 4
 RECALL = r"selected|circled|checked|\[x\]|questionnaire|pittsburgh|epworth|beck depression|insomnia severity|restless|whoqol|sleep architecture|patient information|등록번호|성명|name:|study date|total sleep time|sleep latency|rdi|ahi|arousal"
+STRUCTURED = r"selected|circled|checked|\[x\]|name:|등록번호|study date|sex/age|height|weight|bmi|total sleep time|sleep latency|rem latency|sleep efficiency|arousal index|\|"
+A_NUMBER, A_PAIR = r"(?U)\b\d+(?:\.\d+)?\b", r"(?U):\s*[^\n]{1,60}"
 NO_CODE = 9999
 
 
@@ -219,10 +221,11 @@ def quality(key: str, value: str) -> Column:
 
 
 def second_look(text: str | Column, keys: str | Column, least: int = FEW_KEYS) -> Column:
-    """Whether a page's text promises more than the `keys` found: few keys, length, a hint, and many numbers or pairs."""
+    """Whether a page's text promises more than the `keys` found: few keys, length, a hint, a hint of structure, and many numbers or pairs."""
     t = S.col(text)
-    numbers, pairs = F.regexp_count(t, F.lit(r"\d+(?:\.\d+)?")), F.regexp_count(t, F.lit(r"(?m)[A-Za-z가-힣_/ ]{2,40}\s*[:=]\s*\S+"))
-    return (S.col(keys) < least) & (F.length(t) >= LONG_ENOUGH) & holds(t, RECALL) & ((numbers >= NUMBERS) | (pairs >= PAIRS))
+    long = F.length(F.regexp_replace(t, r"(?U)^\s+|\s+$", "")) >= LONG_ENOUGH
+    many = (F.regexp_count(t, F.lit(A_NUMBER)) >= NUMBERS) | (F.regexp_count(t, F.lit(A_PAIR)) >= PAIRS)
+    return (S.col(keys) < least) & F.coalesce(long & holds(t, RECALL) & holds(t, STRUCTURED) & many, F.lit(False))
 
 
 def guarded(facts: DataFrame, key: str = "key", value: str = "valid") -> DataFrame:

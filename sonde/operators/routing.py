@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sonde.functions import names
 from sonde.functions import scalars as S
 
 # Routes and the phrases that decide on one at once, in order.
@@ -129,9 +130,17 @@ def routed(df: DataFrame, text: str) -> DataFrame:
 
 
 def decided(route: Column, confidence: Column, said: Column, said_confidence: Column) -> tuple[Column, Column]:
-    """(route, confidence) where an outside decision may stand before the rules': unknown confidences keep the rules'."""
+    """(route, confidence) where an outside decision stands before the rules': names it doesn't give in any known form mean the usual route, unknown
+    confidences keep the rules'; without a decision (null) the rules' stand."""
     low = F.lower(F.trim(said_confidence))
-    return F.coalesce(F.nullif(F.trim(said), F.lit("")), route), F.when(low.isin("high", "medium", "low"), low).otherwise(confidence)
+    return F.when(said.isNotNull(), names.route_name(said)).otherwise(route), F.when(low.isin("high", "medium", "low"), low).otherwise(confidence)
+
+
+def router_text(text: str | Column) -> Column:
+    """What is shown of a page to decide its route: pages of a night's report begin with its title."""
+    t, title = S.col(text), "NIGHT POLYSOMNOGRAPHY REPORT"
+    begins = F.startswith(F.regexp_replace(t, r"(?U)^\s+", ""), F.lit(title))
+    return F.when(t.rlike(f"(?i){title}") & ~begins, F.concat(F.lit(f"{title}\n"), t)).otherwise(F.coalesce(t, F.lit("")))
 
 
 def family(text: str | Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sonde.functions import scalars as S
 from sonde.operators import candidates, checking, evaluate, firsts, intervals, matching, resolve, runs, sequences, signals, text
 from sonde.session import set_for, shared_dir, stored
-from sonde.sources import combined, quoted_csv
+from sonde.sources import combined, quoted_csv, readers
 from sonde.streaming import sliding, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -576,3 +576,30 @@ def q62_quoted_csv(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\r")).alias("text"))
     quoted_csv.write(rows, path)
     return spark.read.csv(path, header=True, schema="doc_id string, text string", multiLine=True, escape='"', lineSep="\r\n")
+
+
+_FIELDS = """b as (select p_brand, min(p_size) as low, max(p_size) - 10 as high from part group by 1),
+f as (select p_partkey::bigint as id, case when p_partkey % 7 = 0 then 'x ' || p_brand else p_brand end as key, p_size::varchar as value from part union all
+ select -o_orderkey, 'priority', case when o_orderkey % 5 = 0 then 'none of these' else substr(o_orderpriority, 3) end from orders)"""
+
+
+@query(f"""with {_FIELDS}, c as (select distinct substr(o_orderpriority, 3) as label, left(o_orderpriority, 1) as code from orders)
+select f.id, f.key, case when f.key = 'priority' then case when c.code is null then 'invalid_option' end when b.p_brand is null then 'unknown_key' when f.value::int > b.high then 'out_of_range' end as reason,
+case when f.key = 'priority' then c.code when b.p_brand is not null and f.value::int <= b.high then f.value end as valid, case when f.key = 'priority' then 'psqi' when b.p_brand is not null then 'psg' end as category
+from f left join b on f.key = b.p_brand left join c on f.key = 'priority' and f.value = c.label""")
+def q63_dictionary_to_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """From a dictionary's file to checked facts: ranges of brands, options of priorities, other names of categories."""
+    part, orders = table(spark, sf, "part"), table(spark, sf, "orders")
+    brands = part.groupBy("p_brand").agg(F.min("p_size").alias("low"), F.max("p_size").alias("high")).select(
+        F.col("p_brand").alias(readers.FIELD), F.concat_ws("-", "low", F.col("high") - 10).alias(readers.FORMAT), F.lit("POLYSOMNOGRAPHY").alias(readers.CATEGORY), F.lit("a").alias(readers.TYPE))
+    codes = [str(i) for i in range(1, 6)]
+    labels = orders.withColumn("code", F.substring("o_orderpriority", 1, 1)).groupBy().pivot("code", codes).agg(F.min(F.substring("o_orderpriority", 3, 99)))
+    priority = labels.select(F.lit("priority").alias(readers.FIELD), F.lit("Pittsburgh_Sleep_Quality_Index").alias(readers.CATEGORY), *codes)
+    path = f"{shared_dir(spark)}/dictionary-{uuid.uuid4().hex}"
+    quoted_csv.write(brands.unionByName(priority, allowMissingColumns=True).coalesce(1), path)
+    fields = stored(readers.field_dictionary(spark, f"{path}/part-00000.csv"), "dictionary")
+    k = F.col("p_partkey")
+    facts = part.select(k.cast("long").alias("id"), F.when(k % 7 == 0, F.concat(F.lit("x "), "p_brand")).otherwise(F.col("p_brand")).alias("key"), F.col("p_size").cast("string").alias("value")).unionByName(
+        orders.select((-F.col("o_orderkey")).cast("long").alias("id"), F.lit("priority").alias("key"), F.when(F.col("o_orderkey") % 5 == 0, "none of these").otherwise(F.substring("o_orderpriority", 3, 99)).alias("value")))
+    rows = checking.checked(facts, fields)
+    return rows.join(fields.select("key", "category"), "key", "left").select("id", "key", "reason", "valid", "category")

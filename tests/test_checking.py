@@ -88,9 +88,16 @@ def test_steps_and_guards(spark, dictionary):
 def test_diagnoses_and_second_look(spark):
     df = spark.createDataFrame([(["# a\nx\n# b", "see #c and #a", None, "none"],), ([None],)], "v array<string>")
     assert [r[0] for r in df.select(C.diagnoses(df["v"])).collect()] == ["# a # b #c and #a", None]
-    long = "Epworth checked " + "a: 1 " * 60
-    rows = spark.createDataFrame([(long, 3), (long, 12), ("short", 0)], "t string, n int")
-    assert [r[0] for r in rows.select(C.second_look("t", "n")).collect()] == [True, False, False]
+    long, numbers = "Epworth checked " + "a: 1 " * 60, " ".join(map(str, range(60)))
+    cases = [
+        (long, 3, True), (long, 12, False), ("short checked: 1 2 3 4 5 6 7 8", 0, False), (" " * 300 + "Epworth checked 1 2 3 4 5 6 7 8", 0, False),
+        ("Sleep questionnaire " + numbers, 0, False), ("Sleep questionnaire | " + numbers, 0, True),  # a hint, but of no structure; then of one
+        ("Weight " + numbers, 0, False),  # structure without a hint
+        ("Sleep questionnaire | " + "x12 y_3 " * 40, 0, False), ("Sleep questionnaire | 수면12 " + "word " * 40 + "a: b\nc:\n\nd\ne : f\n", 0, False),  # numbers in words, three pairs
+        ("Sleep questionnaire | " + "word " * 40 + "a: b\nc:\n\nd\ne : f\ng:h", 0, True), (None, 0, False),
+    ]
+    rows = spark.createDataFrame([(i, t, n) for i, (t, n, _) in enumerate(cases)], "i int, t string, n int")
+    assert [r[0] for r in rows.orderBy("i").select(C.second_look("t", "n")).collect()] == [want for _, _, want in cases]
 
 
 def test_earlier_rules(spark):

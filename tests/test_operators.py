@@ -2,8 +2,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sonde.functions import names
 from sonde.functions import scalars as S
-from sonde.operators import evaluate, intervals, resolve, signals, text
+from sonde.operators import evaluate, intervals, resolve, routing, signals, text
 from sonde.sources import readers, writers
 
 
@@ -93,3 +94,49 @@ def test_dictionary_and_texts(spark, tmp_path):
     (tmp_path / "p1").mkdir()
     (tmp_path / "p1" / "x.txt").write_text("a\nb")
     assert [tuple(r) for r in readers.texts(spark, str(tmp_path)).collect()] == [("p1", "x.txt", "a\nb")]
+
+
+def test_encodings_of_whole_files(spark, tmp_path):
+    """What comes after the first megabyte decides too; files alike in encoding and columns are one scan."""
+    head = "name,value\n" + "a,1\n" * 300_000
+    (tmp_path / "late.csv").write_bytes((head + "홍길동,2\n").encode("cp949"))
+    (tmp_path / "mark.csv").write_bytes("name,value\nb,3\n".encode("utf-8-sig"))
+    (tmp_path / "other.csv").write_bytes("value,name\n4,é\n".encode())
+    paths = [str(tmp_path / f"{n}.csv") for n in ("late", "mark", "other")]
+    df = readers.csv_any_encoding(spark, paths)
+    assert {(r["name"], r["value"]) for r in df.where("name <> 'a'").collect()} == {("홍길동", "2"), ("b", "3"), ("é", "4")}
+    assert df.count() == 300_003
+    kinds = {r["path"].rsplit("/", 1)[1]: (r["encoding"], r["header"]) for r in readers.csv_kinds(spark, paths).collect()}
+    assert kinds == {"late.csv": ("cp949", ["name", "value"]), "mark.csv": ("utf-8", ["name", "value"]), "other.csv": ("utf-8", ["value", "name"])}
+
+
+def test_field_dictionary(spark, tmp_path):
+    (tmp_path / "cdm.csv").write_bytes(
+        "csv key,설명,Korean_Context,English_Context,Format/Range,1,0,Type,semantic_allowed,map category,assessment cdm type\n"
+        "SEX,성별,성별,Sex,,female,male,a,0,BASIC,x\nPressure_05,,,pressure,4-20,,,,,cpap_report,\nnan,,,,,,,,,,\nPr05_stage,,nan,stage,,,,b,2,Cpap,\nPressure_07,,,own,,,,C,,,\n,,,,,,,,,,\nESS_01,,,,0-3,,,A,1,Epworth_Sleepiness_Scale,\n".encode("cp949")
+    )
+    rows = readers.field_dictionary(spark, str(tmp_path / "cdm.csv")).orderBy("position").collect()
+    by = {r["key"]: r for r in rows}
+    assert [r["key"] for r in rows][:7] == ["SEX", "Pressure_05", "Pr05_stage", "Pressure_07", "ESS_01", "Pressure_06", "Pr06_stage"]
+    assert [r["position"] for r in rows] == list(range(1, len(rows) + 1))
+    sex = by["SEX"]
+    assert (sex["description"], sex["options"], sex["type"], sex["semantic_allowed"], sex["category"], sex["assessment_type"], sex["format"]) == ("성별 | Sex", {"0": "male", "1": "female"}, "A", 0, "basic", "x", "")
+    assert (by["Pr05_stage"]["description"], by["Pr05_stage"]["semantic_allowed"], by["Pr05_stage"]["category"]) == ("stage", 1, "cpap")
+    assert (by["Pressure_07"]["description"], by["Pressure_07"]["type"], by["Pressure_08"]["format"]) == ("own", "B", "4-20")
+    assert by["ESS_01"]["category"] == "ess"
+    assert sum(k.startswith("Pressure_") for k in by) == sum(k.endswith("_stage") for k in by) == 25
+
+
+def test_names(spark):
+    said = [" PSG_Report ", "Questionnaire", "berlin_questionnaire", "category__psg.txt", "map_route_psg_report", "map_route_unheard", "Zzz", None, "not used"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(said)], "i int, t string").orderBy("i").select(names.category_name("t"), names.route_name("t"), names.source_name("t")).collect()
+    night, general = "map_route_night_questionnaire", "map_route_psg_report_general"
+    assert [tuple(r) for r in rows] == [
+        ("psg", general, "psg"), ("questionnaire", night, night), ("berlin", night, "berlin"), ("category__psg.txt", night, "category__psg.txt"), ("map_route_psg_report", general, general),
+        ("map_route_unheard", night, night), ("zzz", night, "Zzz"), ("", night, ""), ("not_used", night, "not used"),
+    ]
+    said = spark.createDataFrame([("r1", "low", "psg_report", "HIGH"), ("r1", "low", None, "sure"), ("r1", "low", "odd", None)], "r string, c string, s string, k string")
+    route, confidence = routing.decided(F.col("r"), F.col("c"), F.col("s"), F.col("k"))
+    assert [tuple(r) for r in said.select(route, confidence).collect()] == [(general, "high"), ("r1", "low"), (night, "low")]
+    shown = spark.createDataFrame([("a\nNight Polysomnography Report",), (" NIGHT POLYSOMNOGRAPHY REPORT x",), ("b",), (None,)], "t string").select(routing.router_text("t")).collect()
+    assert [r[0] for r in shown] == ["NIGHT POLYSOMNOGRAPHY REPORT\na\nNight Polysomnography Report", " NIGHT POLYSOMNOGRAPHY REPORT x", "b", ""]
