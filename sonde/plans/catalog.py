@@ -603,3 +603,27 @@ def q63_dictionary_to_checked(spark: SparkSession, sf: str) -> DataFrame:
         orders.select((-F.col("o_orderkey")).cast("long").alias("id"), F.lit("priority").alias("key"), F.when(F.col("o_orderkey") % 5 == 0, "none of these").otherwise(F.substring("o_orderpriority", 3, 99)).alias("value")))
     rows = checking.checked(facts, fields)
     return rows.join(fields.select("key", "category"), "key", "left").select("id", "key", "reason", "valid", "category")
+
+
+@query(f"""with {EVENTS}, m as (select user_id, (us - min(us) over (partition by user_id)) / 3600e6 as t, case when event_type = 'signup' then 'Stage - ' || (k % 5) else event_type || ' - ' || k end as description,
+ case when event_type in ('error', 'view') then k / 10.0 end as d, case when event_type = 'signup' then 'Stage' else event_type end as etype from e),
+a as (select *, round_even(t * 0.1, 0)::bigint as first, greatest(round_even(t * 0.1, 0)::bigint, round_even((t + coalesce(d, 0)) * 0.1, 0)::bigint - 1) as last from m),
+s as (select user_id, unnest(range(max(first) + 1)) as i from a group by 1),
+st as (select user_id, first // 3 + 1 as epoch, arg_max(description[9:], (t, description)) as stage from a where etype = 'Stage' group by 1, 2),
+h as (select s.user_id, s.i, coalesce((select arg_max(stage, epoch) from st where st.user_id = s.user_id and st.epoch <= s.i // 3 + 1), (select arg_min(stage, epoch) from st where st.user_id = s.user_id)) as stage from s),
+o as (select user_id, first as i, string_agg(description, ';' order by t, description) as onset_descriptions, count(distinct etype) as n_types from a group by 1, 2),
+c as (select s.user_id, s.i, string_agg(distinct a.etype, ',' order by a.etype) as active_types from s join a on a.user_id = s.user_id and a.etype <> 'Stage' and a.d > 0 and s.i between a.first and a.last group by 1, 2)
+select user_id, i as sample_index, i // 3 + 1 as epoch, stage, onset_descriptions, coalesce(n_types, 0)::int as n_types, coalesce(active_types, '') as active_types, (active_types is not null)::int as active
+from h left join o using (user_id, i) left join c using (user_id, i)""")
+def q64_annotated_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of a user as annotations of a recording, an hour a second, at a sample in ten seconds."""
+    e = events(spark, sf)
+    begins = e.groupBy("user_id").agg(F.min("us").alias("__0"))
+    marks = e.join(begins, "user_id").select(
+        "user_id", ((F.col("us") - F.col("__0")) / 3600e6).alias("t_sec"), F.when(F.col("event_type") == "signup", F.concat(F.lit("Stage - "), (F.col("k") % 5).cast("string"))).otherwise(F.concat("event_type", F.lit(" - "), F.col("k").cast("string"))).alias("description"),
+        F.when(F.col("event_type").isin("error", "view"), F.col("k") / 10).alias("duration_sec"))
+    first, _ = signals.aligned(F.col("t_sec"), F.col("duration_sec"), 0.1)
+    samples = marks.groupBy("user_id").agg(F.max(first).alias("n")).select("user_id", F.explode(F.sequence(F.lit(0).cast("long"), "n")).alias("sample_index"))
+    rows = signals.annotated(samples, marks, 0.1, "user_id")
+    n_types = F.when(F.col("onset_types").isNull(), 0).otherwise(F.size(F.split("onset_types", ";")))
+    return rows.select("user_id", "sample_index", "epoch", "stage", "onset_descriptions", n_types.alias("n_types"), F.array_join("active_types", ",").alias("active_types"), "active")

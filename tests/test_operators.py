@@ -50,12 +50,26 @@ def test_majority_modes(spark):
 
 
 def test_annotated_samples(spark):
-    samples = spark.range(10).select(F.lit("r").alias("recording"), F.col("id").alias("sample_index"))
-    marks = spark.createDataFrame([("r", 0.2, "Stage - N1", None), ("r", 0.5, "Apnea - long", 0.3), ("r", -1.0, "Apnea - early", 1.0)], "recording string, t_sec double, description string, duration_sec double")
-    got = {r["sample_index"]: (r["stage"], r["onset_types"], r["active"]) for r in signals.annotated(samples, marks, 10).collect()}
-    assert got[0] == ("Stage - N1", None, 0)
-    assert got[5] == ("Stage - N1", "Apnea", 1)
-    assert [got[i][2] for i in range(10)] == [0] * 5 + [1] * 3 + [0] * 2
+    """A flag for each type, all that starts at a sample in order, stages by epochs of 3 seconds, two recordings."""
+    samples = spark.range(100).select(F.explode(F.array(F.lit("r"), F.lit("s"))).alias("recording"), F.col("id").alias("sample_index"))
+    said = [
+        ("r", 3.2, "Stage - N1", None), ("r", 3.4, "Stage - N2", None), ("r", 6.1, "Stage - REM - x", 30.0), ("r", 0.5, "Apnea - long", 0.3), ("r", 0.5, "LM", None), ("r", 0.6, "Apnea - again", 5.0),
+        ("r", 0.7, "Low Sat. - 80", 2.5), ("r", 0.5, "Apnea - too", 0.0), ("r", -1.0, "Apnea - early", 9.0), ("s", 1.0, "LM - left", 0.04),
+    ]
+    marks = spark.createDataFrame(said, "recording string, t_sec double, description string, duration_sec double")
+    rows = signals.active_columns(signals.annotated(samples, marks, 10, epoch_seconds=3), ["Apnea", "Low Sat.", "LM"]).collect()
+    got = {(r["recording"], r["sample_index"]): r for r in rows}
+    assert len(rows) == len(got) == 200
+    r = [got["r", i] for i in range(100)]
+    assert [x["stage"] for x in r] == ["N2"] * 60 + ["REM - x"] * 40
+    assert [x["epoch"] for x in r] == [i // 30 + 1 for i in range(100)]
+    assert [x["apnea_active"] for x in r] == [int(5 <= i < 8 or 6 <= i < 56) for i in range(100)]
+    assert [x["low_sat_active"] for x in r] == [int(7 <= i < 32) for i in range(100)]
+    assert {x["lm_active"] for x in r} == {0}
+    assert (r[5]["onset_types"], r[5]["onset_descriptions"]) == ("Apnea;LM", "Apnea - long;Apnea - too;LM")
+    assert (r[8]["onset_types"], r[8]["onset_descriptions"], r[32]["onset_types"], r[7]["active_types"]) == (None, None, "Stage", ["Apnea", "Low Sat."])
+    assert [(i, got["s", i]["stage"]) for i in range(100) if got["s", i]["lm_active"]] == [(10, None)]
+    assert [tuple(x) for x in signals.duration_types(marks).collect()] == [("Apnea", 3), ("LM", 1), ("Low Sat.", 1)]
 
 
 def test_pages_merge_with_markers(spark):
