@@ -53,12 +53,18 @@ def islands(df: DataFrame, keys: list[str], at: str) -> DataFrame:
 
 
 def active(points: DataFrame, spans: DataFrame, key: str, at: str, lo: str, hi: str, cell: int) -> DataFrame:
-    """`points` with active 0/1: whether a span [lo, hi) of the key holds the point. Spans are filed under the cells of
-    width `cell` they touch, so the join stays an equi-join."""
-    cells = spans.where(F.col(hi) > F.col(lo)).select(F.col(key).alias("__key"), F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor((F.col(hi) - 1) / cell))).alias("__cell"))
-    places = points.select(key, at).distinct().withColumn("__c", F.floor(F.col(at) / cell))
-    hit = places.join(cells, (F.col(key) == F.col("__key")) & (F.col("__c") == F.col("__cell")) & (F.col(at) >= F.col("__lo")) & (F.col(at) < F.col("__hi")), "left_semi")
-    return points.join(hit.select(key, at, F.lit(1).alias("__hit")), [key, at], "left").select(*points.columns, F.coalesce("__hit", F.lit(0)).alias("active"))
+    """`points` with active 0/1: whether a span [lo, hi) of the key holds the point.
+
+    Points and the spans that touch it are dealt by stretches of `cell`, so a frequent key is many tasks; in one shuffle, the furthest end of the
+    spans that began at or before a point decides.
+    """
+    n = F.floor(F.col(lo) / cell), F.floor((F.col(hi) - 1) / cell)
+    starts = spans.where((F.col(hi) > F.col(lo)) & F.col(key).isNotNull()).select(key, F.col(lo).alias("__lo"), F.col(hi).alias("__hi"), F.explode(F.sequence(*n)).alias("__cell"))
+    starts = starts.select(key, F.greatest("__lo", F.col("__cell") * cell).alias(at), "__hi", "__cell", F.lit(0).alias("__kind"))
+    both = points.withColumns({"__cell": F.floor(F.col(at) / cell), "__kind": F.lit(1)}).unionByName(starts, allowMissingColumns=True)
+    w = Window.partitionBy(key, "__cell").orderBy(at, "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    rows = both.withColumn("active", F.coalesce(F.max("__hi").over(w) > F.col(at), F.lit(False)).cast("int")).where("__kind = 1")
+    return rows.select(*points.columns, "active")
 
 
 def near_in_time(df: DataFrame, other: DataFrame, key: str, ident: str, at: str, days: int = 7) -> DataFrame:

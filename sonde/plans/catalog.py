@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sonde.functions import scalars as S
 from sonde.operators import candidates, checking, evaluate, firsts, intervals, matching, resolve, runs, sequences, signals, text
 from sonde.session import set_for, shared_dir, stored
-from sonde.sources import combined, quoted_csv, readers
+from sonde.sources import artefacts, combined, quoted_csv, readers
 from sonde.streaming import sliding, usage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -627,3 +627,17 @@ def q64_annotated_samples(spark: SparkSession, sf: str) -> DataFrame:
     rows = signals.annotated(samples, marks, 0.1, "user_id")
     n_types = F.when(F.col("onset_types").isNull(), 0).otherwise(F.size(F.split("onset_types", ";")))
     return rows.select("user_id", "sample_index", "epoch", "stage", "onset_descriptions", n_types.alias("n_types"), F.array_join("active_types", ",").alias("active_types"), "active")
+
+
+@query("""with t as (select conv_id, turn, role, min(text) as text, length(min(text)) as n from conversations where text is not null group by all),
+o as (select *, row_number() over (partition by conv_id order by turn, role) - 1 as i from t)
+select conv_id, '$.turns[' || i || '].said.' || k as path, k as leaf, v as value from (select conv_id, i, unnest(['role', 'n']) as k, unnest([role, n::varchar]) as v from o)
+union all select conv_id, '$.turns[' || i || '].words[' || (j - 1) || ']', 'words', string_split(text, ' ')[j] from (select *, unnest(range(1, least(3, len(string_split(text, ' '))) + 1)) as j from o)
+union all select conv_id, '$.size', 'size', count(*)::varchar from o group by 1""")
+def q65_leaves_of_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as nested documents, taken apart without a schema."""
+    t = table(spark, sf, "conversations").where("text is not null").groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text"))
+    said = F.struct("role", F.length("text").alias("n"))
+    turns = t.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", said.alias("said"), F.slice(F.split("text", " "), 1, 3).alias("words")))).alias("turns"))
+    docs = turns.select("conv_id", F.parse_json(F.to_json(F.struct(F.transform("turns", lambda x: F.struct(x["said"].alias("said"), x["words"].alias("words"))).alias("turns"), F.size("turns").alias("size")))).alias("doc"))
+    return artefacts.leaves(stored(docs.select("conv_id", "doc"), "documents"), ["conv_id"]).select("conv_id", "path", "leaf", "value")
