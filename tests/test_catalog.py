@@ -1,7 +1,7 @@
 import compare
 import pytest
 
-from sonde.plans import catalog
+from sonde.plans import catalog, pages  # noqa: F401, pages adds its queries to the catalogue
 
 SF = "/root/testdata/sf0.001"
 
