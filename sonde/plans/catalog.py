@@ -543,7 +543,7 @@ def q59_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
     source = spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
     rows = source.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("at"), F.get_json_object("props", "$.k").cast("long").alias("k"))
     with set_for(spark, spark__sql__streaming__stateStore__providerClass=sliding.STORE):
-        usage.drain(sliding.sliding(rows, "at", "event_id", "event_type", "k", 60 * 10**6), f"{folder}/out", f"{folder}/state")
+        usage.drain(sliding.sliding(rows, "at", "event_id", "event_type", "k", 60 * 10**6, stretch=86_400 * 10**6), f"{folder}/out", f"{folder}/state")
     last = sliding.last_given(spark, f"{folder}/out", "ident string, event_type string, at_us long, n_window long, sum_window long")
     return last.select(F.col("ident").cast("long").alias("event_id"), "event_type", "n_window", "sum_window")
 

@@ -1,7 +1,7 @@
 """Usage over a sliding window as a stream: what each record finds used in the time before it, corrected when late records come.
 
-A record is dealt to the stretch of time it lies in and the next, so the state of one (kind, stretch) holds the records of two stretches at
-most, however frequent the kind. A record that comes late changes what later records had found; their rows are given again, and the last one
+A record is dealt to the stretch of time it lies in, and to the next one if a window there reaches it, so the state of a (kind, stretch) holds
+the records of one stretch and a window, however frequent the kind. A record that comes late changes what later records had found; their rows are given again, and the last one
 given counts. When the watermark has passed a stretch no record for it can come, and a timer clears its state.
 """
 
@@ -31,8 +31,8 @@ def used(at: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.
 class Sliding(StatefulProcessor):
     """State: the records of a (kind, stretch), with what was last given for those that lie in it."""
 
-    def __init__(self, width: int, kind: str) -> None:
-        self.width, self.kind = width, kind
+    def __init__(self, width: int, stretch: int, kind: str) -> None:
+        self.width, self.stretch, self.kind = width, stretch, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -50,7 +50,7 @@ class Sliding(StatefulProcessor):
         every["n"], every["total"] = n, total
         self.records.put([tuple(r) for r in every.astype(object).itertuples(index=False)])
         if old.empty:
-            self.handle.registerTimer((int(key[1]) + 1) * self.width // 1000)
+            self.handle.registerTimer((int(key[1]) + 1) * self.stretch // 1000)
         out = every[given]
         yield pd.DataFrame({"ident": out["ident"], self.kind: key[0], "at_us": out["at"], "n_window": out["n"], "sum_window": out["total"]})
 
@@ -62,17 +62,19 @@ class Sliding(StatefulProcessor):
         pass
 
 
-def sliding(stream: DataFrame, at: str, ident: str, kind: str, value: str, width: int, late: str = "10 minutes") -> DataFrame:
+def sliding(stream: DataFrame, at: str, ident: str, kind: str, value: str, width: int, late: str = "10 minutes", stretch: int | None = None) -> DataFrame:
     """Rows (ident, kind, at_us, n_window, sum_window) of a stream: records of the same kind in (at - width, at], `width` in microseconds.
 
+    `stretch`, sixty widths if not given, is how much time a state holds: longer for rare records, shorter for frequent ones, a width at least.
     Rows are given again where a late record changes them. Records behind the watermark are dropped, repeated ones count once; a null value counts 0.
     The session's state store must be RocksDB (`STORE`).
     """
-    us = F.unix_micros(at)
-    rows = stream.withWatermark(at, late).select(F.col(at), F.col(ident).cast("string").alias("ident"), kind, us.alias("us"), F.coalesce(F.col(value).cast("long"), F.lit(0)).alias("value"), F.explode(F.array(F.lit(0), F.lit(1))).alias("later"))
-    rows = rows.select(at, "ident", kind, "us", "value", (F.col("later") == 0).alias("own"), (F.floor(F.col("us") / width) + F.col("later")).alias("stretch"))
+    us, stretch = F.unix_micros(at), max(width, stretch or 60 * width)
+    reached = F.when(F.pmod(us, F.lit(stretch)) >= stretch - width, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = stream.withWatermark(at, late).select(F.col(at), F.col(ident).cast("string").alias("ident"), kind, us.alias("us"), F.coalesce(F.col(value).cast("long"), F.lit(0)).alias("value"), F.explode(reached).alias("later"))
+    rows = rows.select(at, "ident", kind, "us", "value", (F.col("later") == 0).alias("own"), (F.floor(F.col("us") / stretch) + F.col("later")).alias("stretch"))
     kind_type = dict(stream.dtypes)[kind]
-    return rows.groupBy(kind, "stretch").transformWithStateInPandas(Sliding(width, kind), f"ident string, {kind} {kind_type}, at_us long, n_window long, sum_window long", "Update", "EventTime")
+    return rows.groupBy(kind, "stretch").transformWithStateInPandas(Sliding(width, stretch, kind), f"ident string, {kind} {kind_type}, at_us long, n_window long, sum_window long", "Update", "EventTime")
 
 
 def by_day(stream: DataFrame, at: str, ident: str, kind: str, value: str, late: str = "10 minutes") -> DataFrame:

@@ -33,13 +33,14 @@ def written(spark, folder, records):
     rows.select("id", "kind", F.timestamp_micros("us").alias("at"), "k").coalesce(1).write.mode("append").parquet(str(folder))
 
 
-def run(spark, source, folder):
+def run(spark, source, folder, stretch=60 * SECOND):
     stream = spark.readStream.schema(SCHEMA).parquet(str(source))
-    usage.drain(sliding.sliding(stream, "at", "id", "kind", "k", 60 * SECOND), str(folder / "out"), str(folder / "state"))
+    usage.drain(sliding.sliding(stream, "at", "id", "kind", "k", 60 * SECOND, stretch=stretch), str(folder / "out"), str(folder / "state"))
     return {r["ident"]: (r["n_window"], r["sum_window"]) for r in sliding.last_given(spark, str(folder / "out"), "ident string, kind string, at_us long, n_window long, sum_window long").collect()}
 
 
-def test_late_records_correct_what_was_given(rocks, tmp_path):
+@pytest.mark.parametrize("stretch", [60 * SECOND, 150 * SECOND, None])
+def test_late_records_correct_what_was_given(rocks, tmp_path, stretch):
     """Batches out of order, repeated records, equal times, null values; the last rows given equal a brute force over all records."""
     rng = random.Random(2)
     start = 1_700_000_000 * SECOND
@@ -47,9 +48,9 @@ def test_late_records_correct_what_was_given(rocks, tmp_path):
     rng.shuffle(records)
     for low in range(0, 150, 50):
         written(rocks, tmp_path / "in", records[low : low + 50] + (records[low - 5 : low] if low else []))
-        got = run(rocks, tmp_path / "in", tmp_path)
+        got = run(rocks, tmp_path / "in", tmp_path, stretch)
         assert got == brute(records[: low + 50], 60 * SECOND)
-    again = run(rocks, tmp_path / "in", tmp_path)
+    again = run(rocks, tmp_path / "in", tmp_path, stretch)
     assert again == got
 
 
