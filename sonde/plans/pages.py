@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonde.functions import answers
-from sonde.operators import routing, splitting, text
+from sonde.operators import checking, reports, routing, splitting, text
 from sonde.plans.catalog import query, table
 
 HEADS = (
@@ -136,3 +136,44 @@ def q72_answers(spark: SparkSession, sf: str) -> DataFrame:
     said = F.to_json(F.struct(F.length("text").alias("size"), F.when(F.col("turn") % 2 == 0, F.col("role")).alias("role"), boxed.alias("text")), {"ignoreNullFields": "false"})
     rows = answers.wrapped_values(t.select("conv_id", "turn", "role", F.concat(F.lit("Here it is: "), said, F.lit(" and no more.")).alias("answer")), ["conv_id", "turn", "role"], "answer")
     return rows.select("conv_id", "turn", "role", "key", "value", "about", "filled_by", "question", "certainty")
+
+
+_STEPS = """f as (select l_orderkey, l_linenumber, 'Pressure_' || lpad((l_linenumber + 4)::varchar, 2, '0') as key, (l_quantity::int % 5 + l_linenumber + 3)::varchar || '.0' as value from lineitem
+ union all select l_orderkey, l_linenumber, 'Pr' || lpad((l_linenumber + 4)::varchar, 2, '0') || '_snoring', case l_returnflag when 'A' then '--' when 'N' then ' Loud ' end from lineitem
+ union all select l_orderkey, l_linenumber, 'Pr' || lpad((l_linenumber + 4)::varchar, 2, '0') || '_stage', lower(l_linestatus) || ' , N2' from lineitem)"""
+
+
+@query(f"""with {_STEPS} select l_orderkey, l_linenumber, key, case when key like 'Pressure%' and value::double::int <> l_linenumber + 4 then 'cpap_pressure_value_mismatch' when key like '%snoring' and value = '--' then 'cpap_placeholder_blank' end as reason,
+case when key like 'Pressure%' then value::double::int::varchar when key like '%snoring' then case when value <> '--' then 'loud' end else lower(replace(value, ' ', '')) end as value from f""")
+def q73_step_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Pressure facts: steps that must be their own, dashes that aren't a snoring, and values in their usual form."""
+    n = F.lpad((F.col("l_linenumber") + 4).cast("string"), 2, "0")
+    loud = F.when(F.col("l_returnflag") == "A", "--").when(F.col("l_returnflag") == "N", " Loud ")
+    own = F.array(
+        F.struct(F.concat(F.lit("Pressure_"), n).alias("key"), F.concat((F.col("l_quantity").cast("int") % 5 + F.col("l_linenumber") + 3).cast("string"), F.lit(".0")).alias("value")),
+        F.struct(F.concat(F.lit("Pr"), n, F.lit("_snoring")).alias("key"), loud.alias("value")), F.struct(F.concat(F.lit("Pr"), n, F.lit("_stage")).alias("key"), F.concat(F.lower("l_linestatus"), F.lit(" , N2")).alias("value")))
+    rows = checking.guarded(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.inline(own)), "key", "value")
+    return rows.withColumn("value", checking.step_value(F.col("key"), F.col("value")))
+
+
+@query("""with o as (select o_orderkey, year(o_orderdate) as y, o_orderkey % 4 as k, strftime(o_orderdate, '%Y%m%d') as day from orders)
+select o_orderkey, case when k = 3 then 'none' else 'P' || case k when 0 then y::varchar when 1 then y::varchar else lpad((y % 100 + 1)::varchar, 2, '0') end || '-' || o_orderkey end as number from o""")
+def q74_study_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of studies as they are written: with the year, its last two digits, other two digits, or without one."""
+    y, k = F.year("o_orderdate"), F.col("o_orderkey") % 4
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    said = F.when(k == 0, F.concat(F.lit("p"), y.cast("string"), F.lit(" / 00"), "o_orderkey")).when(k == 1, F.concat(two(y % 100), F.lit("-"), "o_orderkey")).when(k == 2, F.concat(F.lit("P"), two(y % 100 + 1), F.lit("-"), "o_orderkey")).otherwise("none")
+    rows = table(spark, sf, "orders").select("o_orderkey", said.alias("said"), F.date_format("o_orderdate", "yyyyMMdd").alias("day"))
+    return rows.select("o_orderkey", checking.study_number("said", "day").alias("number"))
+
+
+@query("""with o as (select o_custkey, o_orderkey, o_orderkey % 25 + 5 as step, left(o_orderstatus, 1) as stage, o_orderkey % 90 as minutes from orders),
+r as (select *, row_number() over (partition by o_custkey, step order by o_orderkey desc) as k from o)
+select o_custkey, step::int as step, minutes::double as minutes, stage, (o_orderkey % 7)::double as ahi, 'soft & low' as snoring from r where k = 1""")
+def q75_titration(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of titration for each customer, a row for each order; of rows with one step the last counts."""
+    k = F.col("o_orderkey")
+    words = [(k % 25 + 5).cast("string"), (k % 90).cast("string"), F.lit("Supine"), F.substring("o_orderstatus", 1, 1), (k % 7).cast("string"), F.lit("1"), F.lit("2"), F.lit("3"), F.lit("soft & low"), F.lit("90"), F.lit("0"), F.lit("1"), F.lit("2")]
+    rows = table(spark, sf, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(k, F.concat_ws(" ", *words).alias("line")))).alias("lines"))
+    page = F.concat(F.lit("Nasal CPAP titration\nArousal Resp. Spon. x\n"), F.array_join(F.transform("lines", lambda x: x["line"]), "\r\n"), F.lit("\n"))
+    return reports.titration(rows.select("o_custkey", page.alias("text")), "o_custkey", "text").select("o_custkey", "step", "minutes", "stage", "ahi", "snoring")
