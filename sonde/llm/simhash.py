@@ -500,19 +500,20 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
     then against the most alike that the checked pairs have not joined it with, a few at a time, at last against all such.
 
     The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text
-    key; of rows that repeat both, any one. Null and empty texts are copies of each other.
+    key; of rows that repeat both, any one. Null and empty texts are copies of each other. Texts are told apart by 128 bits of hash.
     """
     names = docs.columns
     own = [f"__c{i}" for i in range(len(names))]  # extra columns may have any name
     text = F.col(own[names.index("text")]).cast("string")
-    rows = docs.toDF(*own).withColumns({"node": text_key(text), "id": F.col(own[names.index("doc_id")]).cast("long")})
-    first = F.row_number().over(Window.partitionBy("node").orderBy(F.col("id").asc_nulls_last()))
-    # whole texts move once, to one row for each different text; map tasks first drop their own copies
-    nodes = stored(rows.withColumn("__n", first).where("`__n` = 1").drop("__n"), "near-texts")
+    other = F.xxhash64(F.lit(1), F.coalesce(text, F.lit("")))
+    rows = docs.toDF(*own).withColumns({"key": text_key(text), "other": other, "id": F.col(own[names.index("doc_id")]).cast("long")})
+    first = F.row_number().over(Window.partitionBy("key", "other").orderBy(F.col("id").asc_nulls_last()))
+    # whole texts move once, to one row for each different text; map tasks first drop their own copies. Nodes are numbered as they are stored
+    nodes = stored(rows.withColumn("__n", first).where("`__n` = 1").drop("__n").withColumn("node", F.monotonically_increasing_id()), "near-texts")
     texts = nodes.select("node", text.alias("text"))
 
     share = -(-nodes.count() // COUNTED)
-    common = common_shingles(texts.where(F.pmod("node", F.lit(max(1, share))) == 0), words)
+    common = common_shingles(nodes.where(F.pmod("key", F.lit(max(1, share))) == 0).select("node", text.alias("text")), words)
     lists = stored(listed(prefixes(texts, words, common, least), least), "near-lists")
     parity = stored(parities(texts, words), "near-parities")
     pairs = lists.where("not crowd and a <> b").select("a", "b").distinct()
@@ -527,8 +528,8 @@ def near_dedup(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame
             break
         found = stored(similar(rest, sets_of(texts, rest, words), least), "near-found")
         groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
-    place = F.struct(F.col("id").isNull().alias("no"), "id", "node")
-    stay = nodes.select("id", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("p")).select(F.col("p.node").alias("node"))
+    place = F.struct(F.col("id").isNull().alias("no"), "id", "key", "other", "node")
+    stay = nodes.select("id", "key", "other", "node").join(groups, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(place).alias("p")).select(F.col("p.node").alias("node"))
     return nodes.join(stay, "node", "left_semi").select(*own).toDF(*names)
 
 

@@ -390,6 +390,15 @@ def test_near_dedup_keeps_one(odd, docs):
         assert all((i is None, i or 0) == want[group[t or ""]] for i, t in got)
 
 
+def test_near_dedup_loses_no_text_whose_key_is_anothers(spark, monkeypatch):
+    """Different texts of one 64-bit key stay apart; copies and near copies are found as ever."""
+    monkeypatch.setattr(simhash, "text_key", lambda text: F.lit(7).cast("long"))
+    base = [" ".join(f"w{(k * 7919 + d * 104729) % 5003}" for k in range(60)) for d in range(5)]
+    rows = [*enumerate(base), (10, base[0]), (11, base[1] + " edit"), (12, None), (13, "")]
+    kept = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 12]
+
+
 def test_near_dedup_of_planted_copies(spark):
     base = [" ".join(f"w{(k * 7919 + d * 104729) % 5003}" for k in range(300)) for d in range(40)]
     rows = [(d, t) for d, t in enumerate(base)]
