@@ -1,3 +1,4 @@
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,20 @@ def test_ranges(spark):
     assert intervals.normalise(spark.createDataFrame([(5, 2), (0, 3), (None, 1)], "lo int, hi int"), "lo", "hi").collect() == [(2, 5)]
 
 
+def test_coalesce_of_equal_ranges(spark):
+    """Equal ranges that begin an island don't reach the one before, whatever their order."""
+    rng = random.Random(5)
+    rows = [(k, lo, lo + rng.randrange(4)) for k in range(40) for lo in (rng.randrange(60) for _ in range(8)) for _ in range(rng.randrange(1, 4))]
+    rows += [(k, lo, hi) for k, lo, hi in rows if rng.random() < 0.5]
+    want = set()
+    for k in range(40):
+        days = sorted({d for g, lo, hi in rows if g == k for d in range(lo, hi + 1)})
+        runs = [d for i, d in enumerate(days) if not i or days[i - 1] + 1 < d], [d for i, d in enumerate(days) if i + 1 == len(days) or days[i + 1] > d + 1]
+        want |= {(k, a, b) for a, b in zip(*runs, strict=True)}
+    got = [tuple(r) for r in intervals.coalesce_ranges(spark.createDataFrame(rows, "k int, lo int, hi int").repartition(7), ["k"], "lo", "hi").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_majority_modes(spark):
     facts = spark.createDataFrame(
         [("single", "a", 1.0), ("majority", "a", 0.0), ("majority", "a", 0.0), ("majority", "b", 9.0), ("certainty", "a", 1.0), ("certainty", "b", 2.0), ("pending", "a", 2.0), ("pending", "b", 2.0), ("none", "a", None), ("none", "b", None)],
