@@ -88,9 +88,17 @@ def checked(facts: DataFrame, dictionary: DataFrame, mode: str | None = None, mi
     numeric range; any number; text. With midpoints a range is taken at its middle, or its severe end where the key means a
     degree; without, at its first number, as in the source. `dictionary` is a table of fixed size.
     """
+    # what depends on the dictionary alone is found once an entry; what several checks need of a value is found once a row
     d = dictionary.select(F.col("key").alias("__k"), F.coalesce("description", F.lit("")).alias("__d"), F.coalesce("format", F.lit("")).alias("__f"), F.col("options").alias("__o"))
-    rows = facts.join(d, F.trim("key") == F.col("__k"), "left")
-    v, f, o = S.normalise_value("value"), F.col("__f"), F.col("__o")
+    low, high = format_range(F.col("__f"))
+    d = d.withColumns({
+        "__optional": F.size(F.coalesce(F.map_keys("__o"), F.array().cast("array<string>"))) > 0, "__dated": F.contains(F.upper("__f"), F.lit("YYYYMMDD")),
+        "__choices": format_choices(F.col("__f")), "__low": low, "__high": high, "__numbers": format_numbers(F.col("__f")),
+    })
+    # a few keys hold most facts: the dictionary goes to them, they aren't shuffled by key
+    rows = facts.join(F.broadcast(d), F.trim("key") == F.col("__k"), "left").withColumn("__v", S.normalise_value("value"))
+    v, o, optional, dated, choices, low, high = map(F.col, ("__v", "__o", "__optional", "__dated", "__choices", "__low", "__high"))
+    ranged = ~optional & ~dated & choices.isNull() & low.isNotNull()
     lo, hi = any_range(v)
     code = F.when(v.rlike(r"^-?\d+(?:\.0+)?$"), v.try_cast("double").cast("long"))
     has = lambda c: F.coalesce(F.map_contains_key(o, c.cast("string")), F.lit(False))
@@ -98,28 +106,29 @@ def checked(facts: DataFrame, dictionary: DataFrame, mode: str | None = None, mi
     hit = F.filter(F.map_entries(o), lambda e: (S.option_label(e["value"]) == label) | F.contains(S.option_label(e["value"]), label) | F.contains(label, S.option_label(e["value"])))
     coded = F.coalesce(
         F.when(has(code), code), F.when(has(F.rint(hi).cast("long")), F.rint(hi).cast("long")), F.when(has(F.rint(lo).cast("long")), F.rint(lo).cast("long")),
-        F.when(F.array_contains(format_numbers(f), code), code), F.when(F.size(hit) > 0, F.try_element_at(hit, F.lit(1))["key"].try_cast("long")),
+        F.when(F.array_contains("__numbers", code), code), F.when(F.size(hit) > 0, F.try_element_at(hit, F.lit(1))["key"].try_cast("long")),
     ).cast("string")
-    optional = F.size(F.coalesce(F.map_keys(o), F.array().cast("array<string>"))) > 0
-    dated = F.contains(F.upper(f), F.lit("YYYYMMDD"))
-    choices = format_choices(f)
-    low, high = format_range(f)
     words = F.lower(F.concat_ws(" ", "key", "__d"))
     named = lambda some: reduce(Column.__or__, [F.contains(words, F.lit(w)) for w in some])
     middle = F.when(named(TIMES) | ~named(DEGREES), (lo + hi) / 2).otherwise(hi)
-    x = F.coalesce(F.when(F.lit(midpoints), middle), S.found(F.replace(v, F.lit(","), F.lit("")), r"(-?\d+(?:\.\d+)?)").try_cast("double"))
+    found = F.coalesce(F.when(F.lit(midpoints), middle), S.found(F.replace(v, F.lit(","), F.lit("")), r"(-?\d+(?:\.\d+)?)").try_cast("double"))
+    rows = rows.withColumns({
+        "__coded": F.when(optional, coded), "__date": F.when(~optional & dated, S.valid_date(v)), "__x": F.when(ranged, found),
+        "__chosen": F.when(~optional & ~dated & F.array_contains(choices, F.upper(v)), F.upper(v)),
+    })
+    coded, date, x, chosen = map(F.col, ("__coded", "__date", "__x", "__chosen"))
     single = F.col("key").rlike(rf"^(?:{'|'.join(WEEK_BASES)})_(?:HH|MM)$")
     doubled = F.col("key").rlike(rf"^(?:{'|'.join(WEEK_BASES)})_.*_(?:week|free)$") | F.col("key").rlike(rf"^(?:{'|'.join(WEEK_BASES)})_(?:week|free)$")
     m = F.col(mode) if mode else F.lit(None).cast("string")
-    chosen = F.when(F.array_contains(choices, F.upper(v)), F.upper(v))
     reason = ordered([
         (F.col("__k").isNull(), "unknown_key"), ((m == "weekfree") & single, "psqi_single_variant_disallowed_by_ocr"), ((m == "single") & doubled, "psqi_weekfree_variant_disallowed_by_ocr"), (v.isNull(), "empty"),
-        (v.rlike(r"^[\[{]"), "non_scalar"), (optional & coded.isNull(), "invalid_option"), (~optional & dated & S.valid_date(v).isNull(), "invalid_date"), (~optional & ~dated & choices.isNotNull() & chosen.isNull(), "invalid_choice"),
-        (~optional & ~dated & choices.isNull() & low.isNotNull() & x.isNull(), "not_numeric"), (~optional & ~dated & choices.isNull() & low.isNotNull() & ~x.between(low, high), "out_of_range"),
+        (v.rlike(r"^[\[{]"), "non_scalar"), (optional & coded.isNull(), "invalid_option"), (~optional & dated & date.isNull(), "invalid_date"), (~optional & ~dated & choices.isNotNull() & chosen.isNull(), "invalid_choice"),
+        (ranged & x.isNull(), "not_numeric"), (ranged & ~x.between(low, high), "out_of_range"),
     ], None)
-    number = F.when(F.replace(v, F.lit(","), F.lit("")).rlike(r"^-?\d+(?:\.\d+)?$"), plain_number(F.replace(v, F.lit(","), F.lit("")).try_cast("double")))
-    normal = ordered([(optional, coded), (dated, S.valid_date(v)), (choices.isNotNull(), chosen), (low.isNotNull(), plain_number(x))], F.coalesce(number, v))
-    return rows.withColumns({"reason": reason}).withColumn("valid", F.when(F.col("reason").isNull(), normal)).drop("__k", "__d", "__f", "__o")
+    plain = F.replace(v, F.lit(","), F.lit(""))
+    number = F.when(plain.rlike(r"^-?\d+(?:\.\d+)?$"), plain_number(plain.try_cast("double")))
+    normal = ordered([(optional, coded), (dated, date), (choices.isNotNull(), chosen), (low.isNotNull(), plain_number(x))], F.coalesce(number, v))
+    return rows.withColumn("reason", reason).withColumn("valid", F.when(F.col("reason").isNull(), normal)).select(*facts.columns, "reason", "valid")
 
 
 def dates(text: Column) -> Column:

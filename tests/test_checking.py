@@ -136,3 +136,14 @@ def test_limits(spark):
     assert got[0]["limit_requests"] == 60.0
     last = answers.last_by_key(spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, n int, v string"), "k", ["n"])
     assert {r["k"]: r["v"] for r in last.collect()} == {"a": "y", "b": "z"}
+
+
+def test_dictionary_goes_to_the_facts(spark):
+    """A dictionary is small and a few keys hold most facts, so facts aren't dealt by key; each value is brought to its form once a row."""
+    facts = spark.range(1000).selectExpr("case when id % 10 < 9 then 'n' else 'c' end as key", "id % 50 as value").selectExpr("key", "cast(value as string) as value")
+    dictionary = spark.createDataFrame([("n", "", "5-40", {}), ("c", "", "", {"1": "one"})], "key string, description string, format string, options map<string,string>")
+    rows = C.checked(facts, dictionary)
+    assert rows.columns == ["key", "value", "reason", "valid"]
+    assert {(r["reason"], r["count"]) for r in rows.groupBy("reason").count().collect()} == {(None, 640), ("out_of_range", 260), ("invalid_option", 100)}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
