@@ -37,13 +37,18 @@ def subtract_ranges(df: DataFrame, minus: DataFrame, keys: list[str], lo: str, h
     return coalesce_ranges(left, keys, lo, hi)
 
 
-def uncovered(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, lo: str, hi: str) -> DataFrame:
-    """The rows of `points` that no (coalesced) range covers: the last range that starts at or before decides."""
+def marked(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, lo: str, hi: str, name: str) -> DataFrame:
+    """`points` with `name`: whether a range holds the point. The furthest end of the ranges that start at or before it decides."""
     marks = points.withColumn("__hi", F.lit(None).cast("long")).withColumn("__kind", F.lit(1))
     starts = ranges.select(*keys, F.col(lo).alias(at), F.col(hi).cast("long").alias("__hi"), F.lit(0).alias("__kind"))
     w = Window.partitionBy(*keys).orderBy(at, "__kind").rowsBetween(Window.unboundedPreceding, 0)
-    both = marks.unionByName(starts, allowMissingColumns=True).withColumn("__last", F.max("__hi").over(w))
-    return both.where((F.col("__kind") == 1) & (F.col("__last").isNull() | (F.col("__last") < F.col(at)))).drop("__hi", "__kind", "__last")
+    both = marks.unionByName(starts, allowMissingColumns=True).withColumn(name, F.coalesce(F.max("__hi").over(w) >= F.col(at), F.lit(False)))
+    return both.where("__kind = 1").drop("__hi", "__kind")
+
+
+def uncovered(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, lo: str, hi: str) -> DataFrame:
+    """The rows of `points` that no range covers."""
+    return marked(points, ranges, keys, at, lo, hi, "__in").where("not `__in`").drop("__in")
 
 
 def islands(df: DataFrame, keys: list[str], at: str) -> DataFrame:

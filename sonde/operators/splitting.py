@@ -165,11 +165,10 @@ def _union(parts: tuple[DataFrame, ...], keys: list[str]) -> DataFrame:
     return out
 
 
-def leftover(lines: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (keys, lo, hi): runs of informative lines that no range covers."""
-    whole = intervals.coalesce_ranges(ranges, keys, "lo", "hi")
-    points = lines.where(informative("line")).select(*keys, "line_no")
-    return intervals.islands(intervals.uncovered(points, whole, keys, "line_no", "lo", "hi"), keys, "line_no").select(*keys, F.col("start").alias("lo"), F.col("end").alias("hi"))
+def leftover(lines: DataFrame, ranges: DataFrame, keys: list[str], weighty: Column | None = None) -> DataFrame:
+    """Rows (keys, lo, hi): runs of informative lines (or of those that `weighty` holds for) that no range covers."""
+    points = lines.where(informative("line") if weighty is None else weighty).select(*keys, "line_no")
+    return intervals.islands(intervals.uncovered(points, ranges, keys, "line_no", "lo", "hi"), keys, "line_no").select(*keys, F.col("start").alias("lo"), F.col("end").alias("hi"))
 
 
 def text_of(lines: DataFrame, ranges: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
@@ -196,16 +195,17 @@ def best_categories(lines: DataFrame, spans: DataFrame, keys: list[str]) -> Data
     return texts.select(*keys, "lo", "hi", best["n"].alias("category"))
 
 
-def coverage(lines: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (keys, informative, covered, share, outside, valid): how much the ranges cover, and whether any leaves the document."""
-    last = lines.groupBy(*keys).agg(F.max("line_no").alias("__last"), F.count_if(informative("line")).alias("informative"))
-    left = leftover(lines, ranges, keys).groupBy(*keys).agg(F.sum(F.col("hi") - F.col("lo") + 1).alias("__left"))
+def coverage(lines: DataFrame, ranges: DataFrame, keys: list[str], weighty: Column | None = None) -> DataFrame:
+    """Rows (keys, informative, covered, share, outside, valid): how many informative lines (or of those that `weighty` holds for) the ranges
+    cover, and whether any range leaves the document. Lines are counted one by one, so lines of a number that repeats all count."""
+    w = informative("line") if weighty is None else weighty
+    points = lines.select(*keys, "line_no", F.coalesce(w, F.lit(False)).alias("__w"))
+    marked = intervals.marked(points, ranges, keys, "line_no", "lo", "hi", "__in")
+    last = marked.groupBy(*keys).agg(F.max("line_no").alias("__last"), F.count_if("__w").alias("informative"), F.count_if(F.col("__w") & F.col("__in")).alias("covered"))
     out = ranges.join(last, keys).groupBy(*keys).agg(F.count_if((F.col("lo") < 1) | (F.col("hi") > F.col("__last"))).alias("outside"))
-    rows = last.join(left, keys, "left").join(out, keys, "left")
-    covered = F.col("informative") - F.coalesce("__left", F.lit(0))
-    share = F.coalesce(F.try_divide(covered, F.col("informative")), F.lit(1.0))
+    share = F.coalesce(F.try_divide("covered", "informative"), F.lit(1.0))
     outside = F.coalesce("outside", F.lit(0))
-    return rows.select(*keys, "informative", covered.alias("covered"), share.alias("share"), outside.alias("outside"), ((outside == 0) & (share >= LEAST_COVERED)).alias("valid"))
+    return last.join(out, keys, "left").select(*keys, "informative", "covered", share.alias("share"), outside.alias("outside"), ((outside == 0) & (share >= LEAST_COVERED)).alias("valid"))
 
 
 def missing_lines(parts: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,3 +1,5 @@
+import __spark_entry__
+import compare
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,16 @@ def test_small_text_rules(spark):
     assert {r["category"]: r["text"].count("SOURCE") for r in splitting.pages_by_category(pages, "e", "p", "t", "c").collect()} == {"a": 2, "b": 1}
     rows = splitting.page_offsets(spark.createDataFrame([("e", 1, 3), ("e", 2, 2)], "e string, p int, n int"), ["e"], "p", "n").orderBy("p").collect()
     assert [(r["first"], r["last"]) for r in rows] == [(1, 3), (5, 6)]
+
+
+ODD_LINES = ("12 34\n3\xa04 \n\xa0　\n\x0b\n%&! 7\nwords here\npage 3\n·•\n", "a\rb\r\nc the d\r\n\n　1　\n(2)\n7 / 8\nthe end", "1\n2\n3", "", " the \n- 5 -\n5 6\n\xa0\n?\n", "x")
+
+
+@pytest.mark.parametrize("name", ["q14_line_table", "q20_leftover_coverage", "q69_split_coverage", "q70_split_leftover"])
+def test_queries_of_lines_on_odd_texts(spark, tmp_path, name):
+    """Lines of digits, of spaces of any kind, of decoration, other line breaks; ids that repeat."""
+    rows = [(i, t * k, "s") for i, (t, k) in enumerate((t, k) for k in (1, 3) for t in ODD_LINES)]
+    if name in ("q69_split_coverage", "q70_split_leftover"):
+        rows += [(i, t + "\nmore words\n5\n\nand more", "s") for i, t, _ in rows]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    compare.same(spark, __spark_entry__.queries()[name], __spark_entry__.oracle_sql()[name], str(tmp_path))
