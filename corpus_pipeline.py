@@ -20,8 +20,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by Jaccard similarity of five-word shingles."""
-    return simhash.near_dedup(docs, words=5)
+    """One document of each component of SimHash links, as op8 has them."""
+    return simhash.simhash_dedup(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

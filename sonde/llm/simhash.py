@@ -230,6 +230,27 @@ def simhash_components(docs: DataFrame, most: int = MOST, words: int = WORDS) ->
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def simhash_dedup(docs: DataFrame, most: int = MOST, words: int = WORDS) -> DataFrame:
+    """The rows of `docs`, columns unchanged, of which one of each component of linked fingerprints stays, as `simhash_components` joins them.
+
+    The row with the smallest doc_id stays, null ids last; of rows that repeat an id, the one with the smaller text key; of rows
+    that repeat both, any one. Null and empty texts have fingerprint zero. Texts are told apart by 128 bits of hash and move once, at last.
+    """
+    names = docs.columns
+    own = [f"__c{i}" for i in range(len(names))]  # extra columns may have any name
+    text = F.col(own[names.index("text")]).cast("string")
+    place = ["no", "id", "key", "other"]
+    ident = F.col(own[names.index("doc_id")]).cast("long")
+    at = {"no": ident.isNull(), "id": F.coalesce(ident, F.lit(0)), "key": text_key(text), "other": F.xxhash64(F.lit(1), F.coalesce(text, F.lit("")))}
+    rows = docs.toDF(*own).withColumns(at)
+    prints = stored(fingerprints(rows.withColumn("text", text), words, tuple(place)), "simhash")
+    nodes = components(links(prints.select("fp").distinct(), most)).withColumnRenamed("node", "fp")
+    least = prints.groupBy("fp").agg(F.min(F.struct(*place)).alias("p"))
+    stay = least.join(nodes, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("p").alias("p")).select("p.*")
+    first = F.row_number().over(Window.partitionBy(*place).orderBy(F.lit(0)))
+    return rows.join(stay, place, "left_semi").withColumn("__n", first).where("`__n` = 1").select(*own).toDF(*names)
+
+
 def shingles(text: str | None, words: int) -> np.ndarray:
     """64-bit hashes of the different word shingles of a text; without a word, of one empty shingle."""
     own = (text or "").encode().translate(LOWER).split()

@@ -358,6 +358,26 @@ def test_components_of_a_chain(spark):
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
 
 
+def test_near_stage_keeps_one_of_each_component(spark, odd, docs):
+    """The pipeline's near copies are the components of op8: each keeps its first row, whole and unchanged."""
+    for d in (odd, docs):
+        kept = corpus_pipeline.near_stage(spark, d, SF)
+        assert kept.columns == d.columns
+        rows = [(r["doc_id"], r["text"]) for r in d.select("doc_id", "text").collect()]
+        prints = [simhash.fingerprint((t or "").encode()) for _, t in rows]
+        root = {fp: fp for fp in prints}
+        for a in list(root):
+            for b in list(root):
+                if (a ^ b).bit_count() <= 4 and root[a] != root[b]:
+                    old, new = root[a], root[b]
+                    root = {fp: new if r == old else r for fp, r in root.items()}
+        first: dict = {}
+        for (i, _), fp in zip(rows, prints, strict=True):
+            first[root[fp]] = min(first.get(root[fp], (True, 0)), (i is None, i or 0))
+        got = [(r["doc_id"], root[simhash.fingerprint((r["text"] or "").encode())]) for r in kept.select("doc_id", "text").collect()]
+        assert sorted((g, i is None, i or 0) for i, g in got) == sorted((g, *p) for g, p in first.items())
+
+
 def near_groups(rows, words=5, least=0.8):
     """Brute force: the components of all pairs of texts whose shingles are similar."""
     def own(t):
