@@ -169,3 +169,17 @@ def test_names(spark):
     assert [tuple(r) for r in said.select(route, confidence).collect()] == [(general, "high"), ("r1", "low"), (night, "low")]
     shown = spark.createDataFrame([("a\nNight Polysomnography Report",), (" NIGHT POLYSOMNOGRAPHY REPORT x",), ("b",), (None,)], "t string").select(routing.router_text("t")).collect()
     assert [r[0] for r in shown] == ["NIGHT POLYSOMNOGRAPHY REPORT\na\nNight Polysomnography Report", " NIGHT POLYSOMNOGRAPHY REPORT x", "b", ""]
+
+
+def test_near_classes_have_all_pairs_of_near_pairs(spark):
+    """Every pair at most one bit apart is told by classes and their links, also where very many rows share a hash."""
+    rng = random.Random(3)
+    hashes = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(10)]
+    hashes += [x ^ -(1 << 63) if k == 63 else x ^ (1 << k) for x in hashes for k in (0, 5, 62, 63)] + [0, -1]
+    rows = [(i, rng.choice(hashes) if i % 3 else hashes[0]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, bits long")
+    want = {(r["a"], r["b"]) for r in evaluate.near_pairs(df, "id", "bits", 1).collect()}
+    got = {r["id"]: r for r in evaluate.near_classes(df, "id", "bits").collect()}
+    near = {i: {r["class_id"], *map(int, (r["near"] or "").split(",") if r["near"] else ())} for i, r in got.items()}
+    assert {(a, b) for a in got for b in got if a < b and got[b]["class_id"] in near[a]} == want
+    assert {i: r["links"] for i, r in got.items()} == {i: sum(i in p for p in want) for i, _ in rows}
