@@ -145,3 +145,12 @@ def test_queries_of_lines_on_odd_texts(spark, tmp_path, name):
         rows += [(i, t + "\nmore words\n5\n\nand more", "s") for i, t, _ in rows]
     spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     compare.same(spark, __spark_entry__.queries()[name], __spark_entry__.oracle_sql()[name], str(tmp_path))
+
+
+def test_pairs_of_letters_on_odd_texts(spark, tmp_path):
+    """Runs of one letter, letters beside other characters, empty texts and single letters are counted as SQL counts them."""
+    texts = ["", "e", "ee", "eee", "eeeet tt", "eaaae eeéee", "the end, the ends.. ..", "x", None, "aabbaaa", " ".join(["eee ooo"] * 40)]
+    rows = [(i, t, "s") for i, t in enumerate(texts * 2)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("q33_near_dup", "q58_ordered_keep"):
+        compare.same(spark, __spark_entry__.queries()[name], __spark_entry__.oracle_sql()[name], str(tmp_path))
