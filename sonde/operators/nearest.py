@@ -12,9 +12,7 @@ the other entries, and only those that the rest could still lift are looked up i
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,10 +21,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD, BLOCK = 1 << 20, 64
-#: Distinct words whose grams a task remembers.
-WORDS = 50_000
-BLANKS = re.compile(r"[ \t\n\x0b\f\r]+")
+SHARD, BLOCK = 1 << 20, 96
+#: Bytes of texts whose words are cut together.
+CHUNK = 1 << 20
 
 
 def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -37,12 +34,14 @@ def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Entries (gram, block) in order of gram and block; entry e has the postings ends[e]:ends[e + 1] (number in the block, weight) and their highest weight."""
+    """Entries (block, gram) in order of block, in a block by what postings they spare for their bound; entry e has the postings ends[e]:ends[e + 1] (number in the block, weight) and their highest weight."""
 
     grams: dict[str, int]
     idf: np.ndarray
-    first: np.ndarray  # first entry of each gram, and the end
+    first: np.ndarray  # of each gram, where its entries begin in `entry`, and the end
+    entry: np.ndarray
     block: np.ndarray
+    gram: np.ndarray
     high: np.ndarray
     ends: np.ndarray
     place: np.ndarray
@@ -63,35 +62,35 @@ class Index:
         idf, home = np.zeros(len(names)), np.zeros(len(names), bool)
         idf[of] = np.asarray(flat["idf"].flatten(), float)
         home[of] = np.asarray(flat["home"].flatten()) == shard
-        order = np.lexsort((row, of))
+        order = np.lexsort((row, of, row // BLOCK))
         g, r, w = of[order], row[order], weight[order]
         new = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (r[1:] // BLOCK != r[:-1] // BLOCK)]) if len(g) else np.zeros(0, np.int64)
-        by_row = np.lexsort((of, row))
+        sizes, high = np.diff(np.r_[new, len(g)]), np.maximum.reduceat(w, new) if len(new) else w
+        spared = np.lexsort((idf[g[new]] * high / sizes, r[new] // BLOCK))
+        at = runs(new[spared], sizes[spared])
+        gram = g[new[spared]]
+        by_gram, by_row = np.argsort(gram, kind="stable"), np.lexsort((of, row))
         return cls(
-            {str(n): i for i, n in enumerate(names)}, idf, np.searchsorted(g[new], np.arange(len(names) + 1)), r[new] // BLOCK, np.maximum.reduceat(w, new) if len(new) else w,
-            np.r_[new, len(g)], r % BLOCK, w, np.r_[0, np.cumsum(lengths)], of[by_row], weight[by_row], home,
+            {str(n): i for i, n in enumerate(names)}, idf, np.searchsorted(gram[by_gram], np.arange(len(names) + 1)), by_gram, r[new[spared]] // BLOCK, gram, high[spared],
+            np.r_[0, np.cumsum(sizes[spared])], r[at] % BLOCK, w[at], np.r_[0, np.cumsum(lengths)], of[by_row], weight[by_row], home,
         )
 
     def best(self, text: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray, int]:
         """Numbers and scores of the k rows with the highest products with `text` (a weight for each gram), of those within `slack` of the last too, and how many postings were read."""
         own = np.flatnonzero(text)
-        entries = runs(self.first[own], self.first[own + 1] - self.first[own])
-        bounds = np.repeat(text[own], self.first[own + 1] - self.first[own]) * self.high[entries]
-        gain = np.repeat(text[own], self.first[own + 1] - self.first[own])
-        by_block = np.argsort(self.block[entries], kind="stable")
-        entries, bounds, gain = entries[by_block], bounds[by_block], gain[by_block]
-        starts = np.flatnonzero(np.r_[True, np.diff(self.block[entries]) > 0]) if len(entries) else np.zeros(0, np.int64)
-        stops = np.r_[starts[1:], len(entries)]
+        entries = np.sort(self.entry[runs(self.first[own], self.first[own + 1] - self.first[own])])
+        gain = text[self.gram[entries]]
+        bounds = gain * self.high[entries]
+        starts = np.append(0, np.flatnonzero(np.diff(self.block[entries])) + 1)[: len(entries)]
+        stops = np.append(starts[1:], len(entries))
         most = np.add.reduceat(bounds, starts) if len(starts) else bounds
         found, scores, worst, read = [], np.zeros(0), 0.0, 0
         for b in np.argsort(-most, kind="stable"):
             if most[b] < worst - slack:
                 break
-            part = slice(starts[b], stops[b])
-            order = np.argsort(bounds[part], kind="stable")
-            upto = np.cumsum(bounds[part][order])
+            e, t = entries[starts[b] : stops[b]], gain[starts[b] : stops[b]]
+            upto = np.cumsum(bounds[starts[b] : stops[b]])
             cut = int(np.searchsorted(upto, worst - slack))  # entries before it are non-essential
-            e, t = entries[part][order], gain[part][order]
             sums = np.zeros(BLOCK)
             read += self._add(sums, e[cut:], t[cut:], None)
             able = sums > 0
@@ -102,7 +101,7 @@ class Index:
                 read += self._add(sums, e[:cut], t[:cut], able)
             rows = np.flatnonzero(able & (sums >= worst - slack))
             found.append(rows + self.block[e[0]] * BLOCK)
-            scores = np.r_[scores, sums[rows]]
+            scores = np.concatenate((scores, sums[rows]))
             if len(scores) >= k:
                 worst = max(worst, float(np.partition(scores, -k)[-k]))
         rows = np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -120,18 +119,66 @@ class Index:
         return len(place)
 
 
-def cuts(word: str, low: int, high: int) -> list[str]:
-    word = f" {word} "
-    return [word[i : i + n] for n in range(low, high + 1) for i in range(len(word) - n + 1)]
-
-
-def longest(words: Counter[str], sizes: tuple[int, int]) -> float:
-    """The length of the counts of all grams of a text, known or not."""
-    all_of: Counter[str] = Counter()
-    for word, n in words.items():
-        for g in cuts(word, *sizes):
-            all_of[g] += n
-    return math.sqrt(sum(n * n for n in all_of.values()))
+class Cutter:
+    """Finds known grams in many words at once, by a trie over characters: on each level, the edges (node, character) as sorted numbers."""
+
+    def __init__(self, grams: dict[str, int], sizes: tuple[int, int]) -> None:
+        grams = {g: i for g, i in grams.items() if sizes[0] <= len(g) <= sizes[1] and " " not in g[1:-1]}
+        self.sizes = sizes
+        letters = sorted({c for g in grams for c in g})
+        self.code = np.zeros(0x110000, np.int32)  # 0: in no gram
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.wide = len(letters) + 1
+        nodes = {c: i for i, c in enumerate(letters, 1)}
+        at = dict(nodes)
+        self.levels = [(np.arange(self.wide), np.array([-1, *[grams.get(c, -1) for c in letters]]))]
+        for n in range(2, sizes[1] + 1):
+            edges = sorted((at[h[:-1]] * self.wide + nodes[h[-1]], h) for h in {g[:n] for g in grams if len(g) >= n})
+            at = {h: i for i, (_, h) in enumerate(edges)}
+            self.levels.append((np.array([e for e, _ in edges], np.int64), np.array([grams.get(h, -1) for _, h in edges], np.int64)))
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The known grams of all words, a space on either side, one word after another, and where each word's begin, with the end. No word is empty or has a space."""
+        line = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+        word = np.cumsum(line == 32)[:-1] - 1  # of the gram that begins here
+        code = np.append(self.code[line], np.zeros(self.sizes[1], np.int32))
+        at = np.flatnonzero(code[: len(word)])
+        node = code[at].astype(np.int64)
+        owner, gram = [], []
+        for n, (edge, own) in enumerate(self.levels, 1):
+            if n > 1 and len(edge):
+                key = node * self.wide + code[at + n - 1]
+                i = np.minimum(np.searchsorted(edge, key), len(edge) - 1)
+                known = np.flatnonzero(edge[i] == key)
+                at, node = at[known], i[known]
+            elif n > 1:
+                break
+            if n >= self.sizes[0]:
+                found = own[node]
+                owner.append(word[at[found >= 0]])
+                gram.append(found[found >= 0])
+        owner, gram = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (owner, gram))
+        return gram[np.argsort(owner, kind="stable")].astype(np.int32), np.append(0, np.cumsum(np.bincount(owner, minlength=len(words))))
+
+
+def counted(texts: pa.Array, cutter: Cutter, most: int = CHUNK) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Of each text with a word: its place, its known grams, as often as they occur, and how many grams it has, known or not. Texts are cut together, up to `most` bytes."""
+    upto = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + most, "right")))
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.slice(begin, end - begin), ""))
+        flat = split.flatten()
+        real = np.asarray(pc.binary_length(flat)) > 0
+        ends = np.append(0, np.cumsum(real))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(split))))]
+        named = flat.filter(pa.array(real)).dictionary_encode()
+        number, lengths = np.asarray(named.indices), np.asarray(pc.utf8_length(named.dictionary), np.int64)
+        gram, first = cutter.of(named.dictionary.to_pylist())
+        every = sum(np.maximum(0, lengths + 3 - n) for n in range(cutter.sizes[0], cutter.sizes[1] + 1))
+        for i in np.flatnonzero(np.diff(ends)):
+            own = number[ends[i] : ends[i + 1]]
+            yield begin + int(i), gram[runs(first[own], first[own + 1] - first[own])], int(every[own].sum())
+        begin = end
 
 
 def weighed(rows: DataFrame, row: str, text: str, grams: Callable, shards: int) -> DataFrame:
@@ -163,29 +210,16 @@ def alike(queries: DataFrame, query: str, query_text: str, rows: DataFrame, row:
         names = part.column("row").to_pylist()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index, known = Index.of(part, number), {}
-            top = float(index.idf.max()) if len(index.idf) else 0.0
-
-            def of(word: str) -> np.ndarray:
-                if word not in known:
-                    if len(known) >= WORDS:
-                        known.clear()
-                    known[word] = np.array([index.grams[g] for g in cuts(word, *sizes) if g in index.grams], np.int64)
-                return known[word]
-
+            index = Index.of(part, number)
+            cutter, top = Cutter(index.grams, sizes), float(index.idf.max()) if len(index.idf) else 0.0
             for batch in batches:
-                out = []
-                for one, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    words = Counter(w for w in BLANKS.split(text or "") if w)
-                    if not words:
-                        continue
-                    ids = [of(w) for w in words]
-                    n = np.repeat(np.fromiter(words.values(), float, len(words)), [len(i) for i in ids])
-                    weights = np.bincount(np.concatenate(ids), n, len(index.idf)) * index.idf
-                    length = math.sqrt(float(weights @ weights)) if shards == 1 else top * longest(words, sizes)
+                out, ids = [], batch.column(0).to_pylist()
+                for i, own, every in counted(batch.column(1), cutter):
+                    weights = np.bincount(own, minlength=len(index.idf)) * index.idf
+                    length = math.sqrt(float(weights @ weights)) if shards == 1 else top * every  # that of the text, or more
                     found, scores, _ = index.best(weights, k, length * 2 * 10.0**-places)
-                    out.append((one, None, float(weights[index.home] @ weights[index.home])))
-                    out += [(one, names[r], float(s)) for r, s in zip(found, scores, strict=True)]
+                    out.append((ids[i], None, float(weights[index.home] @ weights[index.home])))
+                    out += [(ids[i], names[r], float(s)) for r, s in zip(found, scores, strict=True)]
                 columns = list(zip(*out, strict=True)) or [[], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], types[0]), pa.array(columns[1], types[1]), pa.array(columns[2], pa.float64())], names=["query", "row", "dot"])
 

@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -75,3 +78,27 @@ def test_forced_keys_come_in_order_of_triggers(spark):
     rows = candidates.selected(pages, "p", "t", dictionary, 0).orderBy("place").collect()
     assert [r["key"] for r in rows] == ["Name", "AGE", "PSQI_02", "PSQI_01", "ESS_01", "RLS_1", "IRLS_1"]
     assert dictionary.where(F.col("key") == "Name").count() == 1
+
+
+def test_cutter_equals_slices():
+    """Grams of words of any script, with and without known neighbours, as often as Python's slices give them; texts with runs of blanks, none or no word."""
+    rng = np.random.default_rng(5)
+    letters = list("abcé수면\U0001f600 ")
+    texts = ["".join(rng.choice([*letters, " ", "\t", "\n", "\x0b"], rng.integers(0, 60))) for _ in range(200)] + [None, "", " \t ", "a", "  a  b "]
+    slices = lambda t: [w[i : i + n] for x in re.split(r"[ \t\n\x0b\f\r]+", t or "") if x for w in [f" {x} "] for n in range(2, 6) for i in range(len(w) - n + 1)]
+    everything = sorted({g for t in texts for g in slices(t)})
+    for known in (everything, everything[::3], []):
+        known = {g: i for i, g in enumerate(known)}
+        for most in (1, 100, 1 << 20):
+            found = {i: (Counter(own.tolist()), every) for i, own, every in nearest.counted(pa.array(texts, pa.string()), nearest.Cutter(known, (2, 5)), most)}
+            assert found == {i: (Counter(known[g] for g in slices(t) if g in known), len(slices(t))) for i, t in enumerate(texts) if slices(t)}
+
+
+def test_words_are_cut_together(monkeypatch):
+    """A word is cut once a chunk of texts, however often it occurs, and no gram of a text is looked up in Python."""
+    cut = []
+    of = nearest.Cutter.of
+    monkeypatch.setattr(nearest.Cutter, "of", lambda self, words: cut.append(len(words)) or of(self, words))
+    texts = pa.array([f"sleep apnea {i}" for i in range(500)])
+    assert len(list(nearest.counted(texts, nearest.Cutter({"sle": 0}, (2, 5))))) == 500
+    assert cut == [502]
