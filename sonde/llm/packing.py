@@ -27,18 +27,17 @@ SIZE, END = 1024, 2
 GROUPS = 400
 SMALL = 128
 RANK_ROWS, MOST_BUCKETS = 1000, 65536
-MEMORY = 200_000
 
 
 class Encoder:
-    """Ids of the byte-level BPE tokenizer, with memory for what stands between two spaces.
+    """Ids of the byte-level BPE tokenizer.
 
-    A space between two other characters always begins a pre-token, so the ids of a text are those of its
-    space-separated parts. Parts are encoded through the ranks file, whose merges are the same; texts with other
-    scripts (whose character classes may differ between the libraries) or special strings go to the tokenizer itself.
+    Whole texts are encoded through the ranks file, whose merges are the same, one call a text; texts with other scripts
+    (whose character classes may differ between the libraries) or special strings go to the tokenizer itself. Nothing is
+    remembered between texts: most words that a memory would keep are rare, and it was slower. `memory` has no effect.
     """
 
-    def __init__(self, path: str, ranks: str | None, pattern: str | None, memory: int = MEMORY) -> None:
+    def __init__(self, path: str, ranks: str | None, pattern: str | None, memory: int = 0) -> None:
         import re
 
         from tokenizers import Tokenizer
@@ -46,7 +45,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.other = re.compile("[^\x00-ԯ‐-‧]")
-        self.memory, self.known, self.quick = memory, {}, None
+        self.quick = None
         if ranks:
             import base64
 
@@ -56,34 +55,10 @@ class Encoder:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.quick = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
-    def part(self, word: str) -> bytes | None:
-        """Ids of one part as little-endian 32-bit numbers; None where white space makes its context count."""
-        bare = word[1:] if word[:1] == " " else word
-        if not bare or bare[0].isspace() or bare[-1].isspace():
-            return None
-        return np.array(self.quick.encode_ordinary(word), "<u4").tobytes()
-
     def ids(self, text: str) -> bytes:
         if self.quick is None or self.other.search(text) or any(s in text for s in self.special):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        words = [first, *[" " + w for w in rest]]
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except (KeyError, TypeError):
-            pass
-        if len(known) > self.memory:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self.part(w)
-        parts = [known[w] for w in words]
-        if None in parts:
-            return np.array(self.quick.encode_ordinary(text), "<u4").tobytes()
-        return b"".join(parts)
+        return np.array(self.quick.encode_ordinary(text), "<u4").tobytes()
 
 
 def pieces(docs: DataFrame, size: int = SIZE, end: int = END, tokenizer: str | None = None, with_ids: bool = True, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -551,6 +551,19 @@ def test_quick_ids_equal_the_library():
         assert np.frombuffer(encoder.ids(t), "<u4").tolist() == encoder.library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_a_text_is_encoded_in_one_call():
+    """However many different words it has."""
+    import public_tokenizers as public
+
+    encoder = packing.Encoder(str(public.path("byte_bpe_50k.json")), str(public.path("byte_bpe_50k.tiktoken")), public.PATTERN)
+    calls, quick = [], encoder.quick
+    encoder.quick = type("Counting", (), {"encode_ordinary": lambda _, text: calls.append(text) or quick.encode_ordinary(text)})()
+    text = "".join(f"w{i} " for i in range(500)) + "\n the end"
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.ids(""), "<u4").tolist() == []
+    assert calls == [text, ""]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_piece_once(seed):
     rng = random.Random(seed)
