@@ -201,6 +201,17 @@ def test_suffix_dedup(spark, which, hot, batch, request):
     assert bag(suffix.suffix_dedup(d, hot=hot, batch=batch).collect()) == bag(brute_suffix(texts(d)))
 
 
+def test_suffix_dedup_of_planted_passages(spark):
+    rng = random.Random(6)
+    words = lambda n, k: " ".join("".join(rng.choices("abcdefghij", k=k)) for _ in range(n))
+    passages = [words(60, 7), words(60, 7), words(51, 6), ""]  # the third has over 50 words, but under 400 bytes
+    assert [len(p) for p in passages] == [479, 479, 356, 0]
+    rows = [(i, f"{words(70, 5)} {i}{passages[i % 4]}{i} {words(70, 8)}") for i in range(10)]
+    found = suffix.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    gone = {i: 479 if i % 4 < 2 else 0 for i, _ in rows}
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in found} == {(i, len(t), gone[i], int(gone[i] > 0)) for i, t in rows}
+
+
 @pytest.mark.parametrize("which", ["docs", "odd"])
 def test_mix(which, request):
     d = request.getfixturevalue(which)
