@@ -1,50 +1,31 @@
 """Keeping the first of what lies near each other, in order: a row stays unless a row before it that stays is near.
 
-That is the lexicographically first maximal independent set of the graph of near rows. It is found in rounds: rows that no undecided row
-before them is near to stay, what is near to them and after them goes, and both leave the graph. Only edges move, and each round's edges and
-rows that go are stored, so a round can be repeated. Rows with the same hash are one row of the graph, the first of them.
+That is the lexicographically first maximal independent set of the graph of near rows. Ranges of rows are decided one after another, each
+longer than all before it: rows near one that stayed before go, links are made of the others. A range's links are decided in rounds: rows that
+no undecided row before them is near to stay, what is near to them and after them goes, and both leave the graph. Only edges move, and each
+round's edges and rows that go are stored, so a round can be repeated. Rows with the same hash are one row of the graph, the first of them.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sonde.operators import hamming
 from sonde.session import stored
 
-#: Bits of the parts that a hash is cut into.
+#: A hash may differ in one bit less than it has parts of so many bits.
 PART = 32
-
-
-def distance(a: Column, b: Column) -> Column:
-    """How many bits of two hashes (arrays of long) differ."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
-
-
-def parts_of(hash_: Column, longs: int) -> list[Column]:
-    return [F.shiftrightunsigned(hash_[i], s).bitwiseAND(F.lit((1 << PART) - 1)) for i in range(longs) for s in range(0, 64, PART)]
+#: Rows decided in the first turn; each turn after it decides so many times what was decided before.
+START, GROWTH = 1 << 15, 4
 
 
 def edges(rows: DataFrame, group: str, ident: str, hash_: str, longs: int, most: int) -> DataFrame:
-    """Rows (group, a, b): of one group, a before b, hashes of `longs` numbers at most `most` bits apart; `rows` has each hash of a group once.
-
-    With n parts, n - most of them are equal in any such pair. Rows meet by sets of parts of that size (at most two, so that there aren't many),
-    and each pair is taken at the first set it has.
-    """
+    """Rows (group, a, b): of one group, a before b, hashes of `longs` numbers at most `most` bits apart; `rows` has each hash of a group once."""
     n = longs * 64 // PART
-    take = min(2, n - most)
-    if take < 1:
+    if most >= n:
         raise ValueError(f"at most {n - 1} bits of a hash of {64 * longs}")
-    sets = list(combinations(range(n), take))
-    own = parts_of(F.col(hash_), longs)
-    keyed = rows.select(group, F.col(ident).alias("i"), F.col(hash_).alias("h"), F.explode(F.array(*[F.struct(F.lit(k).alias("set"), F.array(*[own[p] for p in s]).alias("parts")) for k, s in enumerate(sets)])).alias("k"))
-    one, two = (keyed.select(group, "k", F.col("i").alias(i), F.col("h").alias(h)) for i, h in (("a", "x"), ("b", "y")))
-    equal = [p == q for p, q in zip(parts_of(F.col("x"), longs), parts_of(F.col("y"), longs), strict=True)]
-    first = F.coalesce(*[F.when(equal[s[0]] if take == 1 else equal[s[0]] & equal[s[1]], k) for k, s in enumerate(sets)])
-    met = one.join(two, [group, "k"]).where((F.col("a") < F.col("b")) & (distance(F.col("x"), F.col("y")) <= most) & (F.col("k.set") == first))
-    return met.select(group, "a", "b")
+    return hamming.met(rows, group, ident, hash_, longs, most, pairs=True)
 
 
 def gone(links: DataFrame, group: str) -> DataFrame:
@@ -64,6 +45,38 @@ def gone(links: DataFrame, group: str) -> DataFrame:
     return empty
 
 
+def decided(heads: DataFrame, group: str, ident: str, hash_: str, longs: int, most: int) -> DataFrame:
+    """Rows (group, ident, first) of those `heads` (group, ident, hash_), each hash of a group once, that go; first is the first that stays and is near.
+
+    Decided in turns by ranges of ident, each longer than all before: what is near a row that stayed in an earlier turn goes without more, so
+    links are made among the others of a turn only, and a crowd of near rows has few of them.
+    """
+    n = heads.count()
+    turns = max(1, -(-n // START))
+    placed = heads.select(group, ident, hash_, F.lit(0).alias("__turn"))
+    if turns > 1:
+        placed = stored(heads.select(group, ident, hash_).repartitionByRange(turns, ident).withColumn("__turn", F.spark_partition_id()), "firsts-placed")
+        turns = placed.agg(F.max("__turn")).first()[0] + 1
+    lo, hi, kept, out = 0, max(1, turns * START // max(n, 1)), None, []
+    while lo < turns:
+        new = placed.where((F.col("__turn") >= lo) & (F.col("__turn") < hi)).drop("__turn")
+        if kept is not None:
+            out.append(stored(hamming.met(kept, group, ident, hash_, longs, most, pairs=False, after=new).drop("many"), "firsts-near"))
+            new = stored(new.join(out[-1], [group, ident], "left_anti"), "firsts-open")
+        links = stored(edges(new, group, ident, hash_, longs, most), "firsts-edges")
+        goes = stored(gone(links, group), "firsts-all")
+        # the first of those that stay, for each row that goes
+        stays = links.join(goes.withColumnRenamed("node", "a"), [group, "a"], "left_anti").groupBy(group, F.col("b").alias(ident)).agg(F.min("a").alias("first"))
+        out.append(stored(goes.withColumnRenamed("node", ident).join(stays, [group, ident]), "firsts-went"))
+        more = stored(new.join(out[-1], [group, ident], "left_anti"), "firsts-kept")
+        kept = more if kept is None else kept.unionByName(more)
+        lo, hi = hi, hi * GROWTH
+    went = out[0]
+    for part in out[1:]:
+        went = went.unionByName(part)
+    return went
+
+
 def kept_in_order(rows: DataFrame, group: str, ident: str, hash_: str, longs: int, most: int, same: str | None = None) -> DataFrame:
     """Rows (group, ident, kept, reason, matched_with): in order of `ident`, a row goes if one before it that stays is at most `most` bits away; matched_with is the first such.
 
@@ -73,12 +86,9 @@ def kept_in_order(rows: DataFrame, group: str, ident: str, hash_: str, longs: in
     same = same or hash_
     have = rows.where(F.col(hash_).isNotNull()).select(group, ident, F.col(hash_).alias("__h"), F.col(same).alias("__same"))
     heads = stored(have.groupBy(group, "__h").agg(F.min(F.struct(F.col(ident), F.col("__same"))).alias("m")).select(group, "__h", F.col(f"m.{ident}").alias("__head"), F.col("m.__same").alias("__own")), "firsts-heads")
-    links = stored(edges(heads, group, "__head", "__h", longs, most), "firsts-edges")
-    goes = stored(gone(links, group), "firsts-all")
-    # the first of those that stay, for each head that goes; its checksum comes along
-    stays = links.join(goes, [links[group] == goes[group], links["a"] == goes["node"]], "left_anti").groupBy(group, F.col("b").alias("__head")).agg(F.min("a").alias("__for"))
-    of = goes.withColumnRenamed("node", "__head").join(stays, [group, "__head"])
-    of = of.join(heads.select(group, F.col("__head").alias("__for"), F.col("__own").alias("__their")), [group, "__for"])
+    goes = decided(heads, group, "__head", "__h", longs, most).withColumnRenamed("first", "__for")
+    # the checksum of the row it goes for comes along
+    of = goes.join(heads.select(group, F.col("__head").alias("__for"), F.col("__own").alias("__their")), [group, "__for"])
     told = heads.join(of, [group, "__head"], "left").select(group, "__h", "__head", F.coalesce("__for", "__head").alias("__for"), F.coalesce("__their", "__own").alias("__their"))
     out = rows.join(told, (rows[group] == told[group]) & (rows[hash_] == told["__h"]), "left").drop(told[group])
     stayed = F.col("__h").isNull() | (F.col(ident) == F.col("__for"))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from sonde.operators import firsts, images
+from sonde.operators import firsts, hamming, images
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,3 +94,58 @@ def test_copies_of_a_page_that_went(spark):
     rows = [("p", "1", "a", h), ("p", "2", "b", [1, 0, 0, 0]), ("p", "3", "b", [1, 0, 0, 0]), ("p", "4", "a", h), ("p", "5", "z", None), ("p", "6", "z", None)]
     got = firsts.kept_in_order(spark.createDataFrame(rows, "entity string, name string, sha1 string, hash array<long>"), "entity", "name", "hash", 4, 6, "sha1").orderBy("name").collect()
     assert [(r["reason"], r["matched_with"]) for r in got] == [(None, None), ("near_duplicate", "1"), ("near_duplicate", "1"), ("exact_duplicate", "1"), (None, None), (None, None)]
+
+
+def crowd(rng, n):
+    """Different hashes any two of which are at most six bits apart, among them some that aren't near any."""
+    base = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(4)]
+    return list({tuple(flipped(rng, base, 3) if i % 10 else [rng.randrange(-(1 << 63), 1 << 63) for _ in range(4)]) for i in range(n)})
+
+
+def test_a_crowd_has_few_links(spark, monkeypatch):
+    """Rows near one that stayed go without links to each other: these are stored for parts of a crowd only, not for all its pairs."""
+    rng = random.Random(4)
+    rows = [("p", f"{i:04d}", str(h), list(h)) for i, h in enumerate(crowd(rng, 1500))]
+    links, write = [], firsts.stored
+
+    def stored(df, label):
+        out = write(df, label)
+        if label in ("firsts-edges", "firsts-links"):
+            links.append(out.count())
+        return out
+
+    monkeypatch.setattr(firsts, "stored", stored)
+    monkeypatch.setattr(firsts, "START", 40, raising=False)
+    df = spark.createDataFrame(rows, "g string, name string, sha1 string, h array<long>").repartition(3)
+    got = {(r["g"], r["name"]): (r["kept"], r["reason"], r["matched_with"]) for r in firsts.kept_in_order(df, "g", "name", "h", 4, 6, "sha1").collect()}
+    assert got == brute(rows, 6)
+    assert sum(links) < 5 * len(rows)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_turns_and_slices_equal_the_rule(spark, monkeypatch, seed):
+    """Many turns by ranges of names, in files cut into slices."""
+    rng = random.Random(seed)
+    rows = []
+    for group in ("p", "q"):
+        hashes = crowd(rng, 60)
+        hashes += [flipped(rng, rng.choice(hashes), rng.randrange(1, 12)) for _ in range(120)]
+        rng.shuffle(hashes)
+        rows += [(group, f"{i:03d}", str(h) if i % 4 else f"{i} of its own", list(h)) for i, h in enumerate(hashes)]
+    monkeypatch.setattr(firsts, "START", 30)
+    monkeypatch.setattr(hamming, "FILE", 16)
+    df = spark.createDataFrame(rows, "g string, name string, sha1 string, h array<long>").repartition(3)
+    got = {(r["g"], r["name"]): (r["kept"], r["matched_with"]) for r in firsts.kept_in_order(df, "g", "name", "h", 4, 6, "sha1").collect()}
+    assert got == {k: (kept, of) for k, (kept, _, of) in brute(rows, 6).items()}
+
+
+def test_candidates_are_the_near_pairs():
+    """Small and large files, sides that meet and that don't."""
+    rng = np.random.default_rng(2)
+    h = np.repeat(rng.integers(0, 1 << 63, (8, 4), dtype=np.uint64), 40, axis=0) ^ (np.uint64(1) << rng.integers(0, 64, (320, 4), dtype=np.uint64))
+    key, side = np.sort(rng.integers(0, 20, 320)), rng.choice([0, 1], 320)
+    key[200:], side[:60] = 99, hamming.BOTH
+    side[200:260] = hamming.BOTH
+    want = {(i, j) for i in range(320) for j in range(i + 1, 320) if key[i] == key[j] and side[i] + side[j] in (1, 4) and np.bitwise_count(h[i] ^ h[j]).sum() <= 6}
+    got = [(int(i), int(j)) for a, b in hamming.candidates(key, side, h, 6) for i, j in zip(a, b, strict=True)]
+    assert len(got) == len(want) and set(got) == want
