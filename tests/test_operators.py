@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from sonde.functions import names
 from sonde.functions import scalars as S
-from sonde.operators import evaluate, intervals, resolve, routing, signals, text
+from sonde.operators import evaluate, hamming, intervals, resolve, routing, signals, text
+from sonde.plans import catalog
 from sonde.sources import readers, writers
 
 
@@ -183,3 +184,27 @@ def test_near_classes_have_all_pairs_of_near_pairs(spark):
     near = {i: {r["class_id"], *map(int, (r["near"] or "").split(",") if r["near"] else ())} for i, r in got.items()}
     assert {(a, b) for a in got for b in got if a < b and got[b]["class_id"] in near[a]} == want
     assert {i: r["links"] for i, r in got.items()} == {i: sum(i in p for p in want) for i, _ in rows}
+
+
+@pytest.mark.parametrize("size", [1 << 15, 40])
+def test_near_links_equal_all_pairs(spark, monkeypatch, size):
+    """All 256 bits count, up to six may differ, in any of the numbers; also with files in slices and many rows of one hash."""
+    monkeypatch.setattr(hamming, "FILE", size)
+    rng = random.Random(6)
+    turned = lambda h, n: [x ^ sum((1 << k if k < 63 else -(1 << 63)) for k in range(64) if 64 * i + k in n) for i, x in enumerate(h)]
+    bases = [[rng.randrange(-(1 << 63), 1 << 63) for _ in range(4)] for _ in range(5)]
+    hashes = bases + [turned(rng.choice(bases), set(rng.sample(range(256), rng.randrange(1, 9)))) for _ in range(120)]
+    rows = [(i, hashes[0] if i % 3 == 0 else rng.choice(hashes)) for i in range(400)]
+    far = lambda x, y: sum(((a ^ b) & (1 << 64) - 1).bit_count() for a, b in zip(x, y, strict=True))
+    want = {}
+    for i, h in rows:
+        near = [(j, far(h, x)) for j, x in rows if far(h, x) <= 6]
+        want[i] = (min(j for j, d in near if not d), len(near) - 1, min((j for j, d in near if d), default=None))
+    got = {r["id"]: (r["class_id"], r["links"], r["first_near"]) for r in evaluate.near_links(spark.createDataFrame(rows, "id long, h array<long>"), "id", "h", 4, 6).collect()}
+    assert got == want
+
+
+def test_near_dup_reads_the_whole_hash(spark, tmp_path):
+    """Texts whose hashes differ beyond the first 64 bits only are different classes, and linked."""
+    spark.createDataFrame([(1, "is is is", "s"), (2, "hi hi hi", "s"), (3, "is is", "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r["doc_id"]: (r["class_id"], r["links"]) for r in catalog.queries()["q33_near_dup"](spark, str(tmp_path)).collect()} == {1: (1, 2), 2: (2, 2), 3: (1, 2)}
